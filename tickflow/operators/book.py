@@ -146,48 +146,31 @@ def chunk_book(
 def _chunk_epochs(chunked: DataFrame, keys, snapshot) -> DataFrame:
     """Per (keys, chunk): snapshot start in force at its end and before it, the next chunk with
     a snapshot, and the last chunk of the key."""
-    partial = F.col("action") == "partial"
-    # Within a chunk the newest snapshot timestamp and its first row; a snapshot split over two
-    # chunks keeps the start found in the earlier one.
-    newest = chunked.groupBy(*keys, "chunk", F.when(partial, F.col("us")).alias("_snap")).agg(
-        (F.max if snapshot == "row" else F.min)(F.when(partial, F.col("seq"))).alias("_seq"),
-        F.min("us").alias("first_us"),
+    # The newest snapshot time of a chunk with its first row (per-row mode: its last row).
+    sign = 1 if snapshot == "row" else -1
+    mark = F.when(
+        F.col("action") == "partial",
+        F.struct(F.col("us").alias("us"), (F.col("seq") * sign).alias("seq")),
     )
-    per = newest.groupBy(*keys, "chunk").agg(
-        F.max(
-            F.when(
-                F.col("_snap").isNotNull(),
-                F.struct(F.col("_snap").alias("us"), F.col("_seq").alias("seq")),
-            )
-        ).alias("own"),
-        F.min("first_us").alias("first_us"),
+    per = chunked.groupBy(*keys, "chunk").agg(
+        F.max(mark).alias("own"), F.min("us").alias("first_us")
     )
     order = Window.partitionBy(*keys).orderBy("chunk")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     past = order.rowsBetween(Window.unboundedPreceding, 0)
     later = order.rowsBetween(1, Window.unboundedFollowing)
-    out = per.withColumn("_prev", F.last("own", ignorenulls=True).over(earlier))
+    own = F.struct(F.col("own.us").alias("us"), (F.col("own.seq") * sign).alias("seq"))
+    # A snapshot cut by a chunk edge goes on in the next chunk: same time, no new start.
+    before = F.last("own", ignorenulls=True).over(earlier)
     fresh = F.col("own").isNotNull()
     if snapshot != "row":
-        fresh = fresh & (
-            F.col("_prev").isNull() | (F.col("own")["us"] != F.col("_prev")["us"])
-        )
-    out = out.withColumn("_fresh", fresh)
-    if snapshot != "row":
-        # All chunks that share a snapshot agree on its first row.
-        first = F.min(F.col("own")["seq"]).over(Window.partitionBy(*keys, F.col("own")["us"]))
-        out = out.withColumn("_first", first).withColumn(
-            "own",
-            F.when(
-                F.col("own").isNotNull(),
-                F.struct(F.col("own")["us"].alias("us"), F.col("_first").alias("seq")),
-            ),
-        )
-    return out.select(
+        fresh = fresh & (F.col("_before").isNull() | (F.col("own.us") != F.col("_before.us")))
+    starts = per.withColumn("_before", before).withColumn("start", F.when(fresh, own))
+    return starts.select(
         *keys, "chunk",
-        F.last("own", ignorenulls=True).over(past).alias("epoch"),
-        F.last("own", ignorenulls=True).over(earlier).alias("epoch_before"),
-        F.min(F.when(F.col("_fresh"), F.col("chunk"))).over(later).alias("next_snapshot"),
+        F.last("start", ignorenulls=True).over(past).alias("epoch"),
+        F.last("start", ignorenulls=True).over(earlier).alias("epoch_before"),
+        F.min(F.when(F.col("start").isNotNull(), F.col("chunk"))).over(later).alias("next_snapshot"),
         F.max("chunk").over(Window.partitionBy(*keys)).alias("last_chunk"),
         F.lead("first_us").over(order).alias("next_us"),
     )
