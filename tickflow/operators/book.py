@@ -281,36 +281,42 @@ def _rows(pdf: pd.DataFrame) -> Iterator[tuple]:
 
 
 def _replay(chunked: DataFrame, keys, snapshot, fn, schema: str) -> DataFrame:
-    """cogroup(checkpoint, chunk) and run ``fn(book, rows, clears)`` per (keys, chunk)."""
+    """cogroup(checkpoint, chunk) by chunk and run ``fn(book, rows, ...)`` per key in it."""
     epochs = _chunk_epochs(chunked, keys, snapshot)
     start = checkpoints(chunked, keys, snapshot, epochs)
     before = epochs.select(
         *keys, "chunk", F.col("epoch_before.us").alias("_snap_us"), F.col("next_us").alias("_next_us")
     )
     events = chunked.join(before, [*keys, "chunk"], "left")
-    on = [*keys, "chunk"]
     names = [part.strip().split()[0] for part in schema.split(";")]
     fields = {f.name: f.dataType.simpleString() for f in chunked.schema.fields}
-    ddl = ", ".join([f"`{k}` {fields[k]}" for k in on] + [p.strip() for p in schema.split(";")])
+    ids = [*keys, "chunk"]
+    ddl = ", ".join([f"`{k}` {fields[k]}" for k in ids] + [p.strip() for p in schema.split(";")])
 
     def run(levels: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
-        if not len(pdf):
-            return pd.DataFrame(columns=[*on, *names])
-        book = _Book()
-        for side, ident, price, size in zip(levels["side"], levels["id"], levels["price"], levels["size"]):
-            book.put(side, ident, float(price), float(size))
-        known, following = pdf["_snap_us"].iloc[0], pdf["_next_us"].iloc[0]
-        out = fn(
-            book, _rows(pdf), None if pd.isna(known) else int(known),
-            None if pd.isna(following) else int(following),
-        )
-        for i, k in enumerate(on):
-            out.insert(i, k, pdf[k].iloc[0])
-        return out
+        # A chunk is a contiguous piece of the (keys, time) order: usually one key, or the end of
+        # one and the start of the next; with small keys, many whole ones.
+        live = {k: part for k, part in levels.groupby(list(keys))} if len(levels) else {}
+        parts = []
+        for key, rows in pdf.groupby(list(keys), sort=False):
+            book = _Book()
+            start = live.get(key)
+            if start is not None:
+                for side, ident, price, size in zip(start["side"], start["id"], start["price"], start["size"]):
+                    book.put(side, ident, float(price), float(size))
+            known, following = rows["_snap_us"].iloc[0], rows["_next_us"].iloc[0]
+            out = fn(
+                book, _rows(rows), None if pd.isna(known) else int(known),
+                None if pd.isna(following) else int(following),
+            )
+            for i, k in enumerate(ids):
+                out.insert(i, k, rows[k].iloc[0])
+            parts.append(out)
+        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=[*ids, *names])
 
     # Both sides stem from the same chunks; fresh column names keep them apart.
     start, events = start.toDF(*start.columns), events.toDF(*events.columns)
-    return start.groupBy(*on).cogroup(events.groupBy(*on)).applyInPandas(run, ddl)
+    return start.groupBy("chunk").cogroup(events.groupBy("chunk")).applyInPandas(run, ddl)
 
 
 def _clears(snapshot, action, us, last_snap):

@@ -124,6 +124,7 @@ def throttle(
         return pd.DataFrame(rows, columns=[key, chunk, "_entry"]).astype({"_entry": "Int64"})
 
     entries = maps.groupBy(key).applyInPandas(chain, f"{key} string, {chunk} long, _entry long")
+    names = df.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
     def second_pass(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -133,7 +134,7 @@ def throttle(
             pdf[us].to_numpy("int64"), pdf["_always"].to_numpy(bool), gap_us,
             None if pd.isna(last) else int(last),
         )
-        return pdf.loc[keep, df.columns]
+        return pdf.loc[keep, names]
 
     return (
         marked.join(entries, [key, chunk], "left")

@@ -146,7 +146,7 @@ def kde(
     mass = near.withColumn("point", F.explode(F.sequence("_f", "_l"))).groupBy(*keys, "point").agg(
         F.sum(F.col("_c") * F.exp(z * z * -0.5)).alias("_m")
     )
-    every = grid.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).cast("long"))
+    every = grid.withColumn("point", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(points - 1).cast("long"))))
     return every.join(mass, [*keys, "point"], "left").select(
         *keys, "point", (F.col("_lo") + F.col("point") * F.col("_dx")).alias("x"),
         (F.coalesce("_m", F.lit(0.0)) / (F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi))).alias("density"),

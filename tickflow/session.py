@@ -16,7 +16,6 @@ def local_session(cpus: str | int = "*", app: str = "tickflow", memory: str = "8
         .appName(app)
         .config("spark.sql.shuffle.partitions", shuffle)
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
