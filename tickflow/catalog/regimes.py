@@ -33,9 +33,8 @@ def _points(spark, sf):
     return df.select(F.col("vec_id").alias("id"), "label", F.col("embedding").cast("array<double>").alias("x"))
 
 
-@query("knn_graph", """WITH p AS (SELECT a.vec_id AS id, b.vec_id AS neighbour,
-      sqrt(list_sum(list_transform(generate_series(1,len(a.embedding)), i -> (CAST(a.embedding[i] AS DOUBLE)-CAST(b.embedding[i] AS DOUBLE))**2))) AS d
-    FROM embeddings a JOIN embeddings b ON a.vec_id<>b.vec_id)
+@query("knn_graph", """WITH e AS (SELECT vec_id, unnest(generate_series(1,len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+    p AS (SELECT a.vec_id AS id, b.vec_id AS neighbour, sqrt(sum((a.v-b.v)**2)) AS d FROM e a JOIN e b USING (i) WHERE a.vec_id<>b.vec_id GROUP BY 1,2)
     SELECT id, neighbour, round(d,6) AS distance, CAST(rank AS INT) AS rank FROM
       (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, neighbour) AS rank FROM p) WHERE rank<=15""")
 def knn_graph(spark, sf):

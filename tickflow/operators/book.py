@@ -98,6 +98,33 @@ def book_state(
     )
 
 
+def live_facts(events: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Per level the facts its live state follows from: a pure aggregation, so it also runs as a
+    streaming aggregation with one small state row per level.
+
+    In the live state an update also moves the level to the update's price when it carries one.
+    """
+    priced = _inserts() | ((F.col("action") == "update") & (F.col("price") > 0))
+    return _with_us(events).groupBy(*keys, "side", "id").agg(
+        *_level_facts(), F.max(F.when(priced, F.struct(*ORDER, "price"))).alias("priced")
+    )
+
+
+def live_epochs(events: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Per key the start of its newest snapshot: greatest time, then smallest seq."""
+    mark = F.struct(F.col("us").alias("us"), (-F.col("seq")).alias("neg"))
+    return _with_us(events).where(F.col("action") == "partial").groupBy(*keys).agg(
+        F.max(mark).alias("_e")
+    ).select(*keys, F.struct(F.col("_e.us").alias("us"), (-F.col("_e.neg")).alias("seq")).alias("epoch"))
+
+
+def live_levels(facts: DataFrame, epochs: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Live levels from their facts and the snapshot starts."""
+    return facts.join(epochs, list(keys), "left").where(_alive("epoch")).select(
+        *keys, "side", "id", F.col("priced.price").alias("price"), F.col("sized.size").alias("size")
+    )
+
+
 def book_by_price(levels: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Size and number of levels per price."""
     return levels.groupBy(*keys, "side", "price").agg(

@@ -75,7 +75,7 @@ def _exits(us: np.ndarray, always: np.ndarray, gap: int) -> np.ndarray:
 
 def throttle(
     df: DataFrame, always, key: str = "symbol", us: str = "us", order: Sequence[str] = ("seq",),
-    gap_us: int = 1_000_000, chunk: str | None = None,
+    gap_us: int = 1_000_000, chunk: str | None = None, start: DataFrame | None = None,
 ) -> DataFrame:
     """Drop a row closer than ``gap_us`` to the last accepted one unless ``always`` holds.
 
@@ -83,6 +83,8 @@ def throttle(
     order is cut in chunks.  Pass one finds, for every row of a chunk that could be the first one
     accepted there, the last row accepted in the chunk.  Those maps (the rows of one gap) are
     chained over the chunks of a symbol, and pass two marks each chunk from its entry state.
+
+    ``start`` (key, last) gives the last accepted time before these rows, for incremental use.
     """
     marked = df.withColumn("_always", F.coalesce(always, F.lit(False)))
     if chunk is None:
@@ -111,9 +113,15 @@ def throttle(
         first_pass, f"{key} string, _c long, entry long, must boolean, exit long"
     )
 
+    if start is None:
+        maps = maps.withColumn("_start", F.lit(None).cast("long"))
+    else:
+        maps = maps.join(start.select(key, F.col("last").alias("_start")), key, "left")
+
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_c", "entry"], kind="stable")
-        last, rows = None, []
+        begin = pdf["_start"].iloc[0]
+        last, rows = None if pd.isna(begin) else int(begin), []
         for c, part in pdf.groupby("_c", sort=True):
             rows.append((part[key].iloc[0], int(c), last))
             entry, must = part["entry"].to_numpy(), part["must"].to_numpy(bool)
