@@ -1 +1,120 @@
-"""To be filled."""
+"""Streaming queries: files in, batches of a stream, result read back and compared with batch SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tickflow.catalog.common import book_ctes, feed, over_feeds, query, r6, rounded
+from tickflow.catalog.feeds import GAP_US, MSG, raw_messages
+from tickflow.catalog.registry import SQL
+from tickflow.session import work_path
+from tickflow.streaming import feeds as st
+
+FOREVER = "60 days"
+
+
+def _staged(df, path, by="seq", parts=3):
+    """Write whole rows in order of ``by`` as ``parts`` consecutive appends."""
+    top = (df.agg(F.max(by)).first()[0] or 0) + 1
+    for i in range(parts):
+        low, high = top * i // parts, top * (i + 1) // parts
+        df.where((F.col(by) >= low) & (F.col(by) < high)).coalesce(1).write.mode("append").parquet(path)
+
+
+def _stream(spark, sf, name):
+    path = work_path(spark, f"in-{name}")
+    df = feed(spark, sf, name)
+    _staged(df, path)
+    return st.read_stream(spark, path, df.schema, 1)
+
+
+@query("stream_ingest", over_feeds(
+    """SELECT feed, CAST(t AS DOUBLE) AS timestamp, seq, symbol FROM m WHERE NOT (feed='orderbook' AND u=0)""", MSG))
+def stream_ingest(spark, sf):
+    """Raw messages through the ingest stream; every row of the four feeds read back."""
+    src, root, ck = (work_path(spark, n) for n in ("messages", "ingest", "ck"))
+    raw = raw_messages(spark, sf).select(F.col("offset").cast("long").alias("offset"), "value")
+    _staged(raw, src, "offset")
+    st.ingest(st.read_stream(spark, src, st.MESSAGES, 1), root, ck).awaitTermination()
+    parts = [
+        spark.read.parquet(f"{root}/{n}").select(F.lit(n).alias("feed"), "timestamp", "seq", "symbol")
+        for n in st.PROJECTIONS
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("stream_dedup", over_feeds('SELECT DISTINCT trdMatchID AS "trdMatchID" FROM trades'))
+def stream_dedup(spark, sf):
+    rows = st.dedup_stream(_stream(spark, sf, "trades"), "trdMatchID", delay=FOREVER)
+    path = work_path(spark, "dedup")
+    st.write_rows(rows.select("trdMatchID", "ts"), path, work_path(spark, "ck")).awaitTermination()
+    return spark.read.parquet(path).select("trdMatchID")
+
+
+@query("stream_book", over_feeds(
+    "SELECT a.symbol, a.side, a.id, a.price, a.size FROM alive a JOIN last ON a.tseq=last.q",
+    book_ctes() + ", last AS (SELECT symbol, max(seq) AS q FROM ob GROUP BY symbol)"))
+def stream_book(spark, sf):
+    """The live book after the stream equals the book rebuilt in batch (updates carry no price)."""
+    path = work_path(spark, "book")
+    for q in st.book_stream(_stream(spark, sf, "orderbook"), path, work_path(spark, "ck")):
+        q.awaitTermination()
+    return st.live_book(spark, path)
+
+
+@query("stream_throttle", SQL["throttle_instruments"])
+def stream_throttle(spark, sf):
+    rows = _stream(spark, sf, "instruments").select("symbol", "ts", "seq")
+    path = work_path(spark, "throttle")
+    st.throttle_stream(rows, path, work_path(spark, "ck"), F.col("seq") % 5 == 0, GAP_US).awaitTermination()
+    return spark.read.parquet(f"{path}/rows").select("symbol", "ts", "seq")
+
+
+_FLOW = """sum(CASE side WHEN 'Buy' THEN abs(foreignNotional)*w WHEN 'Sell' THEN -abs(foreignNotional)*abs(w) ELSE 0 END)"""
+
+
+@query("stream_taker_imbalance", over_feeds(
+    f"""SELECT symbol, h AS ts, {r6('CASE WHEN x>0 THEN ln(1+x) WHEN x<0 THEN -ln(1-x) ELSE 0 END')} AS f4 FROM (SELECT symbol, date_trunc('hour',ts) AS h, {_FLOW} AS x
+        FROM (SELECT *, CASE tickDirection WHEN 'PlusTick' THEN 1.5 WHEN 'ZeroPlusTick' THEN 1.5 WHEN 'MinusTick' THEN -1.5 WHEN 'ZeroMinusTick' THEN -1.5 ELSE 1.0 END AS w FROM trades) GROUP BY 1,2)"""))
+def stream_taker_imbalance(spark, sf):
+    path = work_path(spark, "taker")
+    bins = st.taker_imbalance_stream(_stream(spark, sf, "trades"), "1 hour", FOREVER)
+    st.write_rows(bins, path, work_path(spark, "ck"), "update").awaitTermination()
+    return rounded(st.latest(spark, path, ["symbol", "ts"]), "f4")
+
+
+@query("stream_hooks", over_feeds("SELECT seq, symbol FROM m WHERE feed='trades' AND v*10>1000", MSG))
+def stream_hooks(spark, sf):
+    """A hook that stores large trades and one that always fails."""
+    src, root, found, ck = (work_path(spark, n) for n in ("messages", "hooks", "whales", "ck"))
+    _staged(raw_messages(spark, sf).select(F.col("offset").cast("long").alias("offset"), "value"), src, "offset")
+
+    def whales(batch, number):
+        hit = batch.where(F.abs("foreignNotional") > 1000).select("seq", "symbol").withColumn("batch", F.lit(number))
+        hit.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(found)
+
+    def broken(batch, number):
+        raise ValueError("hook error, logged and skipped")
+
+    st.log.disabled = True
+    try:
+        st.ingest(
+            st.read_stream(spark, src, st.MESSAGES, 1), root, ck, feeds=["trades"], hooks={"trades": [broken, whales]}
+        ).awaitTermination()
+    finally:
+        st.log.disabled = False
+    return spark.read.parquet(found).select("seq", "symbol")
+
+
+@query("stream_metrics", over_feeds("SELECT 'instruments' AS feed, count(*) AS rows, count(*) FILTER (markPrice IS NULL) AS errors FROM instruments"))
+def stream_metrics(spark, sf):
+    rows = st.observed(_stream(spark, sf, "instruments"), "instruments", F.col("markPrice").isNull())
+    q = st.write_rows(rows, work_path(spark, "metrics"), work_path(spark, "ck"))
+    q.awaitTermination()
+    batches = spark.createDataFrame(
+        st.progress_rows(q, "instruments"), "batch long, rows long, errors long, rows_per_sec double"
+    )
+    return batches.groupBy(F.lit("instruments").alias("feed")).agg(F.sum("rows").alias("rows"), F.sum("errors").alias("errors"))

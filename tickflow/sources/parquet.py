@@ -38,6 +38,17 @@ def write_feed(
     )
 
 
+def write_batch(
+    df: DataFrame, path: str, batch: int, ts: str = "ts", order: Sequence[str] = ("ts", "seq"),
+) -> None:
+    """Write one streaming batch; a repeated batch replaces its own files and nothing else."""
+    rows = with_date_parts(df, ts).withColumn("batch", F.lit(batch))
+    (
+        _laid_out(rows, order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*DATE_PARTS, "batch").parquet(path)
+    )
+
+
 def _replace_days(df: DataFrame, path: str, order: Sequence[str]) -> None:
     """Replace exactly the day partitions present in ``df``; the rows are durable before."""
     safe = cut(df)
