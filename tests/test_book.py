@@ -40,8 +40,8 @@ def test_hand_computed_mids(spark, snapshot, mids, pieces):
 
 def test_hand_computed_grid(spark):
     df = events(spark, BK1)
-    ticks = pf.book_tick_table(df, 100_000, 15, "batch", "tick", True)
-    bins = {r["bin"]: r for r in pf.book_bins(ticks, 100_000).where("in_book").collect()}
+    ticks, moves = pf.book_tick_table(df, 100_000, 15, "batch", "tick", True)
+    bins = {r["bin"]: r for r in pf.book_bins(ticks, moves, 100_000).where("in_book").collect()}
     assert bins[0]["ret"] == pytest.approx(0.002484473, abs=1e-9)
     assert bins[100_000]["ret"] == pytest.approx(-0.002484473, abs=1e-9)
     assert bins[200_000]["ret"] == 0

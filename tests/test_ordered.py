@@ -14,7 +14,7 @@ from tickflow.operators import ordered as o
 
 
 def series(spark, values, symbol="X"):
-    return spark.createDataFrame([(symbol, i, v) for i, v in enumerate(values)], "symbol string, i long, v double")
+    return spark.createDataFrame([(symbol, i, None if v is None else float(v)) for i, v in enumerate(values)], "symbol string, i long, v double")
 
 
 def out(df, col):

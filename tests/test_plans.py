@@ -34,7 +34,6 @@ def test_taker_imbalance_shuffles_only_on_its_keys(spark):
 def test_rolling_windows_reuse_the_layout(spark):
     from tickflow.operators.ordered import ema, rolling_std
 
-    df = spark.range(100).select(F.lit("X").alias("symbol"), F.col("id").alias("bin"), F.col("id").cast("double").alias("v"))
-    laid = df.repartition("symbol")
-    out = rolling_std(ema(laid, "v", ["symbol"], ["bin"], 10), "v", ["symbol"], ["bin"], 5)
+    df = spark.range(0, 100, 1, 4).select((F.col("id") % 3).cast("string").alias("symbol"), F.col("id").alias("bin"), F.col("id").cast("double").alias("v"))
+    out = rolling_std(ema(df, "v", ["symbol"], ["bin"], 10), "v", ["symbol"], ["bin"], 5)
     assert "SinglePartition" not in plan(out)

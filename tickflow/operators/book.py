@@ -311,10 +311,14 @@ def _replay(chunked: DataFrame, keys, snapshot, fn, schema: str) -> DataFrame:
     """cogroup(checkpoint, chunk) by chunk and run ``fn(book, rows, ...)`` per key in it."""
     epochs = _chunk_epochs(chunked, keys, snapshot)
     start = checkpoints(chunked, keys, snapshot, epochs)
-    before = epochs.select(
-        *keys, "chunk", F.col("epoch_before.us").alias("_snap_us"), F.col("next_us").alias("_next_us")
+    # One marker row per (keys, chunk) tells the snapshot in force and the next chunk's first time;
+    # it travels with the checkpoint, so the events themselves are shuffled only once.
+    marks = epochs.select(
+        *keys, "chunk", F.col("epoch_before.us").alias("_snap_us"), F.col("next_us").alias("_next_us"),
+        F.lit(True).alias("_mark"),
     )
-    events = chunked.join(before, [*keys, "chunk"], "left")
+    start = start.unionByName(marks, allowMissingColumns=True)
+    events = chunked
     names = [part.strip().split()[0] for part in schema.split(";")]
     fields = {f.name: f.dataType.simpleString() for f in chunked.schema.fields}
     ids = [*keys, "chunk"]
@@ -323,15 +327,18 @@ def _replay(chunked: DataFrame, keys, snapshot, fn, schema: str) -> DataFrame:
     def run(levels: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
         # A chunk is a contiguous piece of the (keys, time) order: usually one key, or the end of
         # one and the start of the next; with small keys, many whole ones.
-        live = {k: part for k, part in levels.groupby(list(keys))} if len(levels) else {}
+        live = dict(iter(levels.groupby(list(keys))))
         parts = []
         for key, rows in pdf.groupby(list(keys), sort=False):
             book = _Book()
-            start = live.get(key)
-            if start is not None:
-                for side, ident, price, size in zip(start["side"], start["id"], start["price"], start["size"]):
-                    book.put(side, ident, float(price), float(size))
-            known, following = rows["_snap_us"].iloc[0], rows["_next_us"].iloc[0]
+            start = live[key]
+            mark = start["_mark"].notna()
+            levels_now, marker = start[~mark], start[mark].iloc[0]
+            for side, ident, price, size in zip(
+                levels_now["side"], levels_now["id"], levels_now["price"], levels_now["size"]
+            ):
+                book.put(side, int(ident), float(price), float(size))
+            known, following = marker["_snap_us"], marker["_next_us"]
             out = fn(
                 book, _rows(rows), None if pd.isna(known) else int(known),
                 None if pd.isna(following) else int(following),

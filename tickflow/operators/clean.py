@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.functions.guards import clip, finite
+from tickflow.operators.joins import bounded_join
 from tickflow.operators.ordered import interpolate, ordered_index, range_chunks, warmup_trim
 from tickflow.operators.quantiles import wide_quantiles
 from tickflow.operators.typing import fix_nonpositive
@@ -24,7 +25,7 @@ def outlier_bounds(
     keys = list(keys)
     if method == "mad":
         mid = wide_quantiles(df, keys, [col], {"m": 0.5}).select(*keys, "m")
-        far = df.join(mid, keys).select(*keys, "m", F.abs(F.col(col) - F.col("m")).alias("_d"))
+        far = bounded_join(df, mid, keys).select(*keys, "m", F.abs(F.col(col) - F.col("m")).alias("_d"))
         mad = wide_quantiles(far, keys, ["_d"], {"d": 0.5}).select(*keys, "d")
         half = F.col("d") * 1.4826
         table, lo, hi = mid.join(mad, keys), F.col("m") - half * n, F.col("m") + half * n
@@ -49,7 +50,7 @@ def clip_outliers(
     bounds = outlier_bounds(df, col, keys, method, n)
     clipped = clip(F.col(col), F.col("_lo"), F.col("_hi"))
     return (
-        df.join(bounds, list(keys), "left")
+        bounded_join(df, bounds, list(keys), "left")
         .withColumn(col, F.when(F.col("_lo").isNull(), F.col(col)).otherwise(clipped))
         .select(*df.columns)
     )
@@ -91,7 +92,7 @@ def zscore_bounds(
     for _ in range(rounds):
         rows = df.select(key, *cols)
         if bounds is not None:
-            rows = rows.join(bounds, key)
+            rows = bounded_join(rows, bounds, key, written=True)
         aggs = []
         for c in cols:
             kept = F.col(c)
@@ -126,7 +127,7 @@ def zscore_clean(df: DataFrame, thresholds=None, overrides=None, key="symbol", r
     kept = {
         c: F.when(F.col(c).between(F.col(f"{c}_lo"), F.col(f"{c}_hi")), F.col(c)) for c in cols
     }
-    return df.join(bounds, key).withColumns(kept).select(*df.columns)
+    return bounded_join(df, bounds, key, written=True).withColumns(kept).select(*df.columns)
 
 
 def sanitize_features(df: DataFrame, cols: Sequence[str], price: str = "f6", key: str = "symbol") -> DataFrame:

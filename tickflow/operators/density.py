@@ -169,11 +169,11 @@ def embed_pca(points: DataFrame, id_col: str = "id", x: str = "x", k: int = 2) -
     return out.select("id", F.zip_with("y", flip, lambda a, s: a * s).alias("y"))
 
 
-def embed_spectral(graph: DataFrame, rounds: int = 20, k: int = 2) -> DataFrame:
+def embed_spectral(graph: DataFrame, rounds: int = 10, k: int = 2, steps: int = 4) -> DataFrame:
     """(id, y): leading non-trivial vectors of the normalised graph by power iteration.
 
-    Each round is a join of the edges with the current vectors, a sum per point, and an
-    orthonormalisation from k x k global sums.
+    A step is a join of the edges with the current vectors and a sum per point; a round is a few
+    steps and an orthonormalisation from k x k global sums.
     """
     degree = graph.groupBy("id").agg(F.sum("weight").alias("deg"))
     edges = cut(
@@ -183,14 +183,19 @@ def embed_spectral(graph: DataFrame, rounds: int = 20, k: int = 2) -> DataFrame:
     )
     seed = [(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(10_007)) / 10_007.0 - 0.5).alias(f"y{i}") for i in range(k)]
     state = cut(degree.select("id", F.sqrt("deg").alias("t"), *seed))
+    names = [f"y{i}" for i in range(k)]
     for _ in range(rounds):
-        spread = edges.join(state.select(F.col("id").alias("neighbour"), *[f"y{i}" for i in range(k)]), "neighbour").groupBy("id").agg(
-            *[F.sum(F.col("w") * F.col(f"y{i}")).alias(f"s{i}") for i in range(k)]
-        )
-        # (I + A)/2 has no negative eigenvalues, so the iteration cannot oscillate.
-        moved = state.join(spread, "id").select(
-            "id", "t", *[((F.col(f"y{i}") + F.col(f"s{i}")) / 2).alias(f"y{i}") for i in range(k)]
-        )
+        moved = state
+        for _ in range(steps):
+            there = moved.select(F.col("id").alias("neighbour"), *names)
+            spread = edges.join(there, "neighbour").groupBy("id").agg(
+                *[F.sum(F.col("w") * F.col(y)).alias(f"s_{y}") for y in names]
+            )
+            # (I + A)/2 has no negative eigenvalues, so the iteration cannot oscillate.
+            moved = moved.join(spread, "id").select(
+                "id", "t", *[((F.col(y) + F.col(f"s_{y}")) / 2).alias(y) for y in names]
+            )
+        moved = cut(moved)
         cols = ["t", *[f"y{i}" for i in range(k)]]
         gram = moved.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}_{b}") for a in cols for b in cols]).first()
         g = np.array([[gram[f"{a}_{b}"] for b in cols] for a in cols], dtype=float)
@@ -214,7 +219,7 @@ def embed_spectral(graph: DataFrame, rounds: int = 20, k: int = 2) -> DataFrame:
 
 def embed_2d(
     points: DataFrame, id_col: str = "id", x: str = "x", method: str = "pca", neighbours: int = N_NEIGHBORS,
-    rounds: int = 20,
+    rounds: int = 10,
 ) -> DataFrame:
     """Two-dimensional embedding, by principal components or by the neighbour graph's spectrum."""
     if method == "pca":

@@ -9,11 +9,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.schemas import FEATURES, Z_DEFAULT, Z_FEATURE, Z_FEATURE_SYMBOL
+from tickflow.session import cut
 
 # Configuration maps become literal maps in the plan; beyond this many entries a join is used.
 MAP_LIMIT = 1000
 
 
+BROADCAST_ROWS = 100_000
+
+
+def bounded_join(df: DataFrame, small: DataFrame, on, how: str = "inner", written: bool = False) -> DataFrame:
+    """Join a summary table (a row per key).  It is computed once and counted: up to
+    ``BROADCAST_ROWS`` rows it is broadcast, so the big side is not shuffled by a possibly hot
+    key; beyond, it is an ordinary shuffle join."""
+    small = small if written else cut(small)
+    few = small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return df.join(F.broadcast(small) if few else small, on, how)
+
+
 def literal_map(pairs: Mapping[Any, Any], kind: str) -> Column:
     flat = [F.lit(v) for kv in pairs.items() for v in kv]
     return F.create_map(*flat) if flat else F.create_map().cast(kind)

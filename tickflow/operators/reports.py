@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.clock import floor_us, from_us, to_us
+from tickflow.operators.joins import bounded_join
 from tickflow.operators.ordered import with_previous_valid
 from tickflow.operators.quantiles import unpivot_values, wide_quantiles
 from tickflow.schemas import QUALITY_RULES
+from tickflow.session import cut
 
 N = F.count
 
@@ -105,10 +107,11 @@ def histogram(df: DataFrame, col: str, keys=("symbol",), bins: int = 50) -> Data
         *keys, "_n", F.when(flat, F.col("_a") - 0.5).otherwise(F.col("_a")).alias("_lo"),
         F.when(flat, F.lit(1.0 / bins)).otherwise((F.col("_b") - F.col("_a")) / bins).alias("_w"),
     )
+    span = cut(span)
     at = F.least(F.floor((F.col("value") - F.col("_lo")) / F.col("_w")), F.lit(bins - 1))
     # Equal values fold before the join with the spans.
     folded = values.groupBy(*keys, "value").agg(N(F.lit(1)).alias("_c"))
-    counts = folded.join(span, list(keys)).groupBy(*keys, at.cast("int").alias("bin")).agg(
+    counts = bounded_join(folded, span, list(keys), written=True).groupBy(*keys, at.cast("int").alias("bin")).agg(
         F.sum("_c").alias("count")
     )
     every = span.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
@@ -137,11 +140,12 @@ def kde(
         *keys, "_n", (F.col("_s") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))).alias("_h"),
         (F.col("_a") - width * 0.5).alias("_lo"), (width * 2 / (points - 1)).alias("_dx"),
     )
+    grid = cut(grid)
     folded = values.groupBy(*keys, "value").agg(N(F.lit(1)).alias("_c"))
     reach = F.col("_h") * 9
     first = F.greatest(F.ceil((F.col("value") - reach - F.col("_lo")) / F.col("_dx")), F.lit(0))
     last = F.least(F.floor((F.col("value") + reach - F.col("_lo")) / F.col("_dx")), F.lit(points - 1))
-    near = folded.join(grid, list(keys)).withColumns({"_f": first, "_l": last}).where("_f <= _l")
+    near = bounded_join(folded, grid, list(keys), written=True).withColumns({"_f": first, "_l": last}).where("_f <= _l")
     z = (F.col("_lo") + F.col("point") * F.col("_dx") - F.col("value")) / F.col("_h")
     mass = near.withColumn("point", F.explode(F.sequence("_f", "_l"))).groupBy(*keys, "point").agg(
         F.sum(F.col("_c") * F.exp(z * z * -0.5)).alias("_m")
@@ -161,7 +165,7 @@ def boxplot(df: DataFrame, cols: Sequence[str], keys=("symbol",), reach: float =
     q = q.withColumns({"_lo": F.col("q25") - iqr * reach, "_hi": F.col("q75") + iqr * reach})
     folded = unpivot_values(df, keys, cols).groupBy(*group, "value").agg(N(F.lit(1)).alias("_c"))
     v, inside = F.col("value"), F.col("value").between(F.col("_lo"), F.col("_hi"))
-    return folded.join(q, group).groupBy(*group, "q25", "q50", "q75").agg(
+    return bounded_join(folded, q, group).groupBy(*group, "q25", "q50", "q75").agg(
         F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
         F.sum(F.when(inside, 0).otherwise(F.col("_c"))).cast("long").alias("outliers"),
     )

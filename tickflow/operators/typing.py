@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow.functions.guards import finite
+from tickflow.operators.joins import bounded_join
 from tickflow.operators.quantiles import exact_quantiles
 
 
@@ -82,4 +83,4 @@ def fix_nonpositive(
         c: F.when(F.col(c) <= 0, F.coalesce("_m_" + c, F.lit(1.0))).otherwise(F.col(c))
         for c in cols
     }
-    return df.join(wide, list(keys), "left").withColumns(fixed).select(*df.columns)
+    return bounded_join(df, wide, list(keys), "left").withColumns(fixed).select(*df.columns)

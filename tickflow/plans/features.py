@@ -64,20 +64,23 @@ def taker_imbalance(trades: DataFrame, step: int = STEP_MS * 1000) -> DataFrame:
 def book_tick_table(
     orderbook: DataFrame, step: int, depth: int, snapshot: str, returns: str,
     reset_daily: bool, limit: float = RETURN_CLIP,
-) -> DataFrame:
-    """Ticks with returns; the book starts empty each day unless ``reset_daily`` is off."""
+) -> tuple[DataFrame, DataFrame]:
+    """Ticks with depth, and ticks with returns; the book starts empty each day unless ``reset_daily`` is off."""
     rows = orderbook.withColumn("day", F.to_date("ts")) if reset_daily else orderbook
     keys = KEYS if reset_daily else ["symbol"]
     ticks = bk.book_ticks(
         bk.chunk_book(rows, keys), keys, depth=depth, snapshot=snapshot, depth_every_us=step
     )
-    ticks = bk.tick_returns(cut(ticks), keys, returns=returns, limit=limit)
-    return ticks if reset_daily else ticks.withColumn("day", F.to_date("ts"))
+    ticks = cut(ticks)
+    moves = bk.tick_returns(ticks.drop("bids", "asks"), keys, returns=returns, limit=limit)
+    if not reset_daily:
+        ticks, moves = (df.withColumn("day", F.to_date("ts")) for df in (ticks, moves))
+    return ticks, moves
 
 
-def book_bins(ticks: DataFrame, step: int) -> DataFrame:
+def book_bins(ticks: DataFrame, moves: DataFrame, step: int) -> DataFrame:
     """Per bin: sum of returns and last mid inside it; per bin start: last levels at or before."""
-    inside = ticks.groupBy(*KEYS, floor_us("us", step).alias("bin")).agg(
+    inside = moves.groupBy(*KEYS, floor_us("us", step).alias("bin")).agg(
         F.sum("log_return").alias("ret"),
         F.max_by("mid", F.when(F.col("mid").isNotNull(), F.col("us"))).alias("mid_end"),
         F.lit(True).alias("in_book"),
@@ -158,10 +161,10 @@ def aligned_feeds(
     ffill_events: bool = False,
 ) -> DataFrame:
     """(symbol, day, bin, ret, mid_end, bids, asks, mark, index, volume, flow) on the dense grid."""
-    ticks = book_tick_table(orderbook, step, depth, snapshot, returns, reset_daily)
+    ticks, moves = book_tick_table(orderbook, step, depth, snapshot, returns, reset_daily)
     grid = align(
         [
-            book_bins(ticks, step),
+            book_bins(ticks, moves, step),
             instrument_bins(
                 dedup_last(instruments, ["symbol", "ts"]), step, null_policy == "keep"
             ),
