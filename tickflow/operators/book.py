@@ -185,7 +185,7 @@ def _chunk_epochs(chunked: DataFrame, keys, snapshot) -> DataFrame:
     order = Window.partitionBy(*keys).orderBy("chunk")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     past = order.rowsBetween(Window.unboundedPreceding, 0)
-    later = order.rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*keys).orderBy(F.desc("chunk")).rowsBetween(Window.unboundedPreceding, -1)
     own = F.struct(F.col("own.us").alias("us"), (F.col("own.seq") * sign).alias("seq"))
     # A snapshot cut by a chunk edge goes on in the next chunk: same time, no new start.
     before = F.last("own", ignorenulls=True).over(earlier)

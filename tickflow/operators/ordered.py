@@ -68,9 +68,9 @@ def carry_after(
     ends = df.groupBy(*keys, chunk).agg(
         *[F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(c) for c in cols]
     )
-    w = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(1, Window.unboundedFollowing)
+    w = Window.partitionBy(*keys).orderBy(F.desc(chunk)).rowsBetween(Window.unboundedPreceding, -1)
     return ends.select(
-        *keys, chunk, *[F.first(c, ignorenulls=True).over(w).alias(prefix + c) for c in cols]
+        *keys, chunk, *[F.last(c, ignorenulls=True).over(w).alias(prefix + c) for c in cols]
     )
 
 
@@ -87,9 +87,14 @@ def ffill(df, cols, keys, order, chunk=None) -> DataFrame:
 
 
 def bfill(df, cols, keys, order, chunk=None) -> DataFrame:
-    """Replace nulls by the first later non-null value."""
-    w = _window(keys, order, chunk).rowsBetween(0, Window.unboundedFollowing)
-    local = {c: F.first(c, ignorenulls=True).over(w) for c in cols}
+    """Replace nulls by the first later non-null value.
+
+    Runs as a forward fill of the reversed order: Spark evaluates a frame that ends at the last
+    row anew for every row.
+    """
+    back = Window.partitionBy(*keys, *([chunk] if chunk else [])).orderBy(*[F.desc(c) for c in order])
+    w = back.rowsBetween(Window.unboundedPreceding, 0)
+    local = {c: F.last(c, ignorenulls=True).over(w) for c in cols}
     if chunk is None:
         return df.withColumns(local)
     carried = carry_after(df, cols, keys, order, chunk)
@@ -150,41 +155,36 @@ def ema(df, col, keys, order, span=EMA_SPAN, name="ema", block: int | None = Non
     """y0 = x0, y = (1-a) y' + a x with a = 2/(span+1), restarting per ``keys``.
 
     A linear recurrence is not a window function, so rows are cut in blocks.  Inside a block it
-    is a weighted running sum; across blocks the state decays by q^block per step, so the last
-    few block ends determine it to below double precision.  Inputs must not be null.
+    is a weighted running sum.  Across blocks the state decays by q^block per step, so the last
+    few block ends, found by fixed row offsets, determine it to below double precision.  All
+    windows work on the layout by ``keys``; nothing is shuffled again.  Inputs must not be null.
     """
     alpha = 2.0 / (span + 1.0)
     q = 1.0 - alpha
     if q <= 0.0:
         return df.withColumn(name, F.col(col).cast("double"))
-    # q^-block stays below e^2 for block <= span, so the weights neither over- nor underflow.
-    size = int(block or max(1, min(span, 3000)))
+    # q^-block stays near e^2 for block <= span, so the weights neither over- nor underflow.
+    size = int(block or max(1, span))
     reach = int(np.ceil(45.0 / (-np.log(q) * size))) + 1
     rows = _window(keys, order)
-    inside = Window.partitionBy(*keys, "_b").orderBy("_i").rowsBetween(
+    inside = Window.partitionBy(*keys, "_b").orderBy("_n").rowsBetween(
         Window.unboundedPreceding, 0
     )
-    chain = Window.partitionBy(*keys).orderBy("_b").rowsBetween(-reach, -1)
+    by_row = Window.partitionBy(*keys).orderBy("_n")
     pos = df.withColumn("_n", F.row_number().over(rows) - 1).withColumns(
         {"_b": F.floor(F.col("_n") / size), "_i": F.col("_n") % size}
     )
     # Row 0 is the seed: weight 1 instead of a.
     x = F.when(F.col("_n") == 0, F.col(col) / alpha).otherwise(F.col(col).cast("double"))
-    local = pos.withColumn(
-        "_y", F.lit(alpha) * F.pow(F.lit(q), F.col("_i"))
-        * F.sum(x * F.pow(F.lit(q), -F.col("_i"))).over(inside),
-    )
-    ends = local.groupBy(*keys, "_b").agg(F.max_by("_y", "_i").alias("_e"))
-    starts = ends.select(
-        *keys, "_b",
-        F.aggregate(
-            F.collect_list("_e").over(chain), F.lit(0.0),
-            lambda acc, e: acc * F.lit(q**size) + e,
-        ).alias("_s"),
-    )
+    weighted = F.sum(x * F.pow(F.lit(q), -F.col("_i").cast("double"))).over(inside)
+    local = pos.withColumn("_y", F.lit(alpha) * F.pow(F.lit(q), F.col("_i").cast("double")) * weighted)
+    entry = F.lit(0.0)
+    for j in range(reach):
+        entry = entry + F.coalesce(F.lag("_y", 1 + j * size).over(by_row), F.lit(0.0)) * F.lit(q ** (size * j))
+    started = local.withColumn("_s", F.when(F.col("_i") == 0, entry))
+    state = F.first("_s").over(inside)
     return (
-        local.join(starts, [*keys, "_b"], "left")
-        .withColumn(name, F.col("_y") + F.pow(F.lit(q), F.col("_i") + 1) * F.col("_s"))
+        started.withColumn(name, F.col("_y") + F.pow(F.lit(q), F.col("_i").cast("double") + 1) * state)
         .select(*df.columns, name)
     )
 

@@ -78,16 +78,23 @@ def book_tick_table(
     return ticks, moves
 
 
-def book_bins(ticks: DataFrame, moves: DataFrame, step: int) -> DataFrame:
-    """Per bin: sum of returns and last mid inside it; per bin start: last levels at or before."""
+def book_bins(ticks: DataFrame, moves: DataFrame, step: int, depth: int = DEPTH) -> DataFrame:
+    """Per bin: sum of returns and last mid inside it.  Per bin start: best quotes, imbalance and
+    weighted price of the last book at or before it, as numbers - the levels end here."""
     inside = moves.groupBy(*KEYS, floor_us("us", step).alias("bin")).agg(
         F.sum("log_return").alias("ret"),
         F.max_by("mid", F.when(F.col("mid").isNotNull(), F.col("us"))).alias("mid_end"),
         F.lit(True).alias("in_book"),
     )
-    at = ticks.where(F.col("bids").isNotNull()).groupBy(*KEYS, ceil_us("us", step).alias("bin")).agg(
-        F.max_by(F.struct("bids", "asks"), "us").alias("depth")
+    bids, asks = F.col("bids"), F.col("asks")
+    state = F.struct(
+        F.get(bids, F.lit(0))["price"].alias("bid"), F.get(asks, F.lit(0))["price"].alias("ask"),
+        depth_imbalance(bids, asks, depth).alias("obi"),
+        depth_wap(bids, asks, F.lit(None).cast("double"), depth).alias("wap"),
     )
+    at = ticks.where(F.col("bids").isNotNull()).select(
+        *KEYS, "us", ceil_us("us", step).alias("bin"), state.alias("quote")
+    ).groupBy(*KEYS, "bin").agg(F.max_by("quote", "us").alias("quote"))
     return inside.unionByName(at, allowMissingColumns=True)
 
 
@@ -117,12 +124,17 @@ def instrument_bins(instruments: DataFrame, step: int, zero_is_missing: bool = T
     return at.unionByName(edges, allowMissingColumns=True)
 
 
-def align(
-    parts: Sequence[DataFrame], step: int
-) -> DataFrame:
-    """Full outer alignment on (symbol, day, bin): union the reduced rows, fold, fill the gaps.
+STATE = ["mid_end", "quote", "mark", "index", "volume"]
+FEED_COLS = {"in_book": ["quote"], "in_instr": ["mark", "index", "volume"], "flow": []}
+EVENTS = {"ret": "in_book", "flow": "flow"}
+
 
-    Bins outside every feed's own range are dropped, as an outer join of the feeds would.
+def align(parts: Sequence[DataFrame], step: int, ffill_events: bool = False) -> DataFrame:
+    """Full outer alignment on (symbol, day, bin) of the reduced feeds, on the dense grid.
+
+    The rows are laid out once by (symbol, day), folded, and filled while still sparse.  Then each
+    row repeats itself up to the next one: state is copied, event sums are 0 in the gap.  A gap is
+    filled only where some feed's own range covers it, as an outer join of the feeds would.
     """
     rows = parts[0]
     for part in parts[1:]:
@@ -132,26 +144,57 @@ def align(
     folded = laid.groupBy(*KEYS, "bin").agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in values]
     )
-    whole = Window.partitionBy(*KEYS)
+    whole, ordered = Window.partitionBy(*KEYS), Window.partitionBy(*KEYS).orderBy("bin")
     ranges = {}
-    for name, flag in (("b", "in_book"), ("i", "in_instr"), ("t", "flow")):
+    for flag in FEED_COLS:
         here = F.when(F.col(flag).isNotNull(), F.col("bin"))
-        ranges["_lo" + name] = F.min(here).over(whole)
-        ranges["_hi" + name] = F.max(here).over(whole)
-    folded = folded.withColumns(ranges)
+        ranges |= {"_lo_" + flag: F.min(here).over(whole), "_hi_" + flag: F.max(here).over(whole)}
+    sparse = folded.withColumns(ranges)
+
+    def covers(first, last):
+        hit = F.lit(False)
+        for flag in FEED_COLS:
+            inside = (F.col("_lo_" + flag) <= first) & (F.col("_hi_" + flag) >= last)
+            hit = hit | F.coalesce(inside, F.lit(False))
+        return hit
+
     # As-of values past the last bin of their own feed drop out; the fill carries the one before.
-    for name, cols in (("b", ["depth"]), ("i", ["mark", "index", "volume"])):
-        for c in [c for c in cols if c in values]:
-            folded = folded.withColumn(c, F.when(F.col("bin") <= F.col("_hi" + name), F.col(c)))
-    within = F.lit(False)
-    for name in ("b", "i", "t"):
-        within = within | F.coalesce(
-            F.col("bin").between(F.col("_lo" + name), F.col("_hi" + name)), F.lit(False)
+    own = {
+        c: F.when(F.col("bin") <= F.col("_hi_" + flag), F.col(c))
+        for flag, cols in FEED_COLS.items() for c in cols
+    }
+    sparse = sparse.withColumns(own).where(covers(F.col("bin"), F.col("bin")))
+    quoted = (F.col("quote.bid") + F.col("quote.ask")) / 2
+    sparse = ffill(sparse.withColumn("mid", quoted), [*STATE, "mid"], KEYS, ["bin"])
+    after = F.lead("bin").over(ordered)
+    sparse = sparse.withColumn("_after", after).withColumn(
+        "_n", F.when(covers(F.col("bin"), F.col("_after")), ((F.col("_after") - F.col("bin")) / step).cast("long")).otherwise(1)
+    )
+    # Before the first two-sided book the mid is the day's median over the grid, each row counted
+    # as often as it will repeat.
+    median = F.percentile("mid", F.lit(0.5), F.when(F.col("mid").isNotNull(), F.col("_n")).otherwise(1)).over(whole)
+    sparse = sparse.withColumn("mid", F.coalesce("mid", median, F.lit(1.0)))
+    if ffill_events:
+        sparse = sparse.withColumns(
+            {
+                "_tail_" + c: F.max(F.when(F.col("bin") == F.col("_hi_" + flag), F.col(c))).over(whole)
+                for c, flag in EVENTS.items()
+            }
         )
-    edges = list(ranges)
-    dense = densify(folded, KEYS, step)
-    bounds = {c: F.max(c).over(whole) for c in edges}
-    return dense.withColumns(bounds).where(within).drop(*edges)
+    dense = sparse.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)))
+    at = F.col("bin") + F.col("_k") * step
+
+    def event(c, flag):
+        value = F.coalesce(F.when(F.col("_k") == 0, F.col(c)), F.lit(0.0))
+        if ffill_events:
+            # Parity: the last value of a feed goes on past its end.
+            value = F.when(at > F.col("_hi_" + flag), F.coalesce("_tail_" + c, F.lit(0.0))).otherwise(value)
+        return value.alias(c)
+
+    return dense.select(
+        *KEYS, at.alias("bin"), *[event(c, flag) for c, flag in EVENTS.items()], "mid_end", "mid",
+        "quote.*", "mark", "index", "volume",
+    )
 
 
 def aligned_feeds(
@@ -160,25 +203,18 @@ def aligned_feeds(
     returns: str = "tick", reset_daily: bool = True, null_policy: str = "keep",
     ffill_events: bool = False,
 ) -> DataFrame:
-    """(symbol, day, bin, ret, mid_end, bids, asks, mark, index, volume, flow) on the dense grid."""
+    """All feeds on the dense grid: ret, mid_end, mid, bid, ask, obi, wap, mark, index, volume, flow."""
     ticks, moves = book_tick_table(orderbook, step, depth, snapshot, returns, reset_daily)
-    grid = align(
+    return align(
         [
-            book_bins(ticks, moves, step),
+            book_bins(ticks, moves, step, depth),
             instrument_bins(
                 dedup_last(instruments, ["symbol", "ts"]), step, null_policy == "keep"
             ),
             trade_bins(dedup_last(trades, ["symbol", "trdMatchID"]), step),
         ],
         step,
-    )
-    state = ["mid_end", "depth", "mark", "index", "volume"]
-    events = ["ret", "flow"]
-    # In parity mode the last event value is carried past the end of its feed.
-    grid = ffill(grid, state + (events if ffill_events else []), KEYS, ["bin"])
-    return grid.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in events}).select(
-        *KEYS, "bin", "ret", "mid_end", F.col("depth.bids").alias("bids"),
-        F.col("depth.asks").alias("asks"), "mark", "index", "volume", "flow",
+        ffill_events,
     )
 
 
@@ -189,35 +225,21 @@ def relative_spread(bid: Column, ask: Column, mid: Column, mark: Column, index:
 
 
 def base_features(
-    grid: DataFrame, depth: int = DEPTH, span: int = EMA_SPAN, vol_window: int = VOL_WINDOW,
-    carry_days: bool = False,
+    grid: DataFrame, span: int = EMA_SPAN, vol_window: int = VOL_WINDOW, carry_days: bool = False,
 ) -> DataFrame:
     """Seven features from the aligned grid."""
     keys = ["symbol"] if carry_days else KEYS
-    bid, ask = F.get("bids", F.lit(0))["price"], F.get("asks", F.lit(0))["price"]
-    day = Window.partitionBy(*KEYS)
-    quoted = grid.withColumns({"bid": bid, "ask": ask}).withColumn("mid", (F.col("bid") + F.col("ask")) / 2)
-    # The mid of a one-sided book is unknown: last known one, else the day's median.
-    known = ffill(quoted, ["mid"], KEYS, ["bin"])
-    filled = known.withColumn(
-        "mid", F.coalesce("mid", F.median(F.when(F.col("mid") > 0, F.col("mid"))).over(day), F.lit(1.0))
+    both = (F.col("bid") + F.col("ask")) / 2
+    now = grid.select(
+        *KEYS, "bin", F.col("ret").alias("f1"),
+        relative_spread(F.col("bid"), F.col("ask"), both, F.col("mark"), F.col("index")).alias("f2"),
+        F.coalesce("obi", F.lit(0.0)).alias("f3"), signed_log(F.col("flow")).alias("f4"),
+        F.coalesce("wap", "mid").alias("f6"), F.coalesce("volume", F.lit(0.0)).alias("volume24h"),
+        F.coalesce("mid_end", F.lit(0.0)).alias("mid_price"),
     )
-    now = filled.withColumns(
-        {
-            "f1": F.col("ret"),
-            "f2": relative_spread(
-                F.col("bid"), F.col("ask"), (F.col("bid") + F.col("ask")) / 2, F.col("mark"), F.col("index")
-            ),
-            "f3": depth_imbalance(F.col("bids"), F.col("asks"), depth),
-            "f4": signed_log(F.col("flow")),
-            "f6": depth_wap(F.col("bids"), F.col("asks"), F.col("mid"), depth),
-            "volume24h": F.coalesce("volume", F.lit(0.0)),
-            "mid_price": F.coalesce("mid_end", F.lit(0.0)),
-        }
-    ).select(*KEYS, "bin", "f1", "f2", "f3", "f4", "f6", "volume24h", "mid_price")
-    smooth = ema(now, "f6", keys, ["bin"], span, name="_ema")
-    vol = rolling_std(smooth, "f1", keys, ["bin"], vol_window, name="f5")
-    out = vol.withColumn("f0", F.when(F.col("_ema") > 0, F.col("f6") / F.col("_ema") - 1).otherwise(0.0))
+    vol = rolling_std(now, "f1", keys, ["bin"], vol_window, name="f5")
+    smooth = ema(vol, "f6", keys, ["bin"], span, name="_ema")
+    out = smooth.withColumn("f0", F.when(F.col("_ema") > 0, F.col("f6") / F.col("_ema") - 1).otherwise(0.0))
     return out.select(
         "symbol", from_us("bin").alias("ts"),
         *[F.coalesce(finite(c), F.lit(0.0)).alias(c) for c in FEATURE_COLS],
@@ -230,7 +252,7 @@ def features_long(
     vol_window: int = VOL_WINDOW, carry_days: bool = False, **options,
 ) -> DataFrame:
     grid = aligned_feeds(orderbook, trades, instruments, step, depth, **options)
-    return base_features(grid, depth, span, vol_window, carry_days)
+    return base_features(grid, span, vol_window, carry_days)
 
 
 def widen(
