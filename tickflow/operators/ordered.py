@@ -139,16 +139,33 @@ def log_returns(
 def rolling_std(df, col, keys, order, window=VOL_WINDOW, name="rolling_std") -> DataFrame:
     """Population standard deviation over the last ``window`` rows, 0 before a full window.
 
-    Keys must be bounded (a symbol-day of grid rows).
+    Keys must be bounded (a symbol-day of grid rows).  Spark re-reads a sliding frame for every
+    row, so the window is put together from two growing ones: rows are cut in blocks of
+    ``window``, and a window is the end of one block and the start of the next.  Means and squared
+    deviations of both parts merge without cancellation.
     """
-    w = _window(keys, order)
-    frame = w.rowsBetween(-(window - 1), 0)
-    return df.withColumn(
-        name,
-        F.when(F.row_number().over(w) < window, F.lit(0.0)).otherwise(
-            F.coalesce(F.stddev_pop(col).over(frame), F.lit(0.0))
-        ),
+    size = int(window)
+    by_row = Window.partitionBy(*keys).orderBy("_n")
+    start = Window.partitionBy(*keys, "_b").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
+    end = Window.partitionBy(*keys, "_b").orderBy(F.desc("_n")).rowsBetween(Window.unboundedPreceding, 0)
+
+    def part(w):
+        x = F.col(col).cast("double")
+        return F.struct(F.count(x).over(w).alias("c"), F.avg(x).over(w).alias("m"), F.var_pop(x).over(w).alias("v"))
+
+    pos = df.withColumn("_n", F.row_number().over(_window(keys, order)) - 1).withColumn(
+        "_b", F.floor(F.col("_n") / size)
+    )
+    parts = pos.withColumn("_e", part(end)).withColumn("_s", part(start)).withColumn(
+        "_e", F.when(F.col("_n") % size != size - 1, F.lag("_e", size - 1).over(by_row)) if size > 1 else F.lit(None).cast("struct<c:bigint,m:double,v:double>")
     )
+    c1, m1, v1 = F.col("_s.c"), F.coalesce("_s.m", F.lit(0.0)), F.coalesce("_s.v", F.lit(0.0))
+    c2 = F.coalesce("_e.c", F.lit(0))
+    m2, v2 = F.coalesce("_e.m", F.lit(0.0)), F.coalesce("_e.v", F.lit(0.0))
+    total = c1 + c2
+    spread = v1 * c1 + v2 * c2 + (m1 - m2) * (m1 - m2) * c1 * c2 / total
+    full = (F.col("_n") >= size - 1) & (total > 0)
+    return parts.withColumn(name, F.when(full, F.sqrt(spread / total)).otherwise(0.0)).select(*df.columns, name)
 
 
 def ema(df, col, keys, order, span=EMA_SPAN, name="ema", block: int | None = None) -> DataFrame:

@@ -139,7 +139,10 @@ def align(parts: Sequence[DataFrame], step: int, ffill_events: bool = False) ->
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part, allowMissingColumns=True)
-    laid = rows.repartition(*KEYS)
+    # A fixed number of partitions: what is small here grows when the gaps are filled.
+    spark = rows.sparkSession
+    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    laid = rows.repartition(count, *KEYS)
     values = [c for c in laid.columns if c not in [*KEYS, "bin"]]
     folded = laid.groupBy(*KEYS, "bin").agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in values]
