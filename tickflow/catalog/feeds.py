@@ -376,11 +376,13 @@ def throttle_instruments(spark, sf):
     "recent_sample",
     over_feeds(
         """SELECT 'trades' AS feed, ts, seq FROM (SELECT * FROM trades WHERE symbol='click' AND ts>=TIMESTAMP '2024-01-20' ORDER BY ts DESC, seq DESC LIMIT 100)
-           UNION ALL SELECT 'liquidations', ts, seq FROM liquidations WHERE symbol='click' AND ts>=TIMESTAMP '2024-01-20'"""
+           UNION ALL SELECT 'liquidations', ts, seq FROM liquidations WHERE symbol='click' AND ts>=TIMESTAMP '2024-01-20'
+           UNION ALL SELECT 'orderbook', NULL, a.id FROM alive a WHERE a.tseq=(SELECT max(seq) FROM ob WHERE symbol='click')""",
+        book_ctes(),
     ),
 )
 def recent_sample(spark, sf):
     return rp.recent_sample(
         feed(spark, sf, "trades"), feed(spark, sf, "liquidations"), "click",
-        F.lit("2024-01-20").cast("timestamp_ntz"),
+        F.lit("2024-01-20").cast("timestamp_ntz"), levels=bk.book_state(feed(spark, sf, "orderbook")),
     )

@@ -138,8 +138,8 @@ _LERP = "a.v+(b.v-a.v)*(n-a.n)/(b.n-a.n)"
     ),
 )
 def interpolate(spark, sf):
-    rows = o.ordered_index(feed(spark, sf, "instruments").select("symbol", *ORDER, "markPrice"), ORDER, ["symbol"])
-    chunked = o.range_chunks(rows, ["symbol"], ORDER)
+    rows = feed(spark, sf, "instruments").select("symbol", *ORDER, "markPrice")
+    chunked = o.ordered_index(rows, ORDER, ["symbol"], chunk="chunk")
     df = o.interpolate(chunked, ["markPrice"], ["symbol"], ORDER, "idx", "chunk")
     return rounded(df.drop("idx", "chunk"), "markPrice")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickflow.functions.guards import clip, finite
 from tickflow.operators.joins import bounded_join
-from tickflow.operators.ordered import interpolate, ordered_index, range_chunks, warmup_trim
+from tickflow.operators.ordered import interpolate, ordered_index, warmup_trim
 from tickflow.operators.quantiles import wide_quantiles
 from tickflow.operators.typing import fix_nonpositive
 from tickflow.schemas import FEATURES, Z_DEFAULT, Z_FEATURE, Z_FEATURE_SYMBOL, Z_FEATURES, Z_ROUNDS
@@ -146,6 +146,6 @@ def sanitize(
     base = cut(sanitize_features(warmup_trim(df, ts, warmup), cols, price, key))
     removed = zscore_clean(base, thresholds, overrides, key)
     touched = [c for c in (thresholds or default_thresholds()) if c in cols]
-    placed = range_chunks(ordered_index(removed, [ts], [key], name="_pos"), [key], [ts], name="_ck")
+    placed = ordered_index(removed, [ts], [key], name="_pos", chunk="_ck")
     filled = interpolate(placed, touched, [key], [ts], "_pos", "_ck")
     return filled.select(*df.columns).na.fill(0.0, list(cols))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.clock import ceil_us, floor_us, from_us, to_us
+from tickflow.operators.joins import bounded_join
 from tickflow.operators.ordered import carry_after, ffill
 
 DAY_US = 86_400_000_000
@@ -143,8 +144,8 @@ def asof_labels(
 ) -> DataFrame:
     """Latest label at or before each row; rows before the first label take the first one.
 
-    Labels become [from, until) intervals, repeated for the days they touch, and meet the rows on
-    (day, hour): an equi-join that splits by hour and needs no broadcast.
+    Labels become [from, until) intervals, repeated for the hours they touch, and meet the rows on
+    the hour: an equi-join, broadcast while the intervals are few.
     """
     per_day = labels.select(
         F.col(label).alias("_label"), F.col(start).alias("_from"), F.to_date(start).alias("_day")
@@ -170,8 +171,7 @@ def asof_labels(
     )
     ok = (F.col(ts) >= F.col("_a")) & (F.col("_until").isNull() | (F.col(ts) < F.col("_until")))
     return (
-        rows.withColumn("_h", floor_us(to_us(ts), hour))
-        .join(placed, ["_h"])
+        bounded_join(rows.withColumn("_h", floor_us(to_us(ts), hour)), placed, ["_h"])
         .where(ok)
         .select(F.col("_label").alias(label), *rows.columns)
     )

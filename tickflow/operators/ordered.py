@@ -206,8 +206,13 @@ def ema(df, col, keys, order, span=EMA_SPAN, name="ema", block: int | None = Non
     )
 
 
-def ordered_index(df, order, keys=(), name="idx", pieces: int | None = None) -> DataFrame:
-    """Zero-based row position in the total order (per ``keys``), without a one-task window."""
+def ordered_index(
+    df, order, keys=(), name="idx", pieces: int | None = None, chunk: str | None = None
+) -> DataFrame:
+    """Zero-based row position in the total order (per ``keys``), without a one-task window.
+
+    ``chunk`` keeps the chunk number under that name, for chunked operators that follow.
+    """
     chunked = range_chunks(df, keys, order, pieces, name="_chunk")
     counts = chunked.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -219,7 +224,7 @@ def ordered_index(df, order, keys=(), name="idx", pieces: int | None = None) ->
         chunked.withColumn("_r", local)
         .join(base, [*keys, "_chunk"])
         .withColumn(name, (F.col("_r") + F.col("_base")).cast("long"))
-        .select(*df.columns, name)
+        .select(*df.columns, name, *([F.col("_chunk").alias(chunk)] if chunk else []))
     )
 
 

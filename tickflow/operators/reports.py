@@ -23,16 +23,24 @@ N = F.count
 
 
 def recent_sample(
-    trades: DataFrame, liquidations: DataFrame, symbol: str, cutoff: Column, last: int = 100
+    trades: DataFrame, liquidations: DataFrame, symbol: str, cutoff: Column, last: int = 100,
+    levels: DataFrame | None = None,
 ) -> DataFrame:
-    """The newest ``last`` trades and all liquidations of a symbol since the cutoff."""
+    """The newest ``last`` trades and all liquidations of a symbol since the cutoff, and the live
+    book levels if given (their id in place of the row number)."""
     def since(df):
         return df.where((F.col("symbol") == symbol) & (F.col("ts") >= cutoff))
 
     newest = since(trades).orderBy(F.col("ts").desc(), F.col("seq").desc()).limit(last)
-    return newest.select(F.lit("trades").alias("feed"), "ts", "seq").unionByName(
+    out = newest.select(F.lit("trades").alias("feed"), "ts", "seq").unionByName(
         since(liquidations).select(F.lit("liquidations").alias("feed"), "ts", "seq")
     )
+    if levels is None:
+        return out
+    now = levels.where(F.col("symbol") == symbol)
+    return out.unionByName(
+        now.select(F.lit("orderbook").alias("feed"), F.lit(None).cast("timestamp_ntz").alias("ts"), F.col("id").alias("seq"))
+    )
 
 
 def first_rows(
