@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tickflow.functions.clock import from_us, to_us
 from tickflow.functions.guards import clip
-from tickflow.operators.ordered import range_chunks, with_previous_valid
+from tickflow.operators.ordered import many_pieces, range_chunks, with_previous_valid
 from tickflow.schemas import DEPTH, RETURN_CLIP
 
 ORDER = ["us", "seq"]
@@ -167,7 +167,7 @@ def chunk_book(
 ) -> DataFrame:
     """Cut the book rows in even contiguous chunks; input of the replay operators."""
     need = [*keys, "us", "seq", "id", "side", "action", "price", "size"]
-    return range_chunks(_with_us(events).select(*need), keys, ORDER, pieces)
+    return range_chunks(_with_us(events).select(*need), keys, ORDER, pieces or many_pieces(events))
 
 
 def _chunk_epochs(chunked: DataFrame, keys, snapshot) -> DataFrame:

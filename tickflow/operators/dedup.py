@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickflow.operators.ordered import range_chunks
+from tickflow.operators.ordered import many_pieces, range_chunks
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
@@ -88,7 +88,7 @@ def throttle(
     """
     marked = df.withColumn("_always", F.coalesce(always, F.lit(False)))
     if chunk is None:
-        marked = range_chunks(marked, [key], [us, *order], name="_chunk")
+        marked = range_chunks(marked, [key], [us, *order], many_pieces(marked), name="_chunk")
         chunk = "_chunk"
     by = [us, *order]
 

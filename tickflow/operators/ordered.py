@@ -35,9 +35,18 @@ def range_chunks(
     """
     by = [F.col(c) for c in [*keys, *order]]
     parts = df.repartitionByRange(pieces, *by) if pieces else df.repartitionByRange(*by)
+    # Without a number AQE merges small pieces; with one, the caller knows better.
     return cut(parts.withColumn(name, F.spark_partition_id().cast("long")))
 
 
+def many_pieces(df: DataFrame, factor: int = 4) -> int:
+    """Several chunks per core: chunks are hashed to tasks afterwards, and with one per core on
+    average a third of the cores would stay idle while a few work off several."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), factor * cores)
+
+
 def _window(keys, order, chunk=None):
     return Window.partitionBy(*keys, *([chunk] if chunk else [])).orderBy(*order)
 

@@ -19,6 +19,7 @@ def local_session(cpus: str | int = "*", app: str = "tickflow", memory: str = "8
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
