@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import decontam, kneser, langid, near_dedup, pii, substrings
+from tickflow.llm import decontam, kneser, langid, near_dedup, pii, substrings, warc
 from tickflow.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(spark, table(spark, sf_dir, "pages"))
+
+
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
