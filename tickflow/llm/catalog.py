@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import decontam, kneser, langid, near_dedup, pii, substrings, warc
+from tickflow.llm import decontam, extract, kneser, langid, near_dedup, pii, substrings, warc
 from tickflow.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.report(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(table(spark, sf_dir, "documents"))
