@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import decontam, extract, kneser, langid, near_dedup, pii, substrings, warc
+from tickflow.llm import decontam, extract, kneser, langid, mixing, near_dedup, pii, quality, substrings, warc
 from tickflow.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser.report(table(spark, sf_dir, "documents"))
@@ -53,6 +58,20 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
 
 
+MIX = mixing.Mix(
+    domains={"domain0": 0.4, "domain1": 0.3, "domain2": 0.2, "domain3": 0.1},
+    languages={"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1},
+)
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"), MIX)
+
+
+SQL["op9_mixing"] = mixing.sql(MIX)
+
+
 @query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.report(table(spark, sf_dir, "documents"), n=4)
