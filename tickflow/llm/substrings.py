@@ -74,18 +74,25 @@ def _seeds(span: int, k: int):
     return fn
 
 
+def _ranges(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lists of (lo, hi) as flat arrays: the begin of each row's part, all lo, all hi."""
+    begin = np.r_[0, np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))].astype(np.int64)
+    flat = column.flatten()
+    return begin, *(flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lo", "hi"))
+
+
 def _windows(span: int):
     """The hash of every window in the ranges of a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             order, name = batch.column("ord").to_numpy(), batch.column("name").to_numpy()
-            ranges = batch.column("fine").to_pylist()
+            begin, low, high = _ranges(batch.column("fine"))
             texts = batch.column("text").fill_null("").cast(pa.large_string())
             for a, b, words in chunks(texts, BY_SPACE, lower=False):
-                lo = np.array([x["lo"] + words.first[r] for r in range(b - a) for x in ranges[a + r]], np.int64)
-                hi = np.array([x["hi"] + words.first[r] for r in range(b - a) for x in ranges[a + r]], np.int64)
-                at, _ = spread(lo, hi)
+                own = slice(begin[a], begin[b])
+                base = np.repeat(words.first[:-1], np.diff(begin[a : b + 1]))
+                at, _ = spread(low[own] + base, high[own] + base)
                 row = np.searchsorted(words.first, at, "right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -112,17 +119,16 @@ def _remove(span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id")
-            solved, found = batch.column("solved").to_pylist(), batch.column("found").to_pylist()
+            whole, single = _ranges(batch.column("solved")), _ranges(batch.column("found"))
             texts = batch.column("text").fill_null("").cast(pa.large_string())
             for a, b, words in chunks(texts, BY_SPACE, lower=False):
                 n = len(words.hash)
                 change = np.zeros(n + 1, np.int64)
-                for r in range(b - a):
-                    base = words.first[r]
-                    lo = np.array([x["lo"] for x in solved[a + r]] + (found[a + r] or []), np.int64) + base
-                    hi = np.array([x["hi"] for x in solved[a + r]] + (found[a + r] or []), np.int64) + base
-                    np.add.at(change, lo, 1)
-                    np.add.at(change, hi + span, -1)
+                for begin, low, high in (whole, single):
+                    own = slice(begin[a], begin[b])
+                    base = np.repeat(words.first[:-1], np.diff(begin[a : b + 1]))
+                    np.add.at(change, low[own] + base, 1)
+                    np.add.at(change, high[own] + base + span, -1)
                 gone = np.cumsum(change[:-1]) > 0
                 repeats: list[list] = [[] for _ in range(b - a)]
                 for r, x, y in zip(*runs(gone, words.first), strict=True):
@@ -177,7 +183,7 @@ def find(docs: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
         flagged.where(F.size("fine") > 0).select("ord", "name", "fine", "text").mapInArrow(_windows(span), _FINE), "windows"
     )
     twice = fine.groupBy("window").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first < last")
-    found = fine.join(twice, "window").where("ord > first").groupBy("ord", "name").agg(F.collect_set("at").alias("found"))
+    found = fine.join(twice, "window").where("ord > first").groupBy("ord", "name").agg(F.collect_set(F.struct(F.col("at").alias("lo"), F.col("at").alias("hi"))).alias("found"))
     schema = T.StructType([docs.schema["doc_id"], *_CUT])
     changed = flagged.join(found, ["ord", "name"], "left").select("doc_id", "text", "solved", "found").mapInArrow(_remove(span), schema)
     untouched = base.join(ranges.select("ord", "name"), ["ord", "name"], "left_anti").select(
