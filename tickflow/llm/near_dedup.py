@@ -8,8 +8,11 @@ left out: all pairs within the distance share a key.  At a similarity of 0.8 a p
 
 * Equal sets are one class, found by a hash of the whole set and folded before the shuffle.
 * Keys hold classes.  Each is first compared with the smallest class of its key (a star, never all
-  pairs).  Only keys that still hold several components afterwards are compared in full, in blocks of
-  bounded size and only across components, so a large group of near copies costs a star.
+  pairs), so a large group of near copies costs a star.
+* Classes of keys that still hold several components are compared across components, with one more
+  necessary condition that keeps families of loosely related texts from meeting pairwise: similar
+  sets share one of their rarest shingles (as many as the similarity lets a set lose, and one).  Rare is
+  told by counts over a fixed table of hashed shingles; any common order keeps the condition exact.
 * Pairs within the distance are confirmed on the full shingle sets, computed from the texts.
 
 Defined results: null or wordless texts have no shingles and are linked with nothing.  Rows that
@@ -34,6 +37,7 @@ PARTS, WIDTH = 11, 4
 SYMBOLS = PARTS * WIDTH
 DISTANCE = 2 * PARTS - 1
 BLOCK = 512
+RARITY_BITS = 18
 
 _RANDOM = np.random.default_rng(20240229)
 _A = (_RANDOM.integers(0, 1 << 31, SYMBOLS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -127,21 +131,69 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(differ <= DISTANCE))
 
 
-def _within(percent: int):
-    """Pairs across components of one block pair, within the distance and of fitting sizes."""
+def _counted(n: int):
+    """(bucket, count) of the shingles of a partition, each once per text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in groups(batches, ["key", "i", "j"]):
+        total = np.zeros(1 << RARITY_BITS, np.int64)
+        for batch in batches:
+            for _, _, words in chunks(batch.column(0).fill_null("").cast(pa.large_string()), BY_SPACE, lower=True):
+                sets = shingle_sets(words, n)
+                total += np.bincount(_bucket(np.concatenate(sets)), minlength=len(total))
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["bucket", "n"])
+
+    return run
+
+
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> U(64 - RARITY_BITS)).astype(np.int64)
+
+
+def _rarest(n: int, percent: int, counts):
+    """(token, node, root, n): the shingles of a set of which a similar set must have one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = counts.value
+        for batch in batches:
+            node, root = batch.column("node").to_numpy(), batch.column("root").to_numpy()
+            texts = batch.column("text").fill_null("").cast(pa.large_string())
+            for a, _, words in chunks(texts, BY_SPACE, lower=True):
+                sets = shingle_sets(words, n)
+                keep = [len(s) + (-percent * len(s) // 100) + 1 for s in sets]
+                rare = [s[np.lexsort((s, table[_bucket(s)]))[:k]] for s, k in zip(sets, keep, strict=True)]
+                size = [len(x) for x in rare]
+                at = np.arange(a, a + len(sets))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(rare).view(np.int64)), pa.array(np.repeat(node[at], size)),
+                        pa.array(np.repeat(root[at], size)), pa.array(np.repeat([len(s) for s in sets], size).astype(np.int64)),
+                    ],
+                    names=["token", "node", "root", "n"],
+                )
+
+    return run
+
+
+def _across(percent: int):
+    """Pairs across components of one block pair, within the distance and of fitting sizes.
+
+    Part 0 holds outsiders and a block of the token's largest component, part 1 outsiders only.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups(batches, ["token", "part", "i", "j"]):
             node, root, block, n = (rows.column(c).to_numpy() for c in ("node", "root", "block", "n"))
-            i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
-            tested = node == rows.column("pivot").to_numpy()
-            left = np.flatnonzero((block == i) & ~tested)
-            right = np.flatnonzero((block == j) & ~tested)
+            inside = rows.column("inside").to_numpy()
+            part, i, j = (rows.column(c)[0].as_py() for c in ("part", "i", "j"))
+            left = np.flatnonzero(~inside if part == 0 else block == i)
+            right = np.flatnonzero(inside if part == 0 else block == j)
             if not len(left) or not len(right):
                 continue
             symbols = _matrix(rows.column("signature"))
             for a in left:
-                b = right[(root[right] != root[a]) & ((node[right] > node[a]) if i == j else True)]
+                b = right[root[right] != root[a]]
+                b = b[node[b] > node[a]] if part == 1 and i == j else b
                 b = b[100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])]
                 b = b[(symbols[b] != symbols[a]).sum(axis=1) <= DISTANCE]
                 if len(b):
@@ -174,26 +226,70 @@ def _confirm(n: int, percent: int):
     return run
 
 
-def confirm(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs of classes (a, b) whose full shingle sets are similar enough."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "rep"), "node")
+def representatives(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """(node, text) for rows (node, rep): the text of the class's smallest id."""
     named = docs.where("doc_id IS NOT NULL").select("doc_id", "text").join(
-        need.where("rep IS NOT NULL"), F.col("doc_id") == F.col("rep")
+        nodes.where("rep IS NOT NULL"), F.col("doc_id") == F.col("rep")
     ).select("node", "text")
     # Rows without an id are found by their set.
     unnamed = (
         signatures(docs.where("doc_id IS NULL"), n, ["text"])
-        .join(need.where("rep IS NULL"), "node")
+        .join(nodes.where("rep IS NULL"), "node")
         .select("node", F.col(f"{ROW}.text").alias("text"))
         .dropDuplicates(["node"])
     )
-    texts = named.unionByName(unnamed)
+    return named.unionByName(unnamed)
+
+
+def confirm(texts: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs of classes (a, b) whose full shingle sets are similar enough; ``texts`` are (node, text)."""
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
     )
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(n, percent), _PAIR)
 
 
+def _between(docs: DataFrame, live: DataFrame, classes: DataFrame, roots: DataFrame, n: int, percent: int) -> DataFrame:
+    """Confirmed links across the components ``roots`` of classes that share a key."""
+    sc = docs.sparkSession.sparkContext
+    rooted = live.where("size > 2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    left = rooted.join(several.select("key"), "key").select("node", "root").distinct().join(classes.select("node", "rep"), "node")
+    texts = stage(representatives(docs, left.select("node", "rep"), n).join(left.select("node", "root"), "node"), "texts")
+    # A table of fixed size, whatever the corpus.
+    counts = texts.select("text").mapInArrow(_counted(n), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    rarity = np.zeros(1 << RARITY_BITS, np.int64)
+    rarity[counts["bucket"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
+    tokens = stage(
+        texts.mapInArrow(_rarest(n, percent, sc.broadcast(rarity)), "token long, node long, root long, n long"), "tokens"
+    )
+    heads = (
+        tokens.groupBy("token", "root").agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("token").agg(F.max(F.struct("rows", "root")).alias("head"), F.sum("rows").alias("all")).where("all > head.rows")
+    )
+    parts = [F.ceil(x / BLOCK).cast("int") for x in (F.col("head.rows"), F.col("all") - F.col("head.rows"))]
+    inside = F.col("root") == F.col("head.root")
+    each = lambda k: F.sequence(F.lit(0), parts[k] - 1)
+    at = lambda part, i, j: F.struct(F.lit(part).alias("part"), i.alias("i"), j.alias("j"))
+    block = F.col("block")
+    places = F.when(inside, F.transform(each(1), lambda x: at(0, block, x))).otherwise(
+        F.concat(F.transform(each(0), lambda x: at(0, x, block)), F.transform(each(1), lambda x: at(1, F.least(block, x), F.greatest(block, x))))
+    )
+    members = (
+        tokens.join(heads, "token")
+        .withColumn("inside", inside)
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.when(inside, parts[0]).otherwise(parts[1])).cast("int"))
+        .withColumn("place", F.explode(places))
+        .select("token", "node", "root", "n", "inside", "block", "place.*")
+        .join(classes.select("node", "signature"), "node")
+    )
+    met = (
+        members.repartition("token", "part", "i", "j").sortWithinPartitions("token", "part", "i", "j")
+        .mapInArrow(_across(percent), _PAIR).distinct()
+    )
+    return confirm(texts.select("node", "text"), stage(met, "pairs"), n, percent)
+
+
 def link(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, n_shingles, node) of all documents, and (node, component_id) of all classes."""
     rows = stage(signatures(docs, n, ["doc_id"]).select(f"{ROW}.doc_id", "n_shingles", "node", "signature"), "signatures")
@@ -216,26 +312,11 @@ def link(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, Dat
         .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
         .select("a", "b", "s_a", "s_b").mapInArrow(_near, _PAIR)
     )
-    edges = stage(confirm(docs, classes, stage(star, "pairs"), n, percent), "links")
-    first = stage(components(edges), "roots")
-
-    # Keys that still hold several components: all pairs across them, in blocks.
-    rooted = live.where("size > 2").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("node"), parts).cast("int")
-    each = F.explode(F.sequence(F.lit(0), parts - 1))
-    members = (
-        rooted.join(open_keys.select("key"), "key")
-        .withColumn("block", block).withColumn("other", each)
-        .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-        .join(classes.select("node", "n", "signature"), "node")
-    )
-    rest = (
-        members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        .mapInArrow(_within(percent), _PAIR).distinct()
-    )
-    more = stage(confirm(docs, classes, stage(rest, "pairs"), n, percent), "links")
+    pairs = stage(star, "pairs")
+    reps = classes.select("node", "rep")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(reps, "node")
+    first = stage(components(confirm(representatives(docs, met, n), pairs, n, percent)), "roots")
+    more = _between(docs, live, classes, first, n, percent)
     roots = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     named = roots.join(classes.select("node", "rep"), "node")
     smallest = named.groupBy("root").agg(F.min("rep").alias("least_id"))
