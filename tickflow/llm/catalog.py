@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import decontam, extract, kneser, langid, mixing, near_dedup, pii, quality, substrings, warc
+from tickflow.llm import checks, decontam, extract, kneser, langid, mixing, near_dedup, pii, quality, substrings, warc
 from tickflow.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,9 @@ SQL["op9_mixing"] = mixing.sql(MIX)
 @query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.report(table(spark, sf_dir, "documents"), n=4)
+
+
+SQL["op3_decontamination"] = checks.DECONTAMINATION
+SQL["op7_arc_to_warc"] = checks.ARCHIVES
+SQL["op8_substring_dedup"] = checks.SUBSTRINGS
+SQL["op10_minhash_near_dedup"] = checks.NEAR_DUPLICATES
