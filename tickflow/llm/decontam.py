@@ -55,14 +55,17 @@ def _windows(span: int, k: int, block: int):
                     n = min(span, int(hi - lo))
                     starts = np.arange(lo, hi - n + 1)
                     hashes = words.grams(starts, n)
-                    own = prints[(at >= lo) & (at < hi)] if n == span else hashes
                     for b in range(0, len(hashes), block):
+                        piece = hashes[b : b + block]
+                        # Every window selects a fingerprint among its own words.
+                        within = (at >= lo + b) & (at < lo + b + len(piece) + n - 1)
+                        own = prints[within] if n == span else piece
                         yield pa.RecordBatch.from_pydict(
                             {
                                 "item": pa.array([str(ids[a + r]) if ids[a + r] is not None else "null"]),
                                 "n": pa.array([n], pa.int32()),
-                                "windows": pa.array([hashes[b : b + block].astype(np.int64)], pa.list_(pa.int64())),
-                                "prints": pa.array([(own if not b else own[:0]).astype(np.int64)], pa.list_(pa.int64())),
+                                "windows": pa.array([piece.view(np.int64)], pa.list_(pa.int64())),
+                                "prints": pa.array([own.view(np.int64)], pa.list_(pa.int64())),
                             }
                         )
 
@@ -161,7 +164,7 @@ def find(
     """``_row`` (the columns of ``docs``, or ``columns`` of them), ``n_words``, ``hits`` (ranges of words
     inside an occurring window, end exclusive) and ``items`` (ids of the items with such windows)."""
     sc = docs.sparkSession.sparkContext
-    docs = docs.select(*dict.fromkeys([*(columns or docs.columns), "text"]))
+    docs = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*(columns or docs.columns), "text"])])
 
     def mapper(shared):
         def fn(texts: pa.Array) -> dict:
