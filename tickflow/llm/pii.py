@@ -183,7 +183,11 @@ def report(docs: DataFrame) -> DataFrame:
     """One row per document: counts of the base kinds, digest of their spans, all spans."""
     found = F.col("found")
     base = F.filter(found, lambda x: x["kind"].isin("email", "ip", "card", "phone"))
-    counts = [F.size(F.filter(found, lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:4]]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(found, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in KINDS[:4]]
     return find(docs.select("doc_id", "text")).select(
         f"{ROW}.doc_id", *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(found).alias("spans")
     )
