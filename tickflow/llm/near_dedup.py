@@ -100,8 +100,9 @@ def _signatures(n: int):
 
 def signatures(docs: DataFrame, n: int, columns: list[str]) -> DataFrame:
     """``_row`` with the given columns, ``n_shingles``, ``node`` (the name of the set), ``signature``."""
-    return annotate(docs.select(*dict.fromkeys([*columns, "text"])), _SIGNATURE, _signatures(n)).select(
-        F.struct(*[f"{ROW}.{c}" for c in columns]).alias(ROW), *[f.name for f in _SIGNATURE]
+    source = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, "text"])])
+    return annotate(source, _SIGNATURE, _signatures(n)).select(
+        F.struct(*[F.col(f"{ROW}.`{c}`").alias(c) for c in columns]).alias(ROW), *[f.name for f in _SIGNATURE]
     )
 
 
