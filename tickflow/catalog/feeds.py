@@ -20,7 +20,9 @@ def raw_messages(spark, sf):
     """JSON messages built from the events: up to three rows of a feed and action per message.
 
     Every 97th event also sends a control message; message texts with offset % 101 = 0 are cut
-    off, and prices of trades with event id % 41 = 0 are not numbers.
+    off, and prices of trades with event id % 41 = 0 are not numbers.  Book rows have no time of
+    their own, every 43rd row of the other feeds an impossible one; sizes of trades are written
+    with a decimal point, and every 59th trade has no id.
     """
     e = raw(spark, sf)
     k, ident = F.col("k"), F.col("event_id")
@@ -37,14 +39,14 @@ def raw_messages(spark, sf):
     )
     is_book, is_trade, is_instr, is_liq = k < 40, k.between(40, 69), k.between(70, 89), k >= 90
     row = F.struct(
-        stamp.alias("timestamp"), F.col("symbol").alias("symbol"),
+        F.when(~is_book, F.when(ident % 43 == 0, "1970-01-01T00:00:00Z").otherwise(stamp)).alias("timestamp"), F.col("symbol").alias("symbol"),
         F.when(is_book, F.when(F.col("u") == 0, F.lit(None)).otherwise(F.col("u"))).alias("id"),
         F.when(~is_instr, side).alias("side"),
         F.when(is_book & ~((ident % 500 == 0) | (k < 16)), F.lit(None).cast("string"))
         .when(is_trade & (ident % 41 == 0), "n/a")
         .when(~is_instr, F.when(is_trade, 1000 + (k - 55) * 0.5).otherwise(price).cast("string")).alias("price"),
-        F.when(is_book | is_trade, F.floor("v").cast("int")).alias("size"),
-        F.when(is_trade, F.concat(F.lit("T"), (ident - ident % 2).cast("string"))).alias("trdMatchID"),
+        F.when(is_book | is_trade, F.concat(F.floor("v").cast("string"), F.when(is_trade, ".0").otherwise(""))).alias("size"),
+        F.when(is_trade & (ident % 59 != 0), F.concat(F.lit("T"), (ident - ident % 2).cast("string"))).alias("trdMatchID"),
         F.when(is_trade, F.col("v") * 10).alias("foreignNotional"),
         F.when(is_trade, "PlusTick").alias("tickDirection"),
         F.when(is_liq, F.concat(F.lit("L"), (ident - ident % 3).cast("string"))).alias("orderID"),
@@ -56,12 +58,12 @@ def raw_messages(spark, sf):
     )
     batch = F.floor(ident / 3)
     grouped = e.groupBy(table.alias("table"), action.alias("action"), batch.alias("batch")).agg(
-        F.min("event_id").alias("offset"),
+        F.min("event_id").alias("offset"), F.round(F.unix_micros(F.max("ts").cast("timestamp")) / 1e6, 3).alias("received"),
         F.transform(F.array_sort(F.collect_list(F.struct("event_id", row.alias("r")))), lambda x: x["r"]).alias("data"),
     )
     text = F.to_json(F.struct("table", "action", "data"))
     feeds = grouped.select(
-        "offset", F.when(F.col("offset") % 101 == 0, F.substring(text, 1, 40)).otherwise(text).alias("value")
+        "offset", F.when(F.col("offset") % 101 == 0, F.substring(text, 1, 40)).otherwise(text).alias("value"), "received"
     )
     kind = ident % 5
     control = e.where(ident % 97 == 0).select(
@@ -69,6 +71,7 @@ def raw_messages(spark, sf):
         F.when(kind == 0, '{"info":"welcome"}').when(kind == 1, '{"success":true,"subscribe":"trade"}')
         .when(kind == 2, '{"error":"bad topic"}').when(kind == 3, '{"success":true}')
         .otherwise("not json").alias("value"),
+        F.lit(None).cast("double").alias("received"),
     )
     return feeds.unionByName(control)
 
@@ -79,12 +82,12 @@ e0 AS (SELECT *, CASE WHEN k<40 THEN 'orderBookL2' WHEN k<70 THEN 'trade' WHEN k
          CASE WHEN k<40 THEN 'orderbook' WHEN k<70 THEN 'trades' WHEN k<90 THEN 'instruments' ELSE 'liquidations' END AS feed,
          CASE WHEN k>=40 THEN 'insert' WHEN event_id%500=0 THEN 'partial' WHEN k<16 THEN 'insert' WHEN k<30 THEN 'update' ELSE 'delete' END AS action
        FROM raw),
-mm AS (SELECT *, min(event_id) OVER w AS "offset", CAST(row_number() OVER (w ORDER BY event_id)-1 AS INT) AS pos
+mm AS (SELECT *, min(event_id) OVER w AS "offset", round(CAST(epoch_us(max(ts) OVER w) AS DOUBLE)/1e6,3) AS received, CAST(row_number() OVER (w ORDER BY event_id)-1 AS INT) AS pos
       FROM e0 WINDOW w AS (PARTITION BY tbl, action, event_id//3)),
 m AS (SELECT *, CASE WHEN k>=40 AND k<70 AND event_id%41=0 THEN NULL WHEN k>=40 AND k<70 THEN 1000+(k-55)*0.5::DOUBLE
         WHEN u%2=0 THEN 1000-u*0.5::DOUBLE ELSE 1000+u*0.5::DOUBLE END AS px,
         CASE WHEN u%2=0 THEN 'Buy' ELSE 'Sell' END AS side, "offset"*1000000+pos AS seq,
-        round(CAST(epoch_us(ts) AS DOUBLE)/1e6,3) AS t
+        CASE WHEN k<40 OR event_id%43=0 THEN received ELSE round(CAST(epoch_us(ts) AS DOUBLE)/1e6,3) END AS t
       FROM mm WHERE "offset"%101<>0)"""
 
 
@@ -138,20 +141,25 @@ def ingest_quarantine(spark, sf):
 
 
 def _rows(spark, sf):
-    return _routed(spark, sf)
+    """Routed rows whose numbers parse; a row that does not parse is skipped."""
+    return ms.good_rows(_routed(spark, sf))
+
+
+def _arrival():
+    return ty.epoch_to_ts("received")
 
 
 @query(
     "norm_trades",
     over_feeds(
-        f"""SELECT seq, t AS timestamp, concat('T',CAST(event_id-event_id%2 AS STRING)) AS "trdMatchID", symbol, px AS price, CAST(floor(v) AS INT) AS size,
+        f"""SELECT seq, t AS timestamp, CASE WHEN event_id%59<>0 THEN concat('T',CAST(event_id-event_id%2 AS STRING)) END AS "trdMatchID", symbol, px AS price, CAST(floor(v) AS INT) AS size,
               0.0::DOUBLE AS "homeNotional", {r6('v*10')} AS "foreignNotional", side, 'PlusTick' AS "tickDirection", 0::BIGINT AS "grossValue"
-            FROM m WHERE feed='trades'""",
+            FROM m WHERE feed='trades' AND px IS NOT NULL""",
         MSG,
     ),
 )
 def norm_trades(spark, sf):
-    return rounded(ms.trades(_rows(spark, sf)), "foreignNotional")
+    return rounded(ms.trades(_rows(spark, sf), _arrival()), "foreignNotional")
 
 
 @query(
@@ -164,7 +172,7 @@ def norm_trades(spark, sf):
     ),
 )
 def norm_liquidations(spark, sf):
-    return ms.liquidations(_rows(spark, sf))
+    return ms.liquidations(_rows(spark, sf), _arrival())
 
 
 @query(
@@ -179,7 +187,7 @@ def norm_liquidations(spark, sf):
     ),
 )
 def norm_instruments(spark, sf):
-    return rounded(ms.instruments(_rows(spark, sf)), "markPrice")
+    return rounded(ms.instruments(_rows(spark, sf), _arrival()), "markPrice")
 
 
 @query(
@@ -191,7 +199,7 @@ def norm_instruments(spark, sf):
     ),
 )
 def norm_book(spark, sf):
-    return ms.book_deltas(_rows(spark, sf))
+    return ms.book_deltas(_rows(spark, sf), F.col("received"))
 
 
 @query(

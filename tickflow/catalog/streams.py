@@ -29,11 +29,11 @@ def _stream(spark, sf, name):
 
 
 @query("stream_ingest", over_feeds(
-    """SELECT feed, CAST(t AS DOUBLE) AS timestamp, seq, symbol FROM m WHERE NOT (feed='orderbook' AND u=0)""", MSG))
+    """SELECT feed, CAST(t AS DOUBLE) AS timestamp, seq, symbol FROM m WHERE NOT (feed='orderbook' AND u=0) AND px IS NOT NULL""", MSG))
 def stream_ingest(spark, sf):
     """Raw messages through the ingest stream; every row of the four feeds read back."""
     src, root, ck = (work_path(spark, n) for n in ("messages", "ingest", "ck"))
-    raw = raw_messages(spark, sf).select(F.col("offset").cast("long").alias("offset"), "value")
+    raw = raw_messages(spark, sf).select(F.col("offset").cast("long").alias("offset"), "value", "received")
     _staged(raw, src, "offset")
     st.ingest(st.read_stream(spark, src, st.MESSAGES, 1), root, ck).awaitTermination()
     parts = [
@@ -86,11 +86,11 @@ def stream_taker_imbalance(spark, sf):
     return rounded(st.latest(spark, path, ["symbol", "ts"]), "f4")
 
 
-@query("stream_hooks", over_feeds("SELECT seq, symbol FROM m WHERE feed='trades' AND v*10>1000", MSG))
+@query("stream_hooks", over_feeds("SELECT seq, symbol FROM m WHERE feed='trades' AND v*10>1000 AND px IS NOT NULL", MSG))
 def stream_hooks(spark, sf):
     """A hook that stores large trades and one that always fails."""
     src, root, found, ck = (work_path(spark, n) for n in ("messages", "hooks", "whales", "ck"))
-    _staged(raw_messages(spark, sf).select(F.col("offset").cast("long").alias("offset"), "value"), src, "offset")
+    _staged(raw_messages(spark, sf).select(F.col("offset").cast("long").alias("offset"), "value", "received"), src, "offset")
 
     def whales(batch, number):
         hit = batch.where(F.abs("foreignNotional") > 1000).select("seq", "symbol").withColumn("batch", F.lit(number))

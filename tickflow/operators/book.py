@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from tickflow.functions.clock import from_us, to_us
 from tickflow.functions.guards import clip
-from tickflow.operators.ordered import many_pieces, range_chunks, with_previous_valid
+from tickflow.operators.ordered import carry_before, many_pieces, range_chunks, with_previous_valid
 from tickflow.schemas import DEPTH, RETURN_CLIP
+from tickflow.session import cut
 
 ORDER = ["us", "seq"]
 
@@ -307,18 +308,31 @@ def _rows(pdf: pd.DataFrame) -> Iterator[tuple]:
     return zip(*cols, *nums)
 
 
+NONE = -(1 << 63)
+"""Stands for a missing integer between Spark and pandas: a column with nulls would turn to floats
+there, which do not hold every integer."""
+
+
+def _filled(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(NONE)).alias(name.lstrip("_"))
+
+
 def _replay(chunked: DataFrame, keys, snapshot, fn, schema: str) -> DataFrame:
     """cogroup(checkpoint, chunk) by chunk and run ``fn(book, rows, ...)`` per key in it."""
     epochs = _chunk_epochs(chunked, keys, snapshot)
-    start = checkpoints(chunked, keys, snapshot, epochs)
     # One marker row per (keys, chunk) tells the snapshot in force and the next chunk's first time;
     # it travels with the checkpoint, so the events themselves are shuffled only once.
     marks = epochs.select(
-        *keys, "chunk", F.col("epoch_before.us").alias("_snap_us"), F.col("next_us").alias("_next_us"),
-        F.lit(True).alias("_mark"),
+        *keys, "chunk", F.lit(None).cast("string").alias("side"), F.lit(NONE).alias("id"),
+        F.lit(None).cast("double").alias("price"), F.lit(None).cast("double").alias("size"), F.lit(True).alias("mark"),
+        F.coalesce("epoch_before.us", F.lit(NONE)).alias("snap_us"), F.coalesce("next_us", F.lit(NONE)).alias("next_us"),
     )
-    start = start.unionByName(marks, allowMissingColumns=True)
-    events = chunked
+    levels = checkpoints(chunked, keys, snapshot, epochs).select(
+        *keys, "chunk", "side", _filled("id"), F.col("price").cast("double").alias("price"), F.col("size").cast("double").alias("size"),
+        F.lit(False).alias("mark"), F.lit(NONE).alias("snap_us"), F.lit(NONE).alias("next_us"),
+    )
+    start = levels.unionByName(marks)
+    events = chunked.withColumn("id", _filled("id"))
     names = [part.strip().split()[0] for part in schema.split(";")]
     fields = {f.name: f.dataType.simpleString() for f in chunked.schema.fields}
     ids = [*keys, "chunk"]
@@ -332,16 +346,15 @@ def _replay(chunked: DataFrame, keys, snapshot, fn, schema: str) -> DataFrame:
         for key, rows in pdf.groupby(list(keys), sort=False):
             book = _Book()
             start = live[key]
-            mark = start["_mark"].notna()
+            mark = start["mark"].to_numpy(bool)
             levels_now, marker = start[~mark], start[mark].iloc[0]
             for side, ident, price, size in zip(
                 levels_now["side"], levels_now["id"], levels_now["price"], levels_now["size"]
             ):
                 book.put(side, int(ident), float(price), float(size))
-            known, following = marker["_snap_us"], marker["_next_us"]
+            known, following = int(marker["snap_us"]), int(marker["next_us"])
             out = fn(
-                book, _rows(rows), None if pd.isna(known) else int(known),
-                None if pd.isna(following) else int(following),
+                book, _rows(rows), None if known == NONE else known, None if following == NONE else following
             )
             for i, k in enumerate(ids):
                 out.insert(i, k, rows[k].iloc[0])
@@ -406,16 +419,33 @@ def book_ticks(
         # A time cut by the chunk edge is reported by the chunk that holds its last row.
         if current != following:
             flush(None)
+        # The last valid mid of the chunk's rows, for a time that goes on in a later chunk.
+        us_out.append(current)
+        mids.append(prev_mid if book.mid() is None else book.mid())
+        prevs.append(None)
+        for dst in sides:
+            dst.append(None)
+        # Types are given, not inferred: a chunk in the middle of one time has no row to infer from.
+        listed = {c: pd.Series(v, dtype=object) for c, v in zip(("bid_px", "bid_sz", "ask_px", "ask_sz"), sides)}
         return pd.DataFrame(
-            {"us": us_out, "mid": pd.array(mids, dtype="Float64"),
-             "prev_row_mid": pd.array(prevs, dtype="Float64"), "bid_px": sides[0],
-             "bid_sz": sides[1], "ask_px": sides[2], "ask_sz": sides[3]}
+            {"us": pd.Series(us_out, dtype="int64"), "mid": pd.array(mids, dtype="Float64"),
+             "prev_row_mid": pd.array(prevs, dtype="Float64"), **listed,
+             "leaving": [False] * (len(us_out) - 1) + [True]}
         )
 
     ticks = _replay(
         chunked, keys, snapshot, fn,
         "us long; mid double; prev_row_mid double; bid_px array<double>; bid_sz array<double>; "
-        "ask_px array<double>; ask_sz array<double>",
+        "ask_px array<double>; ask_sz array<double>; leaving boolean",
+    )
+    # Read twice: the ticks, and what each chunk hands on.
+    ticks = cut(ticks)
+    hands = carry_before(
+        ticks.where("leaving").select(*keys, "chunk", "us", F.col("mid").alias("mid")), ["mid"], keys, ["us"], "chunk"
+    )
+    ticks = (
+        ticks.where("NOT leaving").join(hands, [*keys, "chunk"], "left")
+        .withColumn("prev_row_mid", F.coalesce("prev_row_mid", "_before_mid"))
     )
 
     def levels(px, sz):

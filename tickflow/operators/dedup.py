@@ -32,10 +32,17 @@ def dedup_first(df: DataFrame, key: str, order: Sequence[str] = ("seq",)) -> Dat
 
 
 def dedup_last(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("seq",)
+    df: DataFrame, keys: Sequence[str], order: Sequence[str] = ("seq",), ident: str | None = None
 ) -> DataFrame:
-    """Last row per key wins.  Null key values form one group, as in a merge by key."""
-    return _pick(df, list(keys), order, F.max_by)
+    """Last row per key wins.  Null key values form one group, as in a merge by key.
+
+    ``ident`` names a key that is an id: rows where it is null or empty are no copies of each
+    other and all pass.
+    """
+    if ident is None:
+        return _pick(df, list(keys), order, F.max_by)
+    has_id = F.coalesce(F.col(ident) != "", F.lit(False))
+    return _pick(df.where(has_id), list(keys), order, F.max_by).unionByName(df.where(~has_id))
 
 
 def duplicate_report(df: DataFrame, key: str, by: Sequence[str] = ("symbol",)) -> DataFrame:

@@ -142,7 +142,8 @@ def asof_labels(
     rows: DataFrame, labels: DataFrame, label: str = "regime", ts: str = "ts",
     start: str = "segment_start",
 ) -> DataFrame:
-    """Latest label at or before each row; rows before the first label take the first one.
+    """Latest label at or before each row; rows before the first label take the first one, and
+    without any label every row has a null one.
 
     Labels become [from, until) intervals, repeated for the hours they touch, and meet the rows on
     the hour: an equi-join, broadcast while the intervals are few.
@@ -170,9 +171,10 @@ def asof_labels(
         )
     )
     ok = (F.col(ts) >= F.col("_a")) & (F.col("_until").isNull() | (F.col(ts) < F.col("_until")))
+    # Labels, where there are any, cover the whole range of the rows: only an empty table misses.
     return (
-        bounded_join(rows.withColumn("_h", floor_us(to_us(ts), hour)), placed, ["_h"])
-        .where(ok)
+        bounded_join(rows.withColumn("_h", floor_us(to_us(ts), hour)), placed, ["_h"], how="left")
+        .where(F.col("_a").isNull() | ok)
         .select(F.col("_label").alias(label), *rows.columns)
     )
 

@@ -39,12 +39,19 @@ def range_chunks(
     return cut(parts.withColumn(name, F.spark_partition_id().cast("long")))
 
 
-def many_pieces(df: DataFrame, factor: int = 4) -> int:
-    """Several chunks per core: chunks are hashed to tasks afterwards, and with one per core on
-    average a third of the cores would stay idle while a few work off several."""
+PIECE_ROWS = 1_000_000
+
+
+def many_pieces(df: DataFrame, factor: int = 4, rows: int = PIECE_ROWS) -> int:
+    """Chunks of at most about ``rows`` rows, so that a chunk fits one task whatever the table.
+
+    At least several per core: chunks are hashed to tasks afterwards, and with one per core on
+    average a third of the cores would stay idle while a few work off several.
+    """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), factor * cores)
+    spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), factor * cores)
+    return max(spread, -(-df.count() // rows))
 
 
 def _window(keys, order, chunk=None):

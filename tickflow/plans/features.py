@@ -22,7 +22,6 @@ from tickflow.operators.ordered import ema, ffill, rolling_std
 from tickflow.schemas import (
     DEPTH, EMA_SPAN, RETURN_CLIP, STEP_MS, TICK_WEIGHTS, VOL_WINDOW,
 )
-from tickflow.session import cut
 
 KEYS = ["symbol", "day"]
 FEATURE_COLS = ["f0", "f1", "f2", "f3", "f4", "f5", "f6", "volume24h", "mid_price"]
@@ -54,7 +53,7 @@ def trade_bins(trades: DataFrame, step: int) -> DataFrame:
 
 def taker_imbalance(trades: DataFrame, step: int = STEP_MS * 1000) -> DataFrame:
     """f4 on the dense grid of the trades of each symbol-day."""
-    dense = densify(trade_bins(dedup_last(trades, ["symbol", "trdMatchID"]), step), KEYS, step)
+    dense = densify(trade_bins(dedup_last(trades, ["symbol", "trdMatchID"], ident="trdMatchID"), step), KEYS, step)
     return dense.select(
         "symbol", from_us("bin").alias("ts"),
         signed_log(F.coalesce("flow", F.lit(0.0))).alias("f4"),
@@ -71,7 +70,6 @@ def book_tick_table(
     ticks = bk.book_ticks(
         bk.chunk_book(rows, keys), keys, depth=depth, snapshot=snapshot, depth_every_us=step
     )
-    ticks = cut(ticks)
     moves = bk.tick_returns(ticks.drop("bids", "asks"), keys, returns=returns, limit=limit)
     if not reset_daily:
         ticks, moves = (df.withColumn("day", F.to_date("ts")) for df in (ticks, moves))
@@ -211,10 +209,9 @@ def aligned_feeds(
     return align(
         [
             book_bins(ticks, moves, step, depth),
-            instrument_bins(
-                dedup_last(instruments, ["symbol", "ts"]), step, null_policy == "keep"
-            ),
-            trade_bins(dedup_last(trades, ["symbol", "trdMatchID"]), step),
+            # Updates of one time carry different fields; the bins take the last value of each field.
+            instrument_bins(instruments, step, null_policy == "keep"),
+            trade_bins(dedup_last(trades, ["symbol", "trdMatchID"], ident="trdMatchID"), step),
         ],
         step,
         ffill_events,

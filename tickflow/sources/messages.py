@@ -60,22 +60,46 @@ def route(
     feed = F.lit(None).cast("string")
     for name, target in MESSAGE_TABLES.items():
         feed = F.when(table == name, target).otherwise(feed)
+    received = ["received"] if "received" in parsed.columns else []
     rows = (
         parsed.where(F.col("kind") == "data")
         .withColumn("feed", feed)
         .where(F.col("feed").isNotNull())
-        .select("offset", "feed", F.col("m.action").alias("action"), F.posexplode("m.data").alias("pos", "d"))
+        .select("offset", *received, "feed", F.col("m.action").alias("action"), F.posexplode("m.data").alias("pos", "d"))
     )
     if feeds is not None:
         rows = rows.where(F.col("feed").isin(list(feeds)))
-    out = rows.select("offset", "pos", "feed", "action", "d.*").withColumn(
+    out = rows.select("offset", "pos", *received, "feed", "action", "d.*").withColumn(
         "seq", F.col("offset") * SEQ_STRIDE + F.col("pos")
     )
     return out if symbols is None else out.where(F.col("symbol").isin(list(symbols)))
 
 
 def _cast(name: str, kind: str) -> Column:
-    return F.col(name).try_cast(kind)
+    """A number from its text.  Whole numbers may be written ``100.0`` or ``1e9``; null if it is none."""
+    if kind == "double":
+        return F.col(name).try_cast(kind)
+    exact = F.col(name).try_cast("decimal(38,10)")
+    return F.when(exact == F.floor(exact), exact.try_cast(kind))
+
+
+def _broken() -> Column:
+    """The first number field, by name, that does not parse as what it is stored as, else null."""
+    bad = F.lit(None).cast("string")
+    numbers = {
+        f.name: f.dataType.simpleString()
+        for s in FEEDS.values() for f in s.fields
+        if not isinstance(f.dataType, T.StringType) and "imestamp" not in f.name
+    }
+    for name, kind in sorted(numbers.items()):
+        broken = F.col(name).isNotNull() & _cast(name, "double" if kind in ("float", "double") else kind).isNull()
+        bad = F.when(broken, F.lit(f"bad {name}")).otherwise(bad)
+    return bad
+
+
+def good_rows(rows: DataFrame) -> DataFrame:
+    """The routed rows whose numbers all parse; the others are those of ``quarantine``."""
+    return rows.where(_broken().isNull())
 
 
 def _event_time(ref: Column | None) -> Column:
@@ -142,14 +166,5 @@ def quarantine(parsed: DataFrame) -> DataFrame:
         F.lit("malformed message").alias("reason"),
     )
     rows = route(parsed)
-    bad = F.lit(None).cast("string")
-    numbers = {
-        f.name: f.dataType
-        for s in FEEDS.values() for f in s.fields
-        if not isinstance(f.dataType, T.StringType) and "imestamp" not in f.name
-    }
-    for name in sorted(numbers):
-        broken = F.col(name).isNotNull() & F.col(name).try_cast("double").isNull()
-        bad = F.when(broken, F.lit(f"bad {name}")).otherwise(bad)
-    flagged = rows.withColumn("reason", bad).where(F.col("reason").isNotNull())
+    flagged = rows.withColumn("reason", _broken()).where(F.col("reason").isNotNull())
     return messages.unionByName(flagged.select("offset", "pos", "feed", "reason"))

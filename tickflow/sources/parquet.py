@@ -124,11 +124,12 @@ def discover_days(spark: SparkSession, path: str) -> DataFrame:
 
 
 def export_daily(df: DataFrame, path: str, fmt: str = "parquet", ts: str = "ts", first: Sequence[str] = ("regime",)) -> None:
-    """One folder per day, label columns first."""
+    """One folder per day, label columns first; days that are not in ``df`` stay as they are."""
     lead = [c for c in first if c in df.columns]
     rest = [c for c in df.columns if c not in lead]
     out = df.select(*lead, *rest).withColumn("date", F.to_date(ts))
     writer = out.hint("rebalance", F.col("date")).sortWithinPartitions("date", ts).write.mode("overwrite").partitionBy("date")
+    writer = writer.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
     else:

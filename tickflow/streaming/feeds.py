@@ -29,7 +29,10 @@ from tickflow.sources.parquet import write_batch
 
 log = logging.getLogger("tickflow")
 Hook = Callable[[DataFrame, int], None]
-MESSAGES = T.StructType([T.StructField("offset", T.LongType()), T.StructField("value", T.StringType())])
+MESSAGES = T.StructType(
+    [T.StructField("offset", T.LongType()), T.StructField("value", T.StringType()), T.StructField("received", T.DoubleType())]
+)
+"""``received``: epoch seconds at which the message arrived."""
 PROJECTIONS = {
     "trades": ms.trades, "orderbook": ms.book_deltas, "liquidations": ms.liquidations,
     "instruments": ms.instruments,
@@ -56,6 +59,9 @@ def ingest(
 ) -> StreamingQuery:
     """Raw messages to one partitioned Parquet folder per feed, bad rows to ``quarantine``.
 
+    Book rows carry the time of receipt, and the other feeds' times are held within 24 hours of
+    it, where the messages tell it (``received``).  Rows whose numbers do not parse are not stored.
+
     ``hooks`` maps a feed to callables that get each batch of it; one that fails is logged and
     does not stop the stream.  ``every`` is the flush interval; without it the query drains what
     is there and stops.
@@ -66,9 +72,11 @@ def ingest(
     def flush(batch: DataFrame, number: int) -> None:
         parsed = ms.parse_messages(batch).persist()
         try:
-            rows = ms.route(parsed, wanted, symbols)
+            rows = ms.good_rows(ms.route(parsed, wanted, symbols))
+            told = F.col("received") if "received" in rows.columns else None
             for feed in wanted:
-                typed = PROJECTIONS[feed](rows).withColumn("ts", epoch_to_ts("timestamp"))
+                time = told if told is None or feed == "orderbook" else epoch_to_ts(told)
+                typed = PROJECTIONS[feed](rows, time).withColumn("ts", epoch_to_ts("timestamp"))
                 write_batch(typed, f"{root}/{feed}", number)
                 for hook in hooks.get(feed, ()):
                     run_hook(hook, typed, number)
@@ -96,9 +104,14 @@ def _event_time(rows: DataFrame, ts: str) -> DataFrame:
 
 
 def dedup_stream(rows: DataFrame, key: str, ts: str = "ts", delay: str = "10 minutes") -> DataFrame:
-    """First arrival of each id; ids are forgotten once the watermark has passed them."""
+    """First arrival of each id; ids are forgotten once the watermark has passed them.
+
+    Rows without an id are no copies of each other and all pass.
+    """
     timed = _event_time(rows, ts).withWatermark(ts, delay)
-    return timed.dropDuplicatesWithinWatermark([key]).withColumn(ts, F.col(ts).cast("timestamp_ntz"))
+    has_id = F.coalesce(F.col(key) != "", F.lit(False))
+    first = timed.where(has_id).dropDuplicatesWithinWatermark([key])
+    return first.unionByName(timed.where(~has_id)).withColumn(ts, F.col(ts).cast("timestamp_ntz"))
 
 
 def write_rows(rows: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
