@@ -13,7 +13,9 @@ left out: all pairs within the distance share a key.  At a similarity of 0.8 a p
   necessary condition that keeps families of loosely related texts from meeting pairwise: similar
   sets share one of their rarest shingles (as many as the similarity lets a set lose, and one).  Rare is
   told by counts over a fixed table of hashed shingles; any common order keeps the condition exact.
-* Pairs within the distance are confirmed on the full shingle sets, computed from the texts.
+* Pairs within the distance are confirmed on the full shingle sets: those of the stars from the joined
+  texts, those across components inside the comparing tasks, which memory-map the sets of the few
+  classes concerned from the shared folder and send on links, never candidates.
 
 Defined results: null or wordless texts have no shingles and are linked with nothing.  Rows that
 repeat a doc_id are kept or dropped alike; a row without an id never names a component that has one.
@@ -31,13 +33,19 @@ from pyspark.sql import types as T
 
 from tickflow.llm.components import components
 from tickflow.llm.frames import ROW, annotate, groups, stage
+from tickflow.llm.shards import mapped, save
 from tickflow.llm.words import BY_SPACE, U, Words, chunks, mix
+from tickflow.session import work_path
 
 PARTS, WIDTH = 11, 4
 SYMBOLS = PARTS * WIDTH
 DISTANCE = 2 * PARTS - 1
 BLOCK = 512
 RARITY_BITS = 18
+KEPT = 1 << 22
+"""Shingles in a file of sets."""
+REMEMBERED = 1 << 20
+"""Failed pairs a task remembers, so as not to compare them again."""
 
 _RANDOM = np.random.default_rng(20240229)
 _A = (_RANDOM.integers(0, 1 << 31, SYMBOLS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -151,56 +159,100 @@ def _bucket(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> U(64 - RARITY_BITS)).astype(np.int64)
 
 
-def _rarest(n: int, percent: int, counts):
-    """(token, node, root, n): the shingles of a set of which a similar set must have one."""
+def _rarest(n: int, percent: int, counts, folder: str):
+    """(token, node, root, n, file, begin): the shingles of a set of which a similar set must have one,
+    and where the whole set is kept in the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
+        held: list[tuple] = []
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            file = save(folder, "sets", np.concatenate([s for _, _, s, _ in held])).rpartition("/")[2]
+            length = np.array([len(s) for _, _, s, _ in held], np.int64)
+            each = [len(t) for _, _, _, t in held]
+            rows = [np.array(x, np.int64) for x in ([h[0] for h in held], [h[1] for h in held], length, np.cumsum(length) - length)]
+            node, root, whole, begin = (np.repeat(x, each) for x in rows)
+            token = np.concatenate([t for _, _, _, t in held]).view(np.int64)
+            columns = [pa.array(x) for x in (token, node, root, whole)] + [pa.array([file] * len(token), pa.string()), pa.array(begin)]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "root", "n", "file", "begin"])
+
         for batch in batches:
-            node, root = batch.column("node").to_numpy(), batch.column("root").to_numpy()
+            node, root = batch.column("node").to_pylist(), batch.column("root").to_pylist()
             texts = batch.column("text").fill_null("").cast(pa.large_string())
             for a, _, words in chunks(texts, BY_SPACE, lower=True):
-                sets = shingle_sets(words, n)
-                keep = [len(s) + (-percent * len(s) // 100) + 1 for s in sets]
-                rare = [s[np.lexsort((s, table[_bucket(s)]))[:k]] for s, k in zip(sets, keep, strict=True)]
-                size = [len(x) for x in rare]
-                at = np.arange(a, a + len(sets))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(rare).view(np.int64)), pa.array(np.repeat(node[at], size)),
-                        pa.array(np.repeat(root[at], size)), pa.array(np.repeat([len(s) for s in sets], size).astype(np.int64)),
-                    ],
-                    names=["token", "node", "root", "n"],
-                )
+                for r, s in enumerate(shingle_sets(words, n)):
+                    # As many as a similar set may lack, and one.
+                    k = len(s) + (-percent * len(s) // 100) + 1
+                    held.append((node[a + r], root[a + r], s, s[np.lexsort((s, table[_bucket(s)]))[:k]]))
+                    size += len(s)
+                if size >= KEPT:
+                    yield from flush()
+                    held, size = [], 0
+        if held:
+            yield from flush()
 
     return run
 
 
-def _across(percent: int):
-    """Pairs across components of one block pair, within the distance and of fitting sizes.
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """The size of the intersection of two sorted sets."""
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum())
+
 
-    Part 0 holds outsiders and a block of the token's largest component, part 1 outsiders only.
+def _across(percent: int, folder: str):
+    """Links across components of block pairs: within the distance, then confirmed on the full sets.
+
+    Part 0 holds outsiders and a block of the token's largest component, part 1 outsiders only.  Once
+    a link joins two components, a task asks for no second one between them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joined: dict[int, int] = {}
+        failed: set[tuple[int, int]] = set()
+
+        def top(x: int) -> int:
+            while (y := joined.get(x, x)) != x:
+                joined[x] = joined.get(y, y)
+                x = y
+            return x
+
         for rows in groups(batches, ["token", "part", "i", "j"]):
-            node, root, block, n = (rows.column(c).to_numpy() for c in ("node", "root", "block", "n"))
+            node, root, block, n, begin = (rows.column(c).to_numpy() for c in ("node", "root", "block", "n", "begin"))
             inside = rows.column("inside").to_numpy()
             part, i, j = (rows.column(c)[0].as_py() for c in ("part", "i", "j"))
             left = np.flatnonzero(~inside if part == 0 else block == i)
             right = np.flatnonzero(inside if part == 0 else block == j)
             if not len(left) or not len(right):
                 continue
-            symbols = _matrix(rows.column("signature"))
-            for a in left:
+            symbols, file = _matrix(rows.column("signature")), rows.column("file").to_pylist()
+            whole = lambda x: mapped(f"{folder}/{file[x]}")[begin[x] : begin[x] + n[x]]  # noqa: B023, E731
+            found: list[tuple[int, int]] = []
+            for a in left.tolist():
                 b = right[root[right] != root[a]]
                 b = b[node[b] > node[a]] if part == 1 and i == j else b
                 b = b[100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])]
-                b = b[(symbols[b] != symbols[a]).sum(axis=1) <= DISTANCE]
-                if len(b):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(node[a], node[b])), pa.array(np.maximum(node[a], node[b]))], schema=_ARROW_PAIR
-                    )
+                apart = (symbols[b] != symbols[a]).sum(axis=1)
+                near = apart <= DISTANCE
+                # The nearest first: they join components soonest.
+                for x in b[near][np.argsort(apart[near], kind="stable")].tolist():
+                    one, two = top(int(root[a])), top(int(root[x]))
+                    pair = (int(min(node[a], node[x])), int(max(node[a], node[x])))
+                    if one == two or pair in failed:
+                        continue
+                    both = _common(whole(a), whole(x))
+                    if 100 * both >= percent * int(n[a] + n[x] - both):
+                        joined[one] = two
+                        found.append(pair)
+                    else:
+                        if len(failed) >= REMEMBERED:
+                            failed.clear()
+                        failed.add(pair)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], schema=_ARROW_PAIR)
 
     return run
 
@@ -261,8 +313,12 @@ def _between(docs: DataFrame, live: DataFrame, classes: DataFrame, roots: DataFr
     counts = texts.select("text").mapInArrow(_counted(n), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     rarity = np.zeros(1 << RARITY_BITS, np.int64)
     rarity[counts["bucket"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
+    folder = work_path(docs.sparkSession, "sets")
     tokens = stage(
-        texts.mapInArrow(_rarest(n, percent, sc.broadcast(rarity)), "token long, node long, root long, n long"), "tokens"
+        texts.mapInArrow(
+            _rarest(n, percent, sc.broadcast(rarity), folder), "token long, node long, root long, n long, file string, begin long"
+        ),
+        "tokens",
     )
     heads = (
         tokens.groupBy("token", "root").agg(F.count(F.lit(1)).alias("rows"))
@@ -281,14 +337,11 @@ def _between(docs: DataFrame, live: DataFrame, classes: DataFrame, roots: DataFr
         .withColumn("inside", inside)
         .withColumn("block", F.pmod(F.xxhash64("node"), F.when(inside, parts[0]).otherwise(parts[1])).cast("int"))
         .withColumn("place", F.explode(places))
-        .select("token", "node", "root", "n", "inside", "block", "place.*")
+        .select("token", "node", "root", "n", "inside", "file", "begin", "block", "place.*")
         .join(classes.select("node", "signature"), "node")
     )
-    met = (
-        members.repartition("token", "part", "i", "j").sortWithinPartitions("token", "part", "i", "j")
-        .mapInArrow(_across(percent), _PAIR).distinct()
-    )
-    return confirm(texts.select("node", "text"), stage(met, "pairs"), n, percent)
+    grouped = members.repartition("token", "part", "i", "j").sortWithinPartitions("token", "part", "i", "j")
+    return grouped.mapInArrow(_across(percent, folder), _PAIR)
 
 
 def link(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:

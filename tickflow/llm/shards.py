@@ -12,6 +12,7 @@ import zlib
 import numpy as np
 from pyarrow import fs
 
+OPEN_FILES = 4096
 _open: dict[str, np.ndarray] = {}
 
 
@@ -52,6 +53,8 @@ def mapped(uri: str) -> np.ndarray:
                     scratch.write(block)
                 scratch.flush()
                 got = np.load(scratch.name, mmap_mode="r")
+        if len(_open) >= OPEN_FILES:
+            _open.clear()
         _open[uri] = got
     return got
 
