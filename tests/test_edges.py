@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tickflow.operators import book as bk
 from tickflow.operators.dedup import dedup_last, throttle
-from tickflow.operators.grid import asof_labels
+from tickflow.operators.grid import asof_labels, dense_grid, densify
+from tickflow.operators.joins import nearest_centroid
+from tickflow.operators.reports import coverage_matrix
 from tickflow.plans.features import aligned_feeds, taker_imbalance
 from tickflow.sources import messages as ms
 from tickflow.sources.parquet import export_daily
@@ -147,3 +149,40 @@ def test_numbers_of_messages(spark):
     got = {r.seq // ms.SEQ_STRIDE: (r.price, r["size"], r.grossValue) for r in ms.trades(ms.good_rows(ms.route(parsed))).collect()}
     assert got == {0: (100.0, 100, 10**9), 1: (100.0, 7, 9007199254740993)}
     assert {r.offset: r.reason for r in ms.quarantine(parsed).collect()} == {2: "bad size", 3: "bad size", 4: "bad grossValue"}
+
+
+def test_ten_years_of_bins(spark):
+    df = spark.createDataFrame([("X", at(0)), ("X", at(3650 * 86400))], "symbol string, ts timestamp_ntz")
+    # 3,153,600,001 bins of 100 ms would be one array; a coarser step keeps the test short.
+    assert dense_grid(df, 10_000_000).count() == 365 * 86400 + 1
+
+
+def test_gaps_across_days(spark):
+    day = 86_400_000_000
+    rows = [("X", 0, 1), ("X", 2 * day + 3_600_000_000, 2), ("Y", 5, 3)]
+    got = densify(spark.createDataFrame(rows, "symbol string, bin long, v int"), ["symbol"], 3_600_000_000).collect()
+    assert len([r for r in got if r.symbol == "X"]) == 50 and len(got) == 51
+    assert sorted(r.v for r in got if r.v is not None) == [1, 2, 3]
+
+
+def test_silent_days_are_expected(spark):
+    rows = spark.createDataFrame([("trades", "X", at(0).date(), at(0)), ("trades", "X", at(3 * 86400).date(), None)], "feed string, symbol string, day date, ts timestamp_ntz")
+    matrix = coverage_matrix(rows, ["trades"], ["X"]).orderBy("day").collect()
+    assert [(r.rows, r.bad_times) for r in matrix] == [(1, 0), (0, 0), (0, 0), (1, 1)]
+    assert coverage_matrix(rows, ["trades"], ["X"], (at(-86400).date(), at(5 * 86400).date())).count() == 7
+
+
+@pytest.mark.parametrize("block", [10_000, 3])
+def test_nearest_of_many_centres(spark, block):
+    centres = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(10)], "label int, centroid array<double>")
+    points = spark.createDataFrame([(i, [i + 0.4, 1.0]) for i in range(9)] + [(100, [4.5, 0.0])], "id int, x array<double>")
+    got = {r.id: r.nearest for r in nearest_centroid(points, centres, "id", "x", "label", block=block).collect()}
+    assert got == {**{i: i for i in range(9)}, 100: 4}
+
+
+def test_package_is_shipped(spark, tmp_path):
+    from tickflow import shipping
+
+    shipping.ship(spark)
+    shipping.ship(spark)
+    assert [f for f in spark.sparkContext.listFiles if f.endswith("tickflow.zip")]

@@ -111,10 +111,11 @@ def stream_hooks(spark, sf):
 
 @query("stream_metrics", over_feeds("SELECT 'instruments' AS feed, count(*) AS rows, count(*) FILTER (markPrice IS NULL) AS errors FROM instruments"))
 def stream_metrics(spark, sf):
-    rows = st.observed(_stream(spark, sf, "instruments"), "instruments", F.col("markPrice").isNull())
-    q = st.write_rows(rows, work_path(spark, "metrics"), work_path(spark, "ck"))
-    q.awaitTermination()
-    batches = spark.createDataFrame(
-        st.progress_rows(q, "instruments"), "batch long, rows long, errors long, rows_per_sec double"
-    )
-    return batches.groupBy(F.lit("instruments").alias("feed")).agg(F.sum("rows").alias("rows"), F.sum("errors").alias("errors"))
+    """The metrics table of a stream: every batch, not only the recent ones."""
+    table = work_path(spark, "metrics")
+    st.write_rows(
+        _stream(spark, sf, "instruments"), work_path(spark, "rows"), work_path(spark, "ck"),
+        metrics=(table, "instruments", F.col("markPrice").isNull()),
+    ).awaitTermination()
+    batches = spark.read.parquet(table)
+    return batches.groupBy(F.col("name").alias("feed")).agg(F.sum("rows").alias("rows"), F.sum("errors").alias("errors"))

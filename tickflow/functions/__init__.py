@@ -2,9 +2,9 @@
 
 from tickflow.functions.clock import ceil_us, floor_us, from_us, to_us
 from tickflow.functions.depth import depth_imbalance, depth_wap
-from tickflow.functions.guards import clip, finite, guarded_div, null_if_not_positive, signed_log
+from tickflow.functions.guards import clip, finite, guarded_div, signed_log
 
 __all__ = [
     "ceil_us", "clip", "depth_imbalance", "depth_wap", "finite", "floor_us", "from_us",
-    "guarded_div", "null_if_not_positive", "signed_log", "to_us",
+    "guarded_div", "signed_log", "to_us",
 ]

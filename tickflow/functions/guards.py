@@ -31,10 +31,5 @@ def _lit(v) -> Column:
     return v if isinstance(v, Column) else F.lit(float(v))
 
 
-def null_if_not_positive(c: Column | str) -> Column:
-    c = _c(c)
-    return F.when(c > 0, c)
-
-
 def signed_log(c: Column) -> Column:
     return F.signum(c) * F.log1p(F.abs(c))

@@ -17,10 +17,32 @@ from tickflow.operators.joins import bounded_join
 from tickflow.operators.ordered import carry_after, ffill
 
 DAY_US = 86_400_000_000
+BLOCK_BINS = 100_000
 
 
-def with_day(df: DataFrame, ts: str = "ts", name: str = "day") -> DataFrame:
-    return df.withColumn(name, F.to_date(ts))
+def _bins(df: DataFrame, low: Column, high: Column, step: int, name: str) -> DataFrame:
+    """A row for each bin low, low + step, .. high, in blocks: no array holds more than a block or
+    one element for each block."""
+    block = step * BLOCK_BINS
+    starts = df.withColumn("_high", high).withColumn("_block", F.explode(F.sequence(low, F.col("_high"), F.lit(block))))
+    last = F.least(F.col("_high"), F.col("_block") + (block - step))
+    return starts.withColumn(name, F.explode(F.sequence(F.col("_block"), last, F.lit(step)))).drop("_high", "_block")
+
+
+def _next_bin(df: DataFrame, keys: Sequence[str], bin: str) -> DataFrame:
+    """Add ``_next``, the bin of the following row of the key.
+
+    Keys without a day may have a long history: rows are ordered within days, and the first bin of
+    a later day comes from one small row for each (keys, day).
+    """
+    if "day" in keys:
+        return df.withColumn("_next", F.lead(bin).over(Window.partitionBy(*keys).orderBy(bin)))
+    days = df.withColumn("_day", F.floor(F.col(bin) / DAY_US))
+    firsts = days.groupBy(*keys, "_day").agg(F.min(bin).alias("_first"))
+    later = firsts.select(*keys, "_day", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_day")).alias("_later"))
+    inner = Window.partitionBy(*keys, "_day").orderBy(bin)
+    met = days.withColumn("_next", F.lead(bin).over(inner)).join(later, [*keys, "_day"])
+    return met.withColumn("_next", F.coalesce("_next", "_later")).drop("_day", "_later")
 
 
 def densify(
@@ -28,15 +50,12 @@ def densify(
 ) -> DataFrame:
     """Insert a row of nulls for each empty bin between the first and last of a key.
 
-    Each row fills its own gap up to the next row, so there is neither a join with a grid nor a
-    second scan, and the window's partitioning serves the fills that follow.
+    Each row fills its own gap up to the next row, so there is no join with a grid and no second
+    scan.
     """
-    w = Window.partitionBy(*keys).orderBy(bin)
     values = [c for c in df.columns if c not in [*keys, bin]]
-    upto = F.coalesce(F.lead(bin).over(w) - step, F.col(bin))
-    filled = df.withColumn("_upto", upto).withColumn(
-        "_bin", F.explode(F.sequence(F.col(bin), F.col("_upto"), F.lit(step)))
-    )
+    upto = F.coalesce(F.col("_next") - step, F.col(bin))
+    filled = _bins(_next_bin(df, keys, bin), F.col(bin), upto, step, "_bin")
     own = F.col("_bin") == F.col(bin)
     out = filled.select(
         *keys, F.col("_bin").alias(bin), *[F.when(own, F.col(c)).alias(c) for c in values]
@@ -110,9 +129,7 @@ def dense_grid(df: DataFrame, step: int, keys=("symbol",), ts="ts") -> DataFrame
     """All bins from floor(min) to floor(max) per key."""
     us = floor_us(to_us(ts), step)
     span = df.groupBy(*keys).agg(F.min(us).alias("_lo"), F.max(us).alias("_hi"))
-    return span.select(
-        *keys, F.explode(F.sequence("_lo", "_hi", F.lit(step))).alias("bin")
-    )
+    return _bins(span, F.col("_lo"), F.col("_hi"), step, "bin").select(*keys, "bin")
 
 
 def last_in_interval(

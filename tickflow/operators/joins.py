@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 from tickflow.schemas import FEATURES, Z_DEFAULT, Z_FEATURE, Z_FEATURE_SYMBOL
 from tickflow.session import cut
 
-# Configuration maps become literal maps in the plan; beyond this many entries a join is used.
-MAP_LIMIT = 1000
-
-
 BROADCAST_ROWS = 100_000
 
 
@@ -88,26 +84,28 @@ def distance(a: Column, b: Column) -> Column:
 
 def nearest_centroid(
     points: DataFrame, centers: DataFrame, id_col: str, x: str, label: str,
-    limit: int = 10_000,
+    block: int = 10_000,
 ) -> DataFrame:
     """Closest centre per point (smallest label on ties), with its distance.
 
-    Centres are clusters, a number their maker bounds.  Up to ``limit`` they travel to the points
-    as one array; more than that is an error, not a silent all-pairs join.
+    Centres travel to the points as arrays of about ``block`` each; more centres make more arrays,
+    compared one after the other in the same pass over the points.
     """
-    table = centers.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array_sort(F.collect_list(F.struct(F.col(label).alias("label"), F.col("centroid")))).alias("c"),
-    ).select(F.when(F.col("n") <= limit, F.col("c")).otherwise(
-        F.raise_error(F.lit(f"more than {limit} centroids"))
-    ).alias("c"))
-    best = F.array_min(
-        F.transform(
-            F.col("_c"),
-            lambda c: F.struct(distance(F.col(x), c["centroid"]).alias("d"), c["label"].alias("l")),
+    blocks = max(1, -(-centers.count() // block))
+    placed, bests = points, []
+    for i in range(blocks):
+        own = centers if blocks == 1 else centers.where(F.pmod(F.xxhash64(label), F.lit(blocks)) == i)
+        table = own.agg(F.array_sort(F.collect_list(F.struct(F.col(label).alias("label"), F.col("centroid")))))
+        placed = placed.withColumn(f"_c{i}", table.scalar())
+        bests.append(
+            F.array_min(
+                F.transform(
+                    F.col(f"_c{i}"),
+                    lambda c: F.struct(distance(F.col(x), c["centroid"]).alias("d"), c["label"].alias("l")),
+                )
+            )
         )
-    )
-    placed = points.withColumn("_c", table.scalar())
+    best = bests[0] if blocks == 1 else F.least(*bests)
     return placed.withColumn("_b", best).select(
         *points.columns, F.col("_b.l").alias("nearest"), F.col("_b.d").alias("distance")
     )

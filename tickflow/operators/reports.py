@@ -352,9 +352,13 @@ def dq_violations(
 
 
 def coverage_matrix(
-    rows: DataFrame, feeds: Sequence[str], symbols: Sequence[str]
+    rows: DataFrame, feeds: Sequence[str], symbols: Sequence[str], days: tuple | None = None
 ) -> DataFrame:
-    """Rows and rows without a time, per expected (feed, symbol, day); input: feed, symbol, day, ts."""
+    """Rows and rows without a time, per expected (feed, symbol, day); input: feed, symbol, day, ts.
+
+    ``days`` is the first and last expected day, by default those that occur; every day between is
+    expected, also one on which all feeds were silent.
+    """
     counts = rows.groupBy("feed", "symbol", "day").agg(
         N(F.lit(1)).alias("_n"), N(F.when(F.col("ts").isNull(), 1)).alias("_bad")
     )
@@ -362,8 +366,11 @@ def coverage_matrix(
     def names(values):
         return F.explode(F.array(*[F.lit(v) for v in values]))
 
+    ends = counts.agg(F.min("day").alias("a"), F.max("day").alias("b")).where("a IS NOT NULL")
+    if days is not None:
+        ends = rows.sparkSession.range(1).select(*[F.lit(d).cast("date").alias(c) for d, c in zip(days, "ab")])
     expected = (
-        counts.select("day").distinct()
+        ends.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))).alias("day"))
         .withColumn("feed", names(feeds)).withColumn("symbol", names(symbols))
     )
     return expected.join(counts, ["feed", "symbol", "day"], "left").select(

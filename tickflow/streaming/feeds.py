@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import json
 import logging
+import time
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -114,13 +115,36 @@ def dedup_stream(rows: DataFrame, key: str, ts: str = "ts", delay: str = "10 min
     return first.unionByName(timed.where(~has_id)).withColumn(ts, F.col(ts).cast("timestamp_ntz"))
 
 
-def write_rows(rows: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Each batch to its own ``batch=n`` folder."""
+def _own_folder(rows: DataFrame, number: int, path: str) -> None:
+    rows.withColumn("batch", F.lit(number)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("batch").parquet(path)
+
+
+def write_rows(
+    rows: DataFrame, path: str, checkpoint: str, mode: str = "append",
+    metrics: tuple[str, str, Column] | None = None,
+) -> StreamingQuery:
+    """Each batch to its own ``batch=n`` folder.
+
+    ``metrics`` (path, name, error condition) keeps one row for every batch in a table of their own:
+    name, rows, errors, seconds.  They are counted while the batch is written.
+    """
 
     def save(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch").parquet(path)
+        if metrics is None:
+            _own_folder(batch, number, path)
+            return
+        target, name, bad = metrics
+        seen, began = Observation(f"{name}_{number}"), time.time()
+        _own_folder(
+            batch.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(bad, 1)).alias("errors")), number, path
+        )
+        got = seen.get
+        row = [(name, got["rows"], got["errors"], time.time() - began)]
+        _own_folder(
+            batch.sparkSession.createDataFrame(row, "name string, rows long, errors long, seconds double"), number, target
+        )
 
     return _start(rows, save, checkpoint, mode)
 
