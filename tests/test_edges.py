@@ -12,6 +12,7 @@ from tickflow.operators import book as bk
 from tickflow.operators.dedup import dedup_last, throttle
 from tickflow.operators.grid import asof_labels, dense_grid, densify
 from tickflow.operators.joins import nearest_centroid
+from tickflow.operators.regimes import ward_groups
 from tickflow.operators.reports import coverage_matrix
 from tickflow.plans.features import aligned_feeds, taker_imbalance
 from tickflow.sources import messages as ms
@@ -186,3 +187,25 @@ def test_package_is_shipped(spark, tmp_path):
     shipping.ship(spark)
     shipping.ship(spark)
     assert [f for f in spark.sparkContext.listFiles if f.endswith("tickflow.zip")]
+
+
+def test_ward_takes_the_cheapest_merges():
+    import numpy as np
+
+    def greedy(x, target):
+        groups = [[i] for i in range(len(x))]
+        while len(groups) > target:
+            best = None
+            for i in range(len(groups)):
+                for j in range(i):
+                    p, q = x[groups[i]], x[groups[j]]
+                    d = ((p.mean(axis=0) - q.mean(axis=0)) ** 2).sum() * len(p) * len(q) / (len(p) + len(q))
+                    best = min(best or (d, j, i), (d, j, i))
+            groups[best[1]] += groups.pop(best[2])
+        return {frozenset(g) for g in groups}
+
+    pick = np.random.default_rng(4)
+    for n, target in ((1, 1), (9, 3), (40, 5), (30, 30)):
+        x = pick.normal(size=(n, 3))
+        labels = ward_groups(x, target)
+        assert {frozenset(i for i in range(n) if labels[i] == g) for g in set(labels)} == greedy(x, target)

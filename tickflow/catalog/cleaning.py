@@ -89,7 +89,7 @@ def sanitize(spark, sf):
     return rounded(c.sanitize(_features(spark, sf), list(_T), thresholds=_T, overrides=_OVER), *_T)
 
 
-_DIMS = [f"e{i}" for i in range(8)]
+_DIMS = [f"e{i}" for i in range(64)]
 
 
 def _vectors(spark, sf):

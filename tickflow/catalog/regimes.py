@@ -12,8 +12,10 @@ from tickflow.operators import regimes as rg
 from tickflow.operators import segments as sg
 from tickflow.plans import features as pf
 from tickflow.plans import regimes as pr
+from tickflow.schemas import CLUSTER_FEATURES
 
-_SEGCOLS = [f"{s}_{f}" for s in SYMBOLS for f in ("f2", "f3")]
+_SEGFEATURES = [f"f{i}" for i in CLUSTER_FEATURES]
+_SEGCOLS = [f"{s}_{f}" for s in SYMBOLS for f in _SEGFEATURES]
 _AGG = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 
 
@@ -23,7 +25,7 @@ _AGG = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
     + ", ".join(f"coalesce(max({c.split('_')[1]}) FILTER (symbol='{c.split('_')[0]}'),0) AS {c}" for c in _SEGCOLS)
     + " FROM ft GROUP BY ts) GROUP BY 1 HAVING count(*)>1", FEATURE_CTES))
 def segments(spark, sf):
-    wide = pf.widen(features(spark, sf), SYMBOLS, ["f2", "f3"])
+    wide = pf.widen(features(spark, sf), SYMBOLS, _SEGFEATURES)
     out = sg.segment_stats(wide, _SEGCOLS, "1 day")
     return rounded(out, *[c for c in out.columns if c != "segment_start"])
 
@@ -61,7 +63,9 @@ def density_cluster(spark, sf):
     return dn.density_cluster(_points(spark, sf), min_cluster_size=15, levels=12)
 
 
-_E4 = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(4))
+DIMENSIONS = 64
+_COLS = [f"e{i}" for i in range(DIMENSIONS)]
+_ALL = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {c}" for i, c in enumerate(_COLS))
 
 
 def _labelled(spark, sf):
@@ -69,36 +73,34 @@ def _labelled(spark, sf):
     regime = F.when(F.col("vec_id") % 10 == 0, -1).otherwise(F.col("label"))
     return spark.read.parquet(f"{sf}/embeddings.parquet").select(
         "vec_id", regime.cast("int").alias("regime"),
-        *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(4)],
+        *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(_COLS)],
     )
 
 
-_L = f"l AS (SELECT vec_id, CAST(CASE WHEN vec_id%10=0 THEN -1 ELSE label END AS INT) AS regime, {_E4} FROM embeddings)"
+_L = f"l AS (SELECT vec_id, CAST(CASE WHEN vec_id%10=0 THEN -1 ELSE label END AS INT) AS regime, {_ALL} FROM embeddings)"
 
 
-@query("regime_centroids", "WITH " + _L + " SELECT regime, count(*) AS members, " + ", ".join(f"{r6(f'avg(e{i})')} AS e{i}" for i in range(4)) + " FROM l WHERE regime<>-1 GROUP BY regime")
+@query("regime_centroids", "WITH " + _L + " SELECT regime, count(*) AS members, " + ", ".join(f"{r6(f'avg({c})')} AS {c}" for c in _COLS) + " FROM l WHERE regime<>-1 GROUP BY regime")
 def regime_centroids(spark, sf):
-    cols = [f"e{i}" for i in range(4)]
-    return rounded(rg.regime_centroids(_labelled(spark, sf), cols), *cols)
+    return rounded(rg.regime_centroids(_labelled(spark, sf), _COLS), *_COLS)
 
 
 @query("merge_regimes")
 def merge_regimes(spark, sf):
-    cols = [f"e{i}" for i in range(4)]
-    return rg.merge_regimes(_labelled(spark, sf), cols, 3).select("vec_id", "regime")
+    return rg.merge_regimes(_labelled(spark, sf), _COLS, 3).select("vec_id", "regime")
 
 
 # Small: fewer members than the average regime.
 @query("merge_small", "WITH " + _L + """,
-  n AS (SELECT regime, count(*) AS n, """ + ", ".join(f"avg(e{i}) AS c{i}" for i in range(4)) + """ FROM l WHERE regime<>-1 GROUP BY 1),
+  n AS (SELECT regime, count(*) AS n, """ + ", ".join(f"avg(e{i}) AS c{i}" for i in range(DIMENSIONS)) + """ FROM l WHERE regime<>-1 GROUP BY 1),
   t AS (SELECT CAST(ceil(avg(n)) AS BIGINT) AS t FROM n),
-  mv AS (SELECT a.regime, arg_min(b.regime, """ + "+".join(f"(a.c{i}-b.c{i})**2" for i in range(4)) + """) AS r FROM n a, n b, t WHERE a.n<t AND b.n>=t GROUP BY 1)
+  mv AS (SELECT a.regime, arg_min(b.regime, """ + "+".join(f"(a.c{i}-b.c{i})**2" for i in range(DIMENSIONS)) + """) AS r FROM n a, n b, t WHERE a.n<t AND b.n>=t GROUP BY 1)
   SELECT vec_id, coalesce(mv.r, l.regime) AS regime FROM l LEFT JOIN mv ON mv.regime=l.regime""")
 def merge_small(spark, sf):
     df = _labelled(spark, sf)
     real = df.where(F.col("regime") != -1)
     least = real.groupBy("regime").count().agg(F.ceil(F.avg("count"))).first()[0]
-    out = rg.merge_small(df.withColumn("y", F.array(*[f"e{i}" for i in range(4)])), "y", least)
+    out = rg.merge_small(df.withColumn("y", F.array(*_COLS)), "y", least)
     return out.select("vec_id", "regime")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 import numpy as np
@@ -11,8 +12,7 @@ from pyspark.sql import functions as F
 from tickflow.operators.joins import centroids, lookup, nearest_centroid
 from tickflow.schemas import MAX_NOISE, MAX_REGIMES, MIN_REGIME_SIZE, TARGET_REGIMES
 
-# Centroids of clusters, not data: more clusters than this is a failed clustering.
-MAX_CENTROIDS = 2000
+log = logging.getLogger("tickflow")
 
 
 def regime_centroids(segments: DataFrame, cols: Sequence[str], regime: str = "regime") -> DataFrame:
@@ -23,29 +23,47 @@ def regime_centroids(segments: DataFrame, cols: Sequence[str], regime: str = "re
 
 
 def ward_groups(x: np.ndarray, target: int) -> list[int]:
-    """Group number of each centroid after Ward merging down to ``target`` groups."""
-    groups = {i: [i] for i in range(len(x))}
-    size = {i: 1 for i in groups}
-    mean = {i: np.asarray(x[i], dtype=float) for i in groups}
-    while len(groups) > target:
-        ids = sorted(groups)
-        m = np.stack([mean[i] for i in ids])
-        n = np.array([size[i] for i in ids], dtype=float)
-        sq = ((m[:, None, :] - m[None, :, :]) ** 2).sum(axis=2)
-        cost = sq * (n[:, None] * n[None, :]) / (n[:, None] + n[None, :])
-        np.fill_diagonal(cost, np.inf)
-        a, b = np.unravel_index(cost.argmin(), cost.shape)
-        a, b = ids[min(a, b)], ids[max(a, b)]
-        total = size[a] + size[b]
-        mean[a] = (mean[a] * size[a] + mean[b] * size[b]) / total
-        size[a], groups[a] = total, groups[a] + groups[b]
-        for d in (groups, size, mean):
-            del d[b]
-    out = [0] * len(x)
-    for number, members in enumerate(groups.values()):
-        for i in members:
-            out[i] = number
-    return out
+    """Group number of each centroid after Ward merging down to ``target`` groups.
+
+    Merges are found along chains of nearest neighbours, which need no matrix of distances, and
+    applied by cost: Ward costs never fall on the way up, so these are the cheapest merges.
+    """
+    n = len(x)
+    mean, size = np.array(x, dtype=float), np.ones(n)
+    active = np.ones(n, bool)
+    merges: list[tuple[float, int, int]] = []
+    chain: list[int] = []
+    for _ in range(n - 1):
+        chain = chain or [int(active.argmax())]
+        while True:
+            a = chain[-1]
+            cost = ((mean - mean[a]) ** 2).sum(axis=1) * size * size[a] / (size + size[a])
+            cost[~active] = np.inf
+            cost[a] = np.inf
+            b = int(cost.argmin())
+            if len(chain) > 1 and cost[chain[-2]] <= cost[b]:
+                b = chain[-2]
+                break
+            chain.append(b)
+        del chain[-2:]
+        low, high = min(a, b), max(a, b)
+        merges.append((float(cost[b]), low, high))
+        mean[low] = (mean[low] * size[low] + mean[high] * size[high]) / (size[low] + size[high])
+        size[low] += size[high]
+        active[high] = False
+    group = list(range(n))
+
+    def top(i: int) -> int:
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for _, low, high in sorted(merges, key=lambda m: m[0])[: max(0, n - target)]:
+        a, b = top(low), top(high)
+        group[max(a, b)] = min(a, b)
+    tops = [top(i) for i in range(n)]
+    number = {t: i for i, t in enumerate(sorted(set(tops)))}
+    return [number[t] for t in tops]
 
 
 def merge_regimes(
@@ -56,9 +74,7 @@ def merge_regimes(
     Regimes are renumbered by size, largest first.  Few enough clusters stay as they are.
     """
     table = regime_centroids(segments, cols, regime)
-    rows = table.limit(MAX_CENTROIDS + 1).collect()
-    if len(rows) > MAX_CENTROIDS:
-        raise ValueError(f"more than {MAX_CENTROIDS} clusters to merge")
+    rows = table.collect()  # one row for each cluster
     if len(rows) <= target:
         return segments
     rows = sorted(rows, key=lambda r: r[regime])
@@ -110,8 +126,12 @@ def regime_guards(
 
 
 def check_guards(labels: DataFrame, **limits) -> DataFrame:
-    """Raise when there are too many regimes; labels unchanged otherwise."""
+    """Raise when there are too many regimes; warn of much noise and of small regimes."""
     row = regime_guards(labels, **limits).first()
     if row["too_many"]:
         raise ValueError(f"too many regimes: {row['regimes']}")
+    if row["too_noisy"]:
+        log.warning("%.0f %% of the segments are noise", 100 * row["noise_share"])
+    if row["small_regimes"]:
+        log.warning("%d regimes are small", row["small_regimes"])
     return labels
