@@ -43,9 +43,22 @@ def knn_graph(spark, sf):
     return rounded(nb.knn(_points(spark, sf), 15), "distance")
 
 
-@query("fuzzy_graph")
+# The width of each point's neighbourhood by 64 bisections, then a + b - ab of both directions.
+@query("fuzzy_graph", """WITH RECURSIVE e AS (SELECT vec_id, unnest(generate_series(1,len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+    p AS (SELECT a.vec_id AS id, b.vec_id AS n, sqrt(sum((a.v-b.v)**2)) AS d FROM e a JOIN e b USING (i) WHERE a.vec_id<>b.vec_id GROUP BY 1,2),
+    k AS (SELECT id, n, d FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, n) AS rank FROM p) WHERE rank<=15),
+    g AS (SELECT id, n, greatest(d-coalesce(min(CASE WHEN d>0 THEN d END) OVER (PARTITION BY id),0),0) AS gap FROM k),
+    s(id, gaps, lo, hi, sigma, round) AS (
+      SELECT id, list(gap), 0::DOUBLE, 'infinity'::DOUBLE, 1::DOUBLE, 0 FROM g GROUP BY id
+      UNION ALL
+      SELECT id, gaps, lo2, hi2, greatest(CASE WHEN isinf(hi2) THEN sigma*2 ELSE (lo2+hi2)/2 END, 1e-12), round+1 FROM (
+        SELECT *, CASE WHEN total>log2(len(gaps)) THEN sigma ELSE hi END AS hi2, CASE WHEN total>log2(len(gaps)) THEN lo ELSE sigma END AS lo2
+        FROM (SELECT *, list_sum(list_transform(gaps, lambda x: exp(-x/sigma))) AS total FROM s WHERE round<64))),
+    w AS (SELECT g.id, g.n, exp(-gap/sigma) AS w FROM g JOIN s ON s.id=g.id AND s.round=64),
+    b AS (SELECT id, n, w FROM w UNION ALL SELECT n, id, w FROM w)
+    SELECT id, n AS neighbour, round(sum(w)-CASE WHEN count(*)=2 THEN min(w)*max(w) ELSE 0 END,6) AS weight FROM b GROUP BY 1,2""")
 def fuzzy_graph(spark, sf):
-    return nb.fuzzy_graph(nb.knn(_points(spark, sf), 15))
+    return rounded(nb.fuzzy_graph(nb.knn(_points(spark, sf), 15)), "weight")
 
 
 @query("embed_2d")

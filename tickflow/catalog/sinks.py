@@ -99,6 +99,9 @@ def run_metrics(spark, sf):
     return spark.read.parquet(metrics).drop("seconds")
 
 
-@query("sink_stats")
+@query("sink_stats", over_feeds("""SELECT CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month, CAST(day(ts) AS INT) AS day,
+    count(*) AS records, true AS has_files, true AS has_bytes FROM trades GROUP BY 1,2,3"""))
 def sink_stats(spark, sf):
-    return pq.sink_stats(spark, _stored(spark, sf))
+    """How many files and bytes a day has is the writer's choice; that it has some is not."""
+    stats = pq.sink_stats(spark, _stored(spark, sf))
+    return stats.select("year", "month", "day", "records", (F.col("files") > 0).alias("has_files"), (F.col("bytes") >= F.col("records")).alias("has_bytes"))
