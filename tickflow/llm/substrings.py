@@ -161,13 +161,15 @@ def find(docs: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
         "anchors",
     )
     seeds = base.select("ord", "name", F.explode("anchors").alias("x")).select("ord", "name", "x.*")
-    met = seeds.groupBy("anchor").agg(
+    # Folded sides are written before they are joined back: both sides of such a join are then plain
+    # shuffles, and the engine can split a hot anchor over tasks.
+    met = stage(seeds.groupBy("anchor").agg(
         F.min("ord").alias("first"), F.max("ord").alias("last"),
         F.min("whole").alias("low"), F.max("whole").alias("high"),
-    ).where("first < last")
+    ).where("first < last"), "met")
     shared = stage(seeds.join(met, "anchor").selectExpr("anchor", "whole", "ord", "name", "lo", "hi", "first", "low = high AS alike"), "seeds")
     mixed = shared.where("NOT alike")
-    earliest = mixed.groupBy("anchor", "whole").agg(F.min("ord").alias("first"))
+    earliest = stage(mixed.groupBy("anchor", "whole").agg(F.min("ord").alias("first")), "met")
     judged = shared.where("alike").select("ord", "name", "lo", "hi", (F.col("ord") > F.col("first")).alias("gone"), F.lit(False).alias("open")).unionByName(
         mixed.drop("first").join(earliest, ["anchor", "whole"]).select(
             "ord", "name", "lo", "hi", (F.col("ord") > F.col("first")).alias("gone"), (F.col("ord") == F.col("first")).alias("open")
@@ -182,7 +184,7 @@ def find(docs: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     fine = stage(
         flagged.where(F.size("fine") > 0).select("ord", "name", "fine", "text").mapInArrow(_windows(span), _FINE), "windows"
     )
-    twice = fine.groupBy("window").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first < last")
+    twice = stage(fine.groupBy("window").agg(F.min("ord").alias("first"), F.max("ord").alias("last")).where("first < last"), "met")
     found = fine.join(twice, "window").where("ord > first").groupBy("ord", "name").agg(F.collect_set(F.struct(F.col("at").alias("lo"), F.col("at").alias("hi"))).alias("found"))
     schema = T.StructType([docs.schema["doc_id"], *_CUT])
     changed = flagged.join(found, ["ord", "name"], "left").select("doc_id", "text", "solved", "found").mapInArrow(_remove(span), schema)
