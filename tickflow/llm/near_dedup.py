@@ -306,7 +306,7 @@ def _between(docs: DataFrame, live: DataFrame, classes: DataFrame, roots: DataFr
     """Confirmed links across the components ``roots`` of classes that share a key."""
     sc = docs.sparkSession.sparkContext
     rooted = live.where("size > 2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    several = stage(rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high"), "several")
     left = rooted.join(several.select("key"), "key").select("node", "root").distinct().join(classes.select("node", "rep"), "node")
     texts = stage(representatives(docs, left.select("node", "rep"), n).join(left.select("node", "root"), "node"), "texts")
     # A table of fixed size, whatever the corpus.
@@ -320,9 +320,10 @@ def _between(docs: DataFrame, live: DataFrame, classes: DataFrame, roots: DataFr
         ),
         "tokens",
     )
-    heads = (
+    heads = stage(
         tokens.groupBy("token", "root").agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("token").agg(F.max(F.struct("rows", "root")).alias("head"), F.sum("rows").alias("all")).where("all > head.rows")
+        .groupBy("token").agg(F.max(F.struct("rows", "root")).alias("head"), F.sum("rows").alias("all")).where("all > head.rows"),
+        "heads",
     )
     parts = [F.ceil(x / BLOCK).cast("int") for x in (F.col("head.rows"), F.col("all") - F.col("head.rows"))]
     inside = F.col("root") == F.col("head.root")
@@ -354,7 +355,8 @@ def link(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, Dat
         "classes",
     )
     keys = classes.select("node", "signature").mapInArrow(_keys, "key long, node long")
-    shared = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    # Written before it is joined back, so that the engine can split a hot key over tasks.
+    shared = stage(keys.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
     live = stage(keys.join(shared, "key"), "keys")
 
     def side(name: str) -> DataFrame:
