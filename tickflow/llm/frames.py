@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,13 +42,26 @@ def packed(df: DataFrame) -> DataFrame:
 
 def strings(column: pa.Array) -> pa.Array:
     """A string array without nulls: null texts are empty ones."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
     if column.null_count:
         column = column.fill_null("")
     return column.cast(pa.large_string())
 
 
+PIECE = 1 << 22
+"""Bytes of text a worker turns into Python objects or result columns at once."""
+
+
+def pieces(batch: pa.RecordBatch, texts: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``PIECE`` bytes of ``texts``; a longer row is a run of its own."""
+    sizes = sum(np.asarray(pc.binary_length(t).fill_null(0), np.int64) for t in texts)
+    ends = np.cumsum(sizes)
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PIECE, "right")))
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def annotate(
     df: DataFrame,
     fields: list[T.StructField],
@@ -68,14 +82,16 @@ def annotate(
 
         arrow = to_arrow_schema(schema)
         for batch in batches:
-            row = batch.column(0)
-            texts = strings(row.field(row.type.get_field_index(text)))
-            got = fn(texts)
-            columns = [row.cast(arrow.field(0).type)]
-            columns += [
-                got[n] if isinstance(got[n], pa.Array) else pa.array(got[n], arrow.field(n).type) for n in names
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+            at = batch.column(0).type.get_field_index(text)
+            for piece in pieces(batch, [batch.column(0).field(at)]):
+                # A sliced struct hands on whole children; flattening slices them too.
+                row = pa.StructArray.from_arrays(piece.column(0).flatten(), fields=list(piece.column(0).type))
+                got = fn(strings(row.field(at)))
+                columns = [row.cast(arrow.field(0).type)]
+                columns += [
+                    got[n] if isinstance(got[n], pa.Array) else pa.array(got[n], arrow.field(n).type) for n in names
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return source.mapInArrow(run, schema)
 

@@ -37,7 +37,7 @@ WORDS, GRAMS = 100_000, 30_000
 LONGEST = 5
 UNKNOWN = "und"
 _BASE = 0x9E3779B97F4A7C15
-_CHARS = 1 << 19
+_CHARS = 1 << 17
 
 
 @cache

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow.llm.components import components
-from tickflow.llm.frames import ROW, annotate, groups, stage
+from tickflow.llm.frames import ROW, annotate, groups, pieces, stage
 from tickflow.llm.shards import mapped, save
 from tickflow.llm.words import BY_SPACE, U, Words, chunks, mix
 from tickflow.session import work_path
@@ -42,7 +42,7 @@ SYMBOLS = PARTS * WIDTH
 DISTANCE = 2 * PARTS - 1
 BLOCK = 512
 RARITY_BITS = 18
-KEPT = 1 << 22
+KEPT = 1 << 20
 """Shingles in a file of sets."""
 REMEMBERED = 1 << 20
 """Failed pairs a task remembers, so as not to compare them again."""
@@ -96,7 +96,7 @@ def _minhash(sets: list[np.ndarray]) -> np.ndarray:
 def _signatures(n: int):
     def fn(texts: pa.Array) -> dict:
         counts, nodes, signatures = [], [], []
-        for _, _, words in chunks(texts, BY_SPACE, lower=True, size=1 << 19):
+        for _, _, words in chunks(texts, BY_SPACE, lower=True):
             sets = shingle_sets(words, n)
             counts += [len(s) for s in sets]
             nodes += [set_hash(s) for s in sets]
@@ -262,11 +262,11 @@ _ARROW_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 def _confirm(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in pieces(whole, [whole.column("text_a"), whole.column("text_b")])):
             sides = []
             for name in ("text_a", "text_b"):
                 texts = batch.column(name).fill_null("").cast(pa.large_string())
-                sides.append([s for _, _, w in chunks(texts, BY_SPACE, lower=True, size=1 << 19) for s in shingle_sets(w, n)])
+                sides.append([s for _, _, w in chunks(texts, BY_SPACE, lower=True) for s in shingle_sets(w, n)])
             a, b = (batch.column(c).to_pylist() for c in ("a", "b"))
             keep = []
             for x, y, p, q in zip(a, b, *sides, strict=True):

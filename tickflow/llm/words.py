@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 """Bytes of text handled at once; a longer text is a chunk of its own."""
 
 U = np.uint64
