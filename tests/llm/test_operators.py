@@ -157,6 +157,18 @@ def test_quality_tells_labelled_kinds_apart(spark):
     assert right >= 0.97 * len(got)
 
 
+def test_quality_samples_each_kind_whole_or_to_the_bound(spark):
+    """A rare kind is taken whole, whatever the number of other labels, null ids and repeats."""
+    good = spark.range(50_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    bad = spark.range(100_000, 100_300).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"), F.lit(0).alias("toxic"))
+    lost = spark.range(30_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("quality"), F.lit(0).alias("toxic"))
+    labels = good.unionByName(good).unionByName(bad).unionByName(lost)
+    assert {r.doc_id for r in quality._labelled(labels, False).collect()} == set(range(100_000, 100_300))
+    assert quality._labelled(labels, True).distinct().count() == quality.SAMPLE
+    few = good.limit(25_000).unionByName(bad)
+    assert quality._labelled(few, True).distinct().count() == quality.SAMPLE
+
+
 @pytest.mark.parametrize("order", [2, 3])
 def test_kneser_ney(docs, plain, order):
     got = sorted(kneser.report(docs, order).collect(), key=str)
