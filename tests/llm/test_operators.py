@@ -139,6 +139,42 @@ def test_personal_data(spark, docs, none):
     assert pii.masked("the token of love, an account of the secret: nothing") == "the token of love, an account of the secret: nothing"
 
 
+@pytest.mark.parametrize(
+    "text, value, kind",
+    [
+        ("Account Number: 12345678", "12345678", "account"),
+        ("Account No. 12345678", "12345678", "account"),
+        ("Account No 12345678.", "12345678", "account"),
+        ("ACCOUNT NUMBER 12345678", "12345678", "account"),
+        ("Passport No: X1234567", "X1234567", "account"),
+        ("ssn is 123-45-6789", "123-45-6789", "account"),
+        ("Ssn Is: 123-45-6789", "123-45-6789", "account"),
+        ("account number is 12345678", "12345678", "account"),
+        ("Account number is: 12345678", "12345678", "account"),
+        ("My Social Security Number is 123-45-6789", "123-45-6789", "account"),
+        ("SOCIAL SECURITY NO. 123-45-6789", "123-45-6789", "account"),
+        ("İé Social Security: 123-45-6789", "123-45-6789", "account"),
+        ("account no1234567", "1234567", "account"),
+        ("IBAN NO93 8601 1117 947", "NO93 8601 1117 947", "account"),
+        ("Iban IS140159260076545510730339", "IS140159260076545510730339", "account"),
+        ("Api_Key: 24be64439e3e", "24be64439e3e", "secret"),
+        ("Password Is: 24be64439e3e", "24be64439e3e", "secret"),
+        ("PASSWORD NO.: 24be64439e3e", "24be64439e3e", "secret"),
+        ("HTTPS://x.org/a", "HTTPS://x.org/a", "url"),
+        ("Https://x.org/a", "Https://x.org/a", "url"),
+    ],
+)
+def test_personal_data_cues_in_any_case(text, value, kind):
+    at = text.index(value)
+    assert (at, at + len(value), kind) in pii.spans(text)
+    assert value not in pii.masked(text)
+
+
+@pytest.mark.parametrize("text", ["Account Number none", "My Account Is Closed", "the Secret Is out: nothing", "Accounting No. 1234567"])
+def test_prose_after_cues_stays(text):
+    assert pii.spans(text) == []
+
+
 def test_quality_rules(spark, docs, none):
     labels = spark.createDataFrame([(0, 1, 0), (7, 0, 0), (None, 1, 0), (9, None, 0)], "doc_id long, quality int, toxic int")
     got = quality.report(docs, labels).collect()

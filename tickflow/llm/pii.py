@@ -1,7 +1,7 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick automaton finds anchors in a text: at-signs, schemes, a plus before a digit, pairs of
-digits, digits before a dot, and identifier cues.  A small deterministic parser then expands each anchor
+digits, digits before a dot, and identifier cues, in any case of ASCII letters.  A small deterministic parser then expands each anchor
 to the whole item and validates it.  Kinds, in the order that breaks ties:
 
 * email, ip, card, phone: the fixed grammars below, leftmost and non-overlapping within a kind; a match
@@ -35,8 +35,13 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 URL = re.compile(r"[A-Za-z0-9._~%-]+(?::[0-9]+)?(?:[/?#][^\s\"'<>\\^`{|}]*)?")
-VALUE = re.compile(r"[\"']?\s?(?:is|no\.?|number|nr\.?)?\s{0,2}[:=#]?\s{0,2}[\"']?(?P<value>[A-Za-z0-9][A-Za-z0-9_/+.=-]*[A-Za-z0-9=])")
-ACCOUNT_VALUE = re.compile(r"[\"']?\s?(?:no\.?|number|nr\.?)?\s{0,2}[:=#]?\s{0,2}[\"']?(?P<value>[A-Z]{0,2}[0-9](?:[ -]?[A-Z0-9]){5,33})")
+# What may stand between a cue and its value, in any case of letters. "NO", "NR" and "IS" before a digit start a value
+# (country codes of account numbers); "no" and "No" do not.
+_BETWEEN = (
+    r"[\"']?\s?(?:(?i:number|n[or]\.|n[or](?![0-9a-z]))|[Nn][or])?(?:\s{0,2}(?i:is(?![0-9a-z])))?\s{0,2}[:=#]?\s{0,2}[\"']?"
+)
+VALUE = re.compile(_BETWEEN + r"(?P<value>[A-Za-z0-9][A-Za-z0-9_/+.=-]*[A-Za-z0-9=])")
+ACCOUNT_VALUE = re.compile(_BETWEEN + r"(?P<value>[A-Z]{0,2}[0-9](?:[ -]?[A-Z0-9]){5,33})")
 
 SCHEMES = ("http://", "https://", "ftp://")
 ACCOUNT_CUES = ("account", "iban", "passport", "ssn", "social security")
@@ -59,8 +64,7 @@ def _automaton():
                 found.add_word(a + between + b, ("card", 2 + len(between)))
     for kind, cues in (("url", SCHEMES), ("account", ACCOUNT_CUES), ("secret", SECRET_CUES)):
         for cue in cues:
-            for form in {cue, cue.upper(), cue.capitalize()}:
-                found.add_word(form, (kind, len(form)))
+            found.add_word(cue, (kind, len(cue)))
     found.make_automaton()
     return found
 
@@ -73,6 +77,11 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _lowered(text: str) -> str:
+    """``text`` with its ASCII letters in lower case; code points keep their places."""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+
+
 def _iban(value: str) -> bool:
     x = re.sub("[ -]", "", value)
     if not re.fullmatch(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}", x):
@@ -96,7 +105,7 @@ def spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of all items, in order of start, then kind."""
     out: list[tuple[int, int, str]] = []
     done = dict.fromkeys(KINDS, 0)
-    for last, (kind, size) in _automaton().iter(text):
+    for last, (kind, size) in _automaton().iter(_lowered(text)):
         at = last - size + 1
         past = done[kind]
         if at < past:
