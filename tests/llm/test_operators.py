@@ -284,6 +284,42 @@ def test_extraction_of_whole_pages(spark):
         assert r.text == want and r.n_chars == len(want)
 
 
+def test_extraction_without_telling_mark_up(spark):
+    """Pages of div elements only: the chain is trained on the layouts and still tells the parts apart."""
+    body = [" ".join(" ".join(brute.prose(7 + i, 12 + i)).split()) + "." for i in range(40)]
+
+    def page(i: int) -> str:
+        return (
+            '<body><div class="menu"><a href="/">Home</a></div><div class="topbar">Site</div><div class="content">'
+            f"<p>{body[i % 40]}</p><p>{body[(i + 3) % 40]}</p></div>"
+            f'<div id="comments"><p>{body[(i + 5) % 40]}</p></div><div class="footer">Legal</div></body>'
+        )
+
+    df = spark.createDataFrame([(i, "u", page(i)) for i in range(40)], "page_id long, url string, html string")
+    for how in ({}, {"chars": 60}):
+        got = {r.page_id: r.text for r in extract.report(df, **how).collect()}
+        right = sum(got[i] == f"{body[i % 40]}\n{body[(i + 3) % 40]}" for i in range(40))
+        assert right >= 38, (how, right, got[0])
+    assert len(extract.fit(extract.labelled(["", "<!-- -->"])).weights) > 10
+
+
+def test_extraction_samples_distinct_pages(spark):
+    """Long, null and copied pages take nothing from the sample."""
+    fits = [f"<main><p>page {i}</p></main><p>menu</p>" for i in range(30)]
+    rows = [(fits[i % 30],) for i in range(60)] + [(fits[0],)] * 500 + [("x" * 300 + str(i),) for i in range(2000)] + [(None,)] * 500
+    df = spark.createDataFrame(rows, "html string").repartition(4)
+    seen = []
+    real, extract.labelled = extract.labelled, lambda pages: seen.extend(pages) or real(pages)
+    try:
+        extract.train(df, sample=20, chars=200)
+        assert len(seen) == len(set(seen)) == 20 and set(seen) <= set(fits)
+        seen.clear()
+        extract.train(df, sample=100, chars=200)
+        assert sorted(seen) == sorted(fits)
+    finally:
+        extract.labelled = real
+
+
 @pytest.mark.parametrize("version", ["1", "2"])
 def test_archives(spark, version):
     import hashlib

@@ -5,9 +5,12 @@ from its ancestor tags, their class and id words, and its text; a two-state chai
 scores blocks and transitions, is trained by gradient ascent on the likelihood of labelled pages, and
 decoded by Viterbi.
 
-Labelled pages: a bounded sample of the pages is labelled where mark-up tells (an ``article`` or
+Labelled pages: a bounded sample of the distinct pages is labelled where mark-up tells (an ``article`` or
 ``main`` that is not inside page furniture), and its blocks are also set into further page layouts
-whose parts are known (``layout``), so that the model does not hang on one site's tags.
+whose parts are known (``layout``), so that the model does not hang on one site's tags.  Where mark-up labels
+nothing in the sample, the layouts alone are the labelled pages: long sentences of the sampled blocks fill
+their main text, the other blocks their furniture.  If all pages are longer than ``SAMPLE_CHARS``, the sample
+is of their beginnings; without any text, fixed words fill the layouts.  So a trained chain always decodes.
 
 Defined results: null or empty html has an empty text.  Character references are decoded once, white
 space in a block becomes one space, ``br`` is white space, an unclosed comment, script or style runs to the end.
@@ -253,30 +256,54 @@ def told(block: Block) -> bool | None:
     return not (kinds or _OUTSIDE & set(block.tags[start + 1 :]) or {"nav", "footer", "aside", "form"} & set(block.tags))
 
 
-def labelled(pages: list[str]) -> list[tuple[list[list[str]], list[int]]]:
+Labelled = list[tuple[list[list[str]], list[int]]]
+
+
+def _variants(main: list[str], rest: list[str], first: int, shift: int = 0) -> Labelled:
+    """``VARIANTS`` layouts from number ``first`` on, filled with the texts from place ``shift`` on."""
+    out = []
+    for variant in range(VARIANTS):
+        labels: list[int] = []
+
+        def fill(m: re.Match, labels=labels) -> str:
+            j = len(labels)
+            labels.append(int(m[0] == "{m}"))
+            # Readers' comments and notices are prose too.
+            pool = main if m[0] == "{m}" or j % 2 else rest
+            return entities.escape(pool[(j + shift) % len(pool)])
+
+        made = blocks(re.sub(r"\{[mx]\}", fill, layout(first + variant)))
+        if len(made) == len(labels):
+            out.append(([features(b, j, len(made)) for j, b in enumerate(made)], labels))
+    return out
+
+
+# What fills the layouts of a sample without any text, and the words of a long sentence.
+FILL = (("A heading", "A sentence of some length that says a little about one thing.", "Another sentence, which goes on from there to the next."), ("Home", "More", "A notice."))
+LONG = 8
+
+
+def labelled(pages: list[str]) -> Labelled:
     """Training sequences: feature names and labels of the blocks of each page and its variants."""
     out = []
-    for i, page in enumerate(pages):
-        found = blocks(page)
+    cut = [blocks(page) for page in pages]
+    for i, found in enumerate(cut):
         marks = [told(b) for b in found]
         main = [b.text for b, k in zip(found, marks, strict=True) if k]
         rest = [b.text for b, k in zip(found, marks, strict=True) if not k]
         if not main or not rest:
             continue
         out.append(([features(b, j, len(found)) for j, b in enumerate(found)], [int(k) for k in marks]))
-        for variant in range(VARIANTS):
-            labels: list[int] = []
-
-            def fill(m: re.Match, main=main, rest=rest, labels=labels) -> str:
-                j = len(labels)
-                labels.append(int(m[0] == "{m}"))
-                # Readers' comments and notices are prose too.
-                pool = main if m[0] == "{m}" or j % 2 else rest
-                return entities.escape(pool[j % len(pool)])
-
-            made = blocks(re.sub(r"\{[mx]\}", fill, layout(i * VARIANTS + variant)))
-            if len(made) == len(labels):
-                out.append(([features(b, j, len(made)) for j, b in enumerate(made)], labels))
+        out += _variants(main, rest, i * VARIANTS)
+    if out:
+        return out
+    long = [b.text for found in cut for b in found if b.text.count(" ") + 1 >= LONG and not b.linked]
+    other = [b.text for found in cut for b in found if b.text.count(" ") + 1 < LONG or b.linked]
+    long, other = long or other or list(FILL[0]), other or long or list(FILL[1])
+    # Headings are main text too.
+    main = [t for i, x in enumerate(long) for t in ((x,) if i % 4 else (other[i % len(other)], x))]
+    for i in range(SAMPLE):
+        out += _variants(main, other, i * VARIANTS, 7 * i)
     return out
 
 
@@ -309,8 +336,6 @@ class Chain:
 
 def fit(sequences: list[tuple[list[list[str]], list[int]]], rounds: int = 200, rate: float = 0.5, decay: float = 1e-4) -> Chain:
     """Maximum likelihood with a quadratic penalty, by full-batch gradient ascent (scaled steps)."""
-    if not sequences:
-        return Chain({"bias": 1.0}, np.zeros((2, 2)))
     index = {f: i for i, f in enumerate(sorted({f for s, _ in sequences for fs in s for f in fs}))}
     longest = max(len(y) for _, y in sequences)
     labels = np.full((len(sequences), longest), -1)
@@ -356,13 +381,24 @@ def fit(sequences: list[tuple[list[list[str]], list[int]]], rounds: int = 200, r
 
 
 def train(pages: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Chain:
-    """Fit on at most ``sample`` pages of at most ``chars`` characters, chosen by a hash of the page."""
-    fits = pages.where(F.char_length("html").between(1, chars)).select("html")
-    # A hash below the share passes about four times the sample, so that tasks do not each send one.
-    share = min(1.0, 4 * sample / max(1, pages.count()))
-    near = fits.where(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    chosen = near.orderBy(F.xxhash64("html"), "html").limit(sample)
-    return fit(labelled([r["html"] for r in chosen.collect()]))
+    """Fit on at most ``sample`` distinct pages of at most ``chars`` characters, chosen by a hash of the page.
+
+    If all pages are longer, on the first ``chars`` characters of as many of them.
+    """
+    size = F.char_length("html")
+    chosen = _chosen(pages.where(size.between(1, chars)).select("html"), sample)
+    if not chosen:
+        chosen = _chosen(pages.where(size > chars).select(F.substring("html", 1, chars).alias("html")), sample)
+    return fit(labelled(chosen))
+
+
+def _chosen(pages: DataFrame, sample: int) -> list[str]:
+    """The distinct pages of the lowest hashes.  First the hashes alone, so that no task sends pages in vain."""
+    hashed = F.xxhash64("html")
+    low = [r[0] for r in pages.select(hashed.alias("h")).distinct().orderBy("h").limit(sample).collect()]
+    # A table of few pages: copies fold in each task before they are sent.
+    found = pages.where(hashed.isin(low)).distinct().select(hashed.alias("h"), "html").collect() if low else []
+    return [r["html"] for r in sorted(found, key=lambda r: (r["h"], r["html"]))][:sample]
 
 
 def main_text(chain: Chain, page: str) -> tuple[str, int, int]:
