@@ -205,6 +205,20 @@ def test_quality_samples_each_kind_whole_or_to_the_bound(spark):
     assert quality._labelled(few, True).distinct().count() == quality.SAMPLE
 
 
+def test_quality_target_has_no_toxic_documents(spark):
+    """Words of toxic documents labelled good do not speak for the target, but the document counts for the threshold."""
+    texts = [(i, f"plain words here {i}") for i in range(20)] + [(i, "nasty nasty nasty") for i in range(20, 30)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = [(i, int(i % 2 == 0), 0) for i in range(20)] + [(i, 1, 1) for i in range(20, 30)] + [(20, 1, None)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    weights, _ = quality.fit(docs, labels)
+    bucket = docs.select(quality.buckets(F.lit("nasty"))[0]).first()[0]
+    assert weights[bucket] < 0
+    trusted = {r.doc_id for r in quality._labelled(labels, True, trusted=True).collect()}
+    assert trusted == set(range(0, 20, 2))
+    assert {r.doc_id for r in quality._labelled(labels, True).collect()} == trusted | set(range(20, 30))
+
+
 @pytest.mark.parametrize("order", [2, 3])
 def test_kneser_ney(docs, plain, order):
     got = sorted(kneser.report(docs, order).collect(), key=str)
