@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import alignment, checks, decontam, extract, kneser, langid, mixing, near_dedup, pii, quality, substrings, warc
+from tickflow.llm import alignment, checks, decontam, extract, kneser, langid, mixing, near_dedup, pii, quality, substrings, trie, warc
 from tickflow.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.report(table(spark, sf_dir, "documents"), n=4)
 
 
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.report(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.report(table(spark, sf_dir, "documents"))
@@ -86,3 +91,4 @@ SQL["op3_decontamination"] = checks.DECONTAMINATION
 SQL["op7_arc_to_warc"] = checks.ARCHIVES
 SQL["op8_substring_dedup"] = checks.SUBSTRINGS
 SQL["op10_minhash_near_dedup"] = checks.NEAR_DUPLICATES
+SQL["op11_conversation_trie"] = checks.CONVERSATIONS

@@ -55,3 +55,46 @@ way AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
 reach(x, y) AS (SELECT doc_id, doc_id FROM doc UNION SELECT reach.x, way.y FROM reach JOIN way ON reach.y = way.x),
 root AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x)
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM root LEFT JOIN size USING (doc_id)"""
+
+
+CONVERSATIONS = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))
+  )) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS d, role, text FROM (
+    SELECT c.conv_id, 0 AS own, t.place, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.place <= c.h
+    UNION ALL
+    SELECT c.conv_id, 1, t.place, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.h
+  )
+), paths AS (
+  SELECT conv_id, d, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words,
+         list(md5(length(role)::VARCHAR || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY d) AS path
+  FROM rebuilt
+  UNION ALL
+  SELECT conv_id, 0, 0, [] FROM convs
+), sizes AS (
+  SELECT conv_id, max(d) AS size FROM paths GROUP BY conv_id
+), nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE size = d) AS ends
+  FROM paths JOIN sizes USING (conv_id) GROUP BY path, d
+), children AS (
+  SELECT path[1:d - 1] AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), below AS (
+  SELECT v.path[1:k] AS path, sum((v.n_convs - 1) * v.words) AS saved,
+         count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM children c WHERE c.path = v.path)) AS leaves
+  FROM nodes v, unnest(range(v.d + 1)) AS x(k) GROUP BY 1
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+       b.leaves AS n_leaves, b.saved::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN below b ON b.path = n.path LEFT JOIN children c ON c.path = n.path
+LEFT JOIN nodes p ON n.d > 0 AND p.path = n.path[1:n.d - 1]
+"""
