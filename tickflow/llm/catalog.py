@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickflow.llm import alignment, checks, decontam, extract, kneser, langid, mixing, near_dedup, pii, quality, substrings, trie, warc
+from tickflow.llm import alignment, checks, decontam, extract, kneser, langid, mixing, near_dedup, pii, quality, substrings, toxicity, trie, warc
 from tickflow.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,11 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.report(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.report(table(spark, sf_dir, "documents"))
