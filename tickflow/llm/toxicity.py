@@ -311,15 +311,19 @@ def _dependent(tables: list[np.ndarray], weight: list[float], most: int) -> list
     return [(i, j) for gain, i, j in sorted(found, reverse=True)[:most] if gain > 1e-3]
 
 
-def label_model(toxic: np.ndarray, clean: np.ndarray, unknown: np.ndarray, rounds: int = 25, pairs: int = 2 * len(VOTERS)) -> LabelModel:
-    """Expectation maximisation over counts of vote combinations: of texts known to be toxic, known to be clean, unknown."""
+def label_model(toxic: np.ndarray, clean: np.ndarray, unknown: np.ndarray, rounds: int = 30, pairs: int = 2 * len(VOTERS)) -> LabelModel:
+    """Expectation maximisation over counts of vote combinations: of texts known to be toxic, known to be clean, unknown.
+
+    The first half of the rounds takes the voters as independent; the pairs that stay dependent then join the
+    model, which is fitted anew.
+    """
     fired = _BITS.sum(1)
     guess = np.where(fired == 0, 0.02, np.where(fired == 1, 0.3, 0.9))
-    q = (toxic + 2 * guess) / (toxic + clean + 2)
+    q = first = (toxic + 2 * guess) / (toxic + clean + 2)
     singles = [_BITS[:, i] for i in range(len(VOTERS))]
     chosen: list[tuple[int, int]] | None = None
     prior, tables = 0.5, [np.zeros(0), np.zeros(0)]
-    for _ in range(rounds):
+    for rnd in range(rounds):
         # A little weight on independence keeps every combination possible in either class.
         counts = [clean + (1 - q) * unknown, toxic + q * unknown]
         mass = [c.sum() + 1 for c in counts]
@@ -328,9 +332,12 @@ def label_model(toxic: np.ndarray, clean: np.ndarray, unknown: np.ndarray, round
         for c, m in zip(counts, mass, strict=True):
             rate = (c @ _BITS + 0.5) / (c.sum() + 1)
             smooth.append(c / m + np.prod(np.where(_BITS == 1, rate, 1 - rate), axis=1) / m)
-        if chosen is None:
+        if chosen is None and 2 * rnd >= rounds:
             chosen = _dependent(smooth, [1 - prior, prior], pairs)
-        scopes = [*singles, *[_BITS[:, i] * 2 + _BITS[:, j] for i, j in chosen]]
+            # Independent rounds trust voters that repeat each other too much: the fit starts anew.
+            q = first
+            continue
+        scopes = [*singles, *[_BITS[:, i] * 2 + _BITS[:, j] for i, j in chosen or []]]
         tables = [_loglinear(s, scopes, 8) for s in smooth]
         top = prior * tables[1]
         q = top / np.maximum(top + (1 - prior) * tables[0], 1e-300)
