@@ -165,7 +165,7 @@ def test_alignment(docs):
 
 def test_alignment_over_shards_and_runs(spark, monkeypatch):
     monkeypatch.setattr(alignment, "SHARD", 300)
-    monkeypatch.setattr(alignment, "HELD", 500)
+    monkeypatch.setattr(alignment, "RUN", 900)
     df = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 150")
     want = plain_alignment([(r.doc_id, r.text) for r in df.collect()])
     assert bag(alignment.report(df).collect()) == want

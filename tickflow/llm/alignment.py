@@ -19,6 +19,7 @@ any length are handled whole.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 from collections.abc import Iterator
@@ -26,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +41,9 @@ FOLDER = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SHARD = 1 << 20
 """Pairs in a file of counts."""
-HELD = 1 << 21
+RUN = 1 << 18
+"""Bytes of text, or tokens, a worker aligns at once; a longer text is a run of its own."""
+HELD = 1 << 20
 """Pairs a task folds before it hands them on."""
 PLAIN = 0xCD
 """Texts of bytes below this (code points under U+0340) are cut alike by both BPE libraries, and take the faster one."""
@@ -75,15 +79,14 @@ class Tokenizers:
     def __init__(self, folder: str) -> None:
         import sentencepiece
         import tiktoken
-        import tokenizers
 
+        self.folder = folder
         with open(f"{folder}/{A_FILE}", encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            file_of = json.load(file)
+        vocabulary = file_of["model"]["vocab"]
         moved = [b for b in range(256) if b not in set(PRINTED)]
         spelt = {chr(b): b for b in PRINTED} | {chr(256 + i): b for i, b in enumerate(moved)}
-        self.exact = tokenizers.Tokenizer.from_file(f"{folder}/{A_FILE}")
-        self.exact.encode_special_tokens = True
-        special = {t.content for t in self.exact.get_added_tokens_decoder().values()}
+        special = {t["content"] for t in file_of["added_tokens"]}
         coded = {w: bytes(spelt[c] for c in w) for w in vocabulary if w not in special}
         self.fast = tiktoken.Encoding(
             "a", pat_str=PATTERN, mergeable_ranks={coded[w]: i for w, i in vocabulary.items() if w in coded}, special_tokens={}
@@ -99,6 +102,14 @@ class Tokenizers:
             raw.append(bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(i) else piece.replace("▁", " ").encode())
         self.b = Vocabulary.of(raw)
 
+    @functools.cached_property
+    def exact(self):
+        import tokenizers
+
+        coder = tokenizers.Tokenizer.from_file(f"{self.folder}/{A_FILE}")
+        coder.encode_special_tokens = True
+        return coder
+
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The ids of A and B of each text; none where they do not spell the text."""
         none = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -206,29 +217,37 @@ _TOKENS = [
 ]
 
 
-def _counts(row: np.ndarray, rows: int) -> np.ndarray:
-    return np.bincount(row, minlength=rows)
-
-
 def _width(v: Vocabulary) -> np.dtype:
     return np.min_scalar_type(len(v.size))
 
 
+def _runs(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Rows from a to before b, of about ``RUN`` in all."""
+    at = total = 0
+    for r, n in enumerate(sizes):
+        if total and total + n > RUN:
+            yield at, r
+            at = r
+            total = 0
+        total += n
+    if at < len(sizes):
+        yield at, len(sizes)
+
+
 def _encoded(folder: str):
     def fn(texts: pa.Array) -> dict:
         t = tokenizers(folder)
-        pairs = t.encode(texts.to_pylist())
-        x, n = coalesce(pairs, t.a, t.b), len(pairs)
-        first = x.order[np.r_[True, np.diff(x.group[x.order]) > 0]] if len(x.ids) else x.order
-        return {
-            "a_ids": [p[0].astype(_width(t.a)).tobytes() for p in pairs],
-            "b_ids": [p[1].astype(_width(t.b)).tobytes() for p in pairs],
-            "n_a": _counts(x.row[x.kind == 0], n),
-            "n_b": _counts(x.row[x.kind == 1], n),
-            "n_groups": _counts(x.row[first], n),
-            "n_links": _counts(x.row[x.link_a], n),
-            "groups_sha256": _spelt(x, n),
-        }
+        out: dict[str, list] = {f.name: [] for f in _TOKENS}
+        for a, b in _runs(pc.binary_length(texts).to_pylist()):
+            pairs = t.encode(texts.slice(a, b - a).to_pylist())
+            x, n = coalesce(pairs, t.a, t.b), len(pairs)
+            first = x.order[np.r_[True, np.diff(x.group[x.order]) > 0]] if len(x.ids) else x.order
+            out["a_ids"] += [p[0].astype(_width(t.a)).tobytes() for p in pairs]
+            out["b_ids"] += [p[1].astype(_width(t.b)).tobytes() for p in pairs]
+            for name, row in (("n_a", x.row[x.kind == 0]), ("n_b", x.row[x.kind == 1]), ("n_groups", x.row[first]), ("n_links", x.row[x.link_a])):
+                out[name] += np.bincount(row, minlength=n).tolist()
+            out["groups_sha256"] += _spelt(x, n)
+        return out
 
     return fn
 
@@ -275,17 +294,11 @@ def aligned(docs: DataFrame, folder: str = FOLDER) -> DataFrame:
 
 
 def _ids(batch: pa.RecordBatch, t: Tokenizers) -> Iterator[tuple[int, int, Aligned]]:
-    """The rows of a batch in runs of about a million tokens, aligned again from their ids."""
-    sides = [
-        [np.frombuffer(x.as_buffer(), _width(v)).astype(np.int64) for x in batch.column(c)]
-        for c, v in (("a_ids", t.a), ("b_ids", t.b))
-    ]
-    at, size = 0, 0
-    for r in range(batch.num_rows):
-        size += len(sides[0][r])
-        if size > SHARD or r + 1 == batch.num_rows:
-            yield at, r + 1, coalesce(list(zip(sides[0][at : r + 1], sides[1][at : r + 1], strict=True)), t.a, t.b)
-            at, size = r + 1, 0
+    """The rows of a batch in runs, aligned again from their ids."""
+    sides = [(batch.column(c), _width(v)) for c, v in (("a_ids", t.a), ("b_ids", t.b))]
+    for a, b in _runs((pc.binary_length(sides[0][0]).to_numpy(zero_copy_only=False) // sides[0][1].itemsize).tolist()):
+        ids = [[np.frombuffer(x.as_buffer(), width).astype(np.int64) for x in column.slice(a, b - a)] for column, width in sides]
+        yield a, b, coalesce(list(zip(*ids, strict=True)), t.a, t.b)
 
 
 def _pairs(x: Aligned, t: Tokenizers) -> np.ndarray:
