@@ -85,7 +85,7 @@ def blobs(spark, n=60):
 
 def test_density_finds_blobs(spark):
     df, truth = blobs(spark)
-    got = {r["id"]: r["cluster"] for r in dn.density_cluster(df, min_cluster_size=15, min_samples=5, levels=16).collect()}
+    got = {r["id"]: r["cluster"] for r in dn.density_cluster(df, min_cluster_size=15, min_samples=5).collect()}
     assert set(got) == set(truth)
     for b in range(3):
         labels = [got[i] for i in truth if truth[i] == b]

@@ -73,7 +73,7 @@ def embed_2d_spectral(spark, sf):
 
 @query("density_cluster")
 def density_cluster(spark, sf):
-    return dn.density_cluster(_points(spark, sf), min_cluster_size=15, levels=12)
+    return dn.density_cluster(_points(spark, sf), min_cluster_size=15)
 
 
 DIMENSIONS = 64
@@ -130,6 +130,6 @@ def regimes_end_to_end(spark, sf):
     """Feature rows with their regime: hourly grid, segments of six hours."""
     _, rows = pr.discover(
         features(spark, sf), SYMBOLS, "6 hours", rank_window=48, rank_min=5, min_cluster_size=8, min_samples=4,
-        neighbours=8, levels=10,
+        neighbours=8,
     )
     return rows

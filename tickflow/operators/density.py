@@ -1,9 +1,7 @@
 """Density clustering and embedding as distributed table operations.
 
-The cluster hierarchy is built on the neighbour graph with mutual-reachability weights, at a
-fixed number of distance levels, so that every step is a join or an aggregation: one connected-
-components run for all levels together, then cluster sizes, parents and excess of mass by level.
-No step gathers the points, the tree edges or a cluster in one task.
+Clusters come from the exact hierarchy of ``operators.hierarchy``.  No step gathers the points, the tree
+edges or a cluster in one task.
 """
 
 from __future__ import annotations
@@ -14,7 +12,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.operators.hierarchy import EDGES, clusters, condensed_tree, spanning_tree
 from tickflow.operators.neighbours import fuzzy_graph, knn
+from tickflow.operators.ordered import ordered_index
 from tickflow.schemas import MIN_CLUSTER_SIZE, MIN_SAMPLES, N_NEIGHBORS
 from tickflow.session import cut
 
@@ -47,114 +47,38 @@ def connected_components(edges: DataFrame, nodes: DataFrame, node: str = "node")
             return labels
 
 
-def reachability_edges(neighbours: DataFrame, min_samples: int) -> DataFrame:
-    """(a, b, w): neighbour pairs weighted by max(core distance of both, distance)."""
-    core = neighbours.where(F.col("rank") == min_samples - 1 if min_samples > 1 else F.col("rank") == 1).select(
-        "id", F.col("distance").alias("core")
-    )
-    a = core.select(F.col("id").alias("a"), F.col("core").alias("ca"))
-    b = core.select(F.col("id").alias("b"), F.col("core").alias("cb"))
-    pairs = neighbours.select(
-        F.least("id", "neighbour").alias("a"), F.greatest("id", "neighbour").alias("b"), "distance"
-    ).groupBy("a", "b").agg(F.min("distance").alias("distance"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", F.greatest("distance", "ca", "cb").alias("w"))
-
-
-def level_distances(edges: DataFrame, levels: int) -> list[float]:
-    """Ascending distances to cut at: evenly spaced ranks of the edge weights."""
-    probs = [(i + 1) / levels for i in range(levels)]
-    got = edges.agg(F.percentile_approx("w", probs, 10_000).alias("q")).first()["q"]
-    return sorted({float(v) for v in got or []})
-
-
 def density_cluster(
     points: DataFrame, id_col: str = "id", x: str = "x", min_cluster_size: int = MIN_CLUSTER_SIZE,
-    min_samples: int = MIN_SAMPLES, levels: int = 16, neighbours: int = N_NEIGHBORS,
-    graph: DataFrame | None = None,
+    min_samples: int = MIN_SAMPLES, neighbours: int = N_NEIGHBORS, graph: DataFrame | None = None,
+    block: int = EDGES,
 ) -> DataFrame:
     """(id, cluster): density clusters numbered by size, -1 for noise.
 
-    Clusters are the branches of the level hierarchy with the largest excess of mass; the branch
-    holding everything is not a cluster.
+    Clusters are the branches of the exact condensed tree with the largest excess of mass; the root,
+    which holds everything, is not a cluster.  Ties go by id.  ``graph`` may hand in neighbour lists of
+    at least ``min_samples`` entries.
     """
     pts = points.select(F.col(id_col).alias("id"), F.col(x).alias("x"))
-    k = max(neighbours, min_samples)
-    graph = knn(pts, k) if graph is None else graph
-    edges = cut(reachability_edges(graph, min_samples))
-    eps = level_distances(edges, levels)
-    if not eps:
-        return pts.select("id", F.lit(-1).alias("cluster"))
-    cuts = F.array(*[F.struct(F.lit(i).alias("l"), F.lit(e).alias("e")) for i, e in enumerate(eps)])
-    placed = edges.withColumn("_c", F.explode(F.filter(cuts, lambda c: c["e"] >= F.col("w"))))
-
-    def at(level, ident):
-        return F.struct(level.alias("l"), ident.alias("i"))
-
-    level = F.col("_c")["l"]
-    level_edges = placed.select(at(level, F.col("a")).alias("a"), at(level, F.col("b")).alias("b"))
-    nodes = level_edges.select(F.col("a").alias("node")).unionByName(
-        level_edges.select(F.col("b").alias("node"))
-    ).distinct()
-    comp = connected_components(level_edges, nodes)
-    member = cut(
-        comp.select(F.col("node.l").alias("l"), F.col("node.i").alias("id"), F.col("component.i").alias("c"))
-    )
-    big = member.groupBy("l", "c").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_cluster_size)
-    # Clusters are nested, so any member names the parent; c is the smallest id, itself a member.
-    parent = member.select((F.col("l") - 1).alias("l"), F.col("id").alias("c"), F.col("c").alias("p"))
-    tree = cut(big.join(parent, ["l", "c"], "left"))
-    lam = [1.0 / max(e, 1e-12) for e in eps] + [0.0]
-    span = {i: lam[i] - lam[i + 1] for i in range(len(eps))}
-    top = len(eps) - 1
-    roots = tree.where(F.col("l") == top).count()
-    done = None
-    below = None
-    for i in range(len(eps)):
-        here = tree.where(F.col("l") == i)
-        gain = F.col("n") * F.lit(span[i])
-        if below is None:
-            now = here.select("l", "c", "p", gain.alias("mass"), F.lit(0.0).alias("inner"), F.col("c").alias("branch"), F.lit(i).alias("start"))
-        else:
-            kids = below.groupBy(F.col("p").alias("c")).agg(
-                F.count(F.lit(1)).alias("k"), F.first("mass").alias("m"), F.first("inner").alias("in_"),
-                F.sum(F.greatest("mass", "inner")).alias("split"), F.first("branch").alias("br"), F.first("start").alias("st"),
-            )
-            one = F.col("k") == 1
-            now = here.join(kids, "c", "left").select(
-                "l", "c", "p", (gain + F.when(one, F.col("m")).otherwise(0.0)).alias("mass"),
-                F.when(one, F.col("in_")).when(F.col("k") > 1, F.col("split")).otherwise(0.0).alias("inner"),
-                F.when(one, F.col("br")).otherwise(F.col("c")).alias("branch"),
-                F.when(one, F.col("st")).otherwise(F.lit(i)).alias("start"),
-            )
-        now = cut(now)
-        below = now
-        done = now if done is None else done.unionByName(now)
-    # A branch ends where it splits from its parent: its highest level carries its full mass.
-    last = done.groupBy("branch", "start").agg(
-        F.max("l").alias("end"), F.max_by("mass", "l").alias("mass"), F.max_by("inner", "l").alias("inner")
-    )
-    chosen = last.where(F.col("mass") >= F.col("inner"))
-    if roots == 1:
-        chosen = chosen.where(F.col("end") != top)
-    nodes = done.join(chosen.select("branch", "start", "end"), ["branch", "start"]).select("l", "c", "branch", "start", "end")
-    # The outermost chosen branch over a point wins.
-    label = member.join(nodes, ["l", "c"]).groupBy("id").agg(
-        F.max_by(F.struct("branch", "start"), F.struct("end", "l")).alias("b")
-    )
-    label = cut(label)
-    sizes = label.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    named = number_by_size(sizes, "b")
-    return pts.join(label.join(named, "b").select("id", "cluster"), "id", "left").select(
-        "id", F.coalesce("cluster", F.lit(-1)).alias("cluster")
+    graph = knn(pts, max(neighbours, min_samples)) if graph is None else graph
+    # Whole numbers in the order of the ids stand for them.
+    index = cut(ordered_index(pts, ["id"], name="i"))
+    name = index.select("id", "i")
+    near = (
+        graph.join(name, "id").join(name.select(F.col("id").alias("neighbour"), F.col("i").alias("j")), "neighbour")
+        .select(F.col("i").alias("id"), F.col("j").alias("neighbour"), "distance", "rank")
     )
+    tree = spanning_tree(index.select(F.col("i").alias("id"), "x"), cut(near), min_samples)
+    members, branches = condensed_tree(tree, min_cluster_size, block)
+    label = cut(clusters(members, branches))
+    named = number_by_size(label.groupBy("r", "s").agg(F.count(F.lit(1)).alias("n")), ["r", "s"])
+    found = label.join(named, ["r", "s"]).select(F.col("id").alias("i"), "cluster")
+    return index.join(found, "i", "left").select("id", F.coalesce("cluster", F.lit(-1)).alias("cluster"))
 
 
-def number_by_size(sizes: DataFrame, key: str, name: str = "cluster") -> DataFrame:
+def number_by_size(sizes: DataFrame, keys: list[str], name: str = "cluster") -> DataFrame:
     """Number clusters 0.. by size, largest first, then by key; one row per cluster goes in."""
-    from tickflow.operators.ordered import ordered_index
-
-    return ordered_index(sizes.withColumn("_neg", -F.col("n")), ["_neg", key], name=name).select(
-        key, F.col(name).cast("int").alias(name)
+    return ordered_index(sizes.withColumn("_neg", -F.col("n")), ["_neg", *keys], name=name).select(
+        *keys, F.col(name).cast("int").alias(name)
     )
 
 

@@ -48,7 +48,6 @@ def discover(
     rank_window: int = RANK_WINDOW, rank_min: int = RANK_MIN, warmup: str = "60 minutes",
     target: int = TARGET_REGIMES, min_cluster_size: int = MIN_CLUSTER_SIZE,
     min_samples: int = MIN_SAMPLES, neighbours: int = N_NEIGHBORS, method: str = "pca",
-    levels: int = 16,
 ) -> tuple[DataFrame, DataFrame]:
     """(segments with regime and embedding, feature rows with regime)."""
     clean = cut(sanitize(features, FEATURE_COLS, warmup))
@@ -60,7 +59,7 @@ def discover(
     scaled = robust_scale(table, cols).select("segment_start", F.array(*cols).alias("x"))
     points = cut(embed_2d(scaled, "segment_start", "x", method, neighbours))
     clusters = density_cluster(
-        points, "id", "y", min_cluster_size, min_samples, levels, neighbours
+        points, "id", "y", min_cluster_size, min_samples, neighbours
     ).select(F.col("id").alias("segment_start"), F.col("cluster").alias("regime"))
     labelled = cut(
         table.join(points.withColumnRenamed("id", "segment_start"), "segment_start").join(clusters, "segment_start")
