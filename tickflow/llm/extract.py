@@ -64,12 +64,17 @@ class Block:
     """Characters inside links."""
 
 
+DEPTH = 128
+"""Open elements a page may nest; an element below these takes the place of the innermost one."""
+
+
 def blocks(page: str) -> list[Block]:
-    """The non-empty leaf blocks of a page in page order."""
+    """The non-empty leaf blocks of a page in page order, in time linear in the page's length."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     held: list[str] = []
     links, linked, hidden, at, n = 0, 0, 0, 0, len(page)
+    last = page.rfind(">")
 
     def flush() -> None:
         nonlocal held, linked
@@ -96,7 +101,8 @@ def blocks(page: str) -> list[Block]:
                 linked += len(text.strip())
         if lt == n:
             break
-        m = _TAG.match(page, lt) or _LOOSE.match(page, lt)
+        # Without a ">" to come only comments and declarations are left, which end with the page.
+        m = _TAG.match(page, lt) or _LOOSE.match(page, lt) if lt < last or page[lt + 1 : lt + 2] in "!?/" else None
         if m is None:
             if not hidden:
                 held.append("<")
@@ -134,6 +140,8 @@ def blocks(page: str) -> list[Block]:
         words = tuple(
             w for g in _NAMES.findall(m["rest"]) for x in g if x for w in _PIECE.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", x).lower())
         )
+        if len(stack) >= DEPTH:
+            pop(DEPTH - 1)
         stack.append((name, words))
         hidden += name in UNSEEN
         links += name == "a"
