@@ -334,7 +334,7 @@ def test_extraction_samples_distinct_pages(spark):
         extract.labelled = real
 
 
-@pytest.mark.parametrize("version", ["1", "2"])
+@pytest.mark.parametrize("version", ["1", "2", "both"])
 def test_archives(spark, version):
     import hashlib
 
@@ -401,3 +401,28 @@ def test_pipeline(spark):
     want = {r.doc_id: r.epochs for r in mixing.report(before, corpus_pipeline.MIX).collect()}
     assert {i: r.epochs for i, r in got.items()} == want
     assert all(not brute.personal(r.text) for r in got.values())
+
+
+def test_archives_use_many_tasks(spark, tmp_path, monkeypatch):
+    """The conversion of 50 small files is spread over tasks; versions and dates differ, digests and identifiers do not clash."""
+    pages = spark.range(200).selectExpr("id AS page_id", "'http://p' AS url", "repeat(cast(id AS string), 20) AS html").repartition(25)
+    arcs = frames.stage(warc.write_arc(pages, str(tmp_path / "arc"), "both"), "arc-files")
+    assert arcs.count() == 50
+    warcs = warc.convert(arcs, str(tmp_path / "warc"))
+    tasks = warcs.withColumn("task", F.spark_partition_id()).select("task").distinct().count()
+    assert tasks >= 8
+    fields = [f for path in arcs.toPandas()["path"] for _, f, _ in warc.arc_records(path)]
+    assert {len(f) for f in fields} == {5, 10}
+    assert len({f["date"] for f in fields}) > 190
+    read = warc.read_warc(warcs).collect()
+    assert len({r.record_id for r in read}) == len(read) == 200
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<div>x" * 170_000, "<span>" * 80_000 + "</div>" * 90_000, "<a '" * 250_000 + ">", "<!--" * 250_000, "<x" + "<p>y" * 200_000])
+def test_blocks_of_broken_pages_are_linear(page):
+    import time
+
+    began = time.time()
+    got = extract.blocks(page)
+    assert time.time() - began < 5
+    assert all(len(b.tags) <= extract.DEPTH for b in got)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow.llm.frames import remainder, stage
-from tickflow.llm.words import BY_ALNUM, U, Words, chunks, contains, cut, hashed
+from tickflow.llm.words import BY_ALNUM, U, Words, chunks, contains, cut, ranges
 
 SAMPLE = 20_000
 TERMS = 1 << 16
@@ -93,7 +93,7 @@ def _stems(words: Words) -> tuple[np.ndarray, np.ndarray]:
     which = np.flatnonzero(length >= STEM_WORD)
     first = words.start[which]
     stop = starts[np.minimum(number[first] - 1 + STEM, len(starts) - 1)]
-    return which, hashed(words.data, first, stop) ^ U(0xA5A5A5A5A5A5A5A5)
+    return which, ranges(words.data, first, stop) ^ U(0xA5A5A5A5A5A5A5A5)
 
 
 @dataclass

@@ -26,7 +26,7 @@ import re
 import time
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -120,7 +120,7 @@ class _Reader:
 class _Writer:
     """Files of a folder, each closed when its content reaches the bound."""
 
-    def __init__(self, folder: str, kind: str, head: bytes) -> None:
+    def __init__(self, folder: str, kind: str, head: Callable[[str], bytes]) -> None:
         self.folder, self.kind, self.head = folder, kind, head
         self.closed: list[str] = []
         self._out = None
@@ -135,8 +135,9 @@ class _Writer:
             system, path = _system(self.uri)
             system.create_dir(path.rpartition("/")[0], recursive=True)
             self._out = system.open_output_stream(path, compression=None)
-            self._out.write(_member(self.head))
-            self._size = len(self.head)
+            head = self.head(self.uri)
+            self._out.write(_member(head))
+            self._size = len(head)
         self._size += size
         return self.uri
 
@@ -163,21 +164,34 @@ def _arc_record(page_id: int | None, url: str | None, html: str | None, version:
     reply += f"X-Page-Id: {'' if page_id is None else page_id}\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + payload
     address = quote(url, safe="".join(map(chr, range(33, 127)))) if url else "-"
     more = " 200 - - 0 pages.arc" if version == "2" else ""
-    return f"{address} 0.0.0.0 20000101000000 text/html{more} {len(reply)}\n".encode() + reply + b"\n"
+    # A moment of the twenty years from 1996 on, told by the id.
+    date = time.strftime("%Y%m%d%H%M%S", time.gmtime(820454400 + _told(page_id) % (20 * 365 * 86400)))
+    return f"{address} 0.0.0.0 {date} text/html{more} {len(reply)}\n".encode() + reply + b"\n"
+
+
+def _told(page_id: int | None) -> int:
+    return zlib.crc32(str(page_id).encode())
 
 
 def write_arc(pages: DataFrame, folder: str, version: str = "1") -> DataFrame:
-    """Write ``pages`` (page_id, url, html) as ARC files; returns the files (path)."""
+    """Write ``pages`` (page_id, url, html) as ARC files; returns the files (path).
+
+    ``version`` is "1", "2", or "both": then a hash of the id deals pages to files of either.
+    """
+    versions = ("1", "2") if version == "both" else (version,)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Writer(folder, "arc", arc_head(version))
+        files = [_Writer(folder, "arc", lambda _, v=v: arc_head(v)) for v in versions]
         for batch in batches:
             for row in zip(*(batch.column(c) for c in ("page_id", "url", "html")), strict=True):
-                raw = _arc_record(*(x.as_py() for x in row), version)
-                out.place(len(raw))
-                out.write(raw)
-        out.close()
-        yield pa.RecordBatch.from_arrays([pa.array(out.closed, pa.string())], names=["path"])
+                values = [x.as_py() for x in row]
+                which = (_told(values[0]) >> 8) % len(versions)
+                raw = _arc_record(*values, versions[which])
+                files[which].place(len(raw))
+                files[which].write(raw)
+        for out in files:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([x for out in files for x in out.closed], pa.string())], names=["path"])
 
     return pages.select("page_id", "url", "html").mapInArrow(run, "path string")
 
@@ -268,10 +282,12 @@ def _warc(path: str, number: int, fields: dict, content: bytes, revisit: dict |
 
 def _convert(folder: str):
     info = b"software: archive converter\r\nformat: WARC File Format 1.1\r\n"
-    first = (
-        f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{uuid.uuid4()}>\r\nWARC-Date: 2000-01-01T00:00:00Z\r\n"
-        f"Content-Type: application/warc-fields\r\nContent-Length: {len(info)}\r\n\r\n"
-    ).encode() + info + b"\r\n\r\n"
+
+    def first(uri: str) -> bytes:
+        return (
+            f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: {record_id(uri, -1)}\r\nWARC-Date: 2000-01-01T00:00:00Z\r\n"
+            f"Content-Type: application/warc-fields\r\nContent-Length: {len(info)}\r\n\r\n"
+        ).encode() + info + b"\r\n\r\n"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,12 +304,17 @@ def _convert(folder: str):
     return run
 
 
+def _dealt(files: DataFrame, n: int) -> DataFrame:
+    """Rows of files dealt over twice as many partitions as there are files: a given number is not merged, however small the rows."""
+    return files.repartition(max(1, 2 * n), "path")
+
+
 def convert(arcs: DataFrame, folder: str) -> DataFrame:
     """Convert ARC files (path) to WARC files in ``folder``; returns the files written (path)."""
-    index = stage(arcs.mapInArrow(_index, "path string, number int, page_id long, length long, digest string"), "records")
+    index = stage(_dealt(arcs, arcs.count()).mapInArrow(_index, "path string, number int, page_id long, length long, digest string"), "records")
     # As many rows per file as it has records.
     met = revisits(index).groupBy("path").agg(F.collect_list(F.struct("number", "refers_to", "target")).alias("met"))
-    return arcs.join(met, "path", "left").repartition(F.col("path")).select("path", "met").mapInArrow(_convert(folder), "path string")
+    return _dealt(arcs.join(met, "path", "left").select("path", "met"), arcs.count()).mapInArrow(_convert(folder), "path string")
 
 
 def warc_records(uri: str) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -343,13 +364,12 @@ def read_warc(files: DataFrame) -> DataFrame:
     )
 
 
-def round_trip(spark: SparkSession, pages: DataFrame, version: str = "1") -> DataFrame:
+def round_trip(spark: SparkSession, pages: DataFrame, version: str = "both") -> DataFrame:
     """Pages to ARC files, converted to WARC files, read back."""
     folder = work_path(spark, "archives")
     arcs = stage(write_arc(pages, f"{folder}/arc", version), "arc-files")
-    arcs = arcs.repartition(F.col("path"))
     warcs = stage(convert(arcs, f"{folder}/warc"), "warc-files")
-    return read_warc(warcs.repartition(F.col("path")))
+    return read_warc(_dealt(warcs, warcs.count()))
 
 
 def report(spark: SparkSession, pages: DataFrame) -> DataFrame:

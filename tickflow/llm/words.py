@@ -102,7 +102,7 @@ class Words:
         return mix((self._sums[at + n] - self._sums[at]) * down[at] + np.asarray(n).astype(U))
 
 
-def hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the byte ranges."""
     up, down = powers(_BASE, len(data) + 1)
     sums = _prefix(_VALUES[data] * up[: len(data)])
@@ -120,7 +120,10 @@ def cut(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, lower: bool)
     before[full] = False
     after[offsets[1:][offsets[1:] > offsets[:-1]] - 1] = False
     start, end = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
-    return Words(data, start, end, np.searchsorted(start, offsets), hashed(data, start, end))
+    up, down = powers(_BASE, len(data) + 1)
+    sums = _prefix(_VALUES[data] * up[: len(data)])
+    hashed = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U))
+    return Words(data, start, end, np.searchsorted(start, offsets), hashed)
 
 
 def chunks(texts: pa.Array, inside: np.ndarray, lower: bool, size: int = CHUNK) -> Iterator[tuple[int, int, Words]]:
