@@ -209,3 +209,14 @@ def test_ward_takes_the_cheapest_merges():
         x = pick.normal(size=(n, 3))
         labels = ward_groups(x, target)
         assert {frozenset(i for i in range(n) if labels[i] == g) for g in set(labels)} == greedy(x, target)
+
+
+def test_silences_inside_a_second(spark):
+    from tickflow.operators import reports as rp
+
+    us = [0, 100_000, 700_000, 700_000, 999_999, 1_000_000, 3_500_000, 3_600_000, 60_000_000, 60_250_000]
+    rows = spark.createDataFrame([("a", u, i == 3) for i, u in enumerate(us)], "symbol string, us long, is_error boolean").select(
+        "symbol", F.timestamp_micros("us").alias("ts"), "is_error"
+    )
+    got = rp.second_gaps(rows, ["symbol"], 1_000_000).orderBy("bin").collect()
+    assert [(r.bin // 1_000_000, r.n, r.errors, r.max_gap) for r in got] == [(0, 5, 1, 0.6), (1, 1, 0, 0.000001), (3, 2, 0, 2.5), (60, 2, 0, 56.4)]

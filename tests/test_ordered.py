@@ -172,3 +172,27 @@ def test_taker_imbalance_hand(spark):
         "seq long, symbol string, trdMatchID string, side string, tickDirection string, foreignNotional double",
     ).withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     assert taker_imbalance(df).first()["f4"] == pytest.approx(-math.log(351))
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_ranks_count_windows(strict):
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 40, 700).astype(float)
+    x[rng.random(700) < 0.1] = np.nan
+    for first, window, start in ((0, 1, 0), (0, 50, 0), (60, 50, 1000), (0, 900, 0)):
+        got = o._ranks(x, first, window, 3, strict, start)
+        for i in range(first, len(x)):
+            seen = min(start + i + 1, window)
+            part = x[max(0, i - window + 1): i + 1]
+            want = np.nan if seen < 3 else ((part < x[i]).sum() if strict else (part <= x[i]).sum()) / seen
+            assert np.array_equal(got[i - first], want, equal_nan=True)
+    assert len(o._ranks(np.zeros(0), 0, 5, 1, True, 0)) == 0
+
+
+def test_wide_ranks_are_fast():
+    import time
+
+    x = np.random.default_rng(12).random(300_000)
+    began = time.time()
+    o._ranks(x, 0, 3600, 100, True, 0)
+    assert time.time() - began < 3

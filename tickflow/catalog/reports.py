@@ -180,7 +180,7 @@ def feed_rates(spark, sf):
     f"""SELECT feed, symbol, date_trunc('hour',ts) AS ts, count(*) AS n, count(*) FILTER (bad) AS errors, {r6('max(gap)')} AS max_gap,
           CASE WHEN count(*) FILTER (bad)/count(*)>0.05 OR max(gap)>7200 THEN 'poor' WHEN count(*) FILTER (bad)/count(*)>0.01 THEN 'degraded' ELSE 'good' END AS tier,
           max(gap)>14400 AS silent
-        FROM (SELECT *, coalesce(CASE WHEN date_trunc('second',p)<>date_trunc('second',ts) THEN CAST(epoch_us(ts)-epoch_us(p) AS DOUBLE)/1e6 END,0) AS gap
+        FROM (SELECT *, coalesce(CAST(epoch_us(ts)-epoch_us(p) AS DOUBLE)/1e6,0) AS gap
               FROM (SELECT *, lag(ts) OVER (PARTITION BY feed,symbol ORDER BY ts) AS p FROM ar)) GROUP BY ALL""", _ALL))
 def feed_quality(spark, sf):
     """Hourly intervals; poor after two silent hours, silent after four."""
@@ -208,7 +208,7 @@ _RULES = [
         for src, rule, expr, cmp in _RULES
     ),
     book_ctes() + """,
-gp AS (SELECT symbol, ts, coalesce(CASE WHEN date_trunc('second',p)<>date_trunc('second',ts) THEN CAST(epoch_us(ts)-epoch_us(p) AS DOUBLE)/1e6 END,0) AS gap
+gp AS (SELECT symbol, ts, coalesce(CAST(epoch_us(ts)-epoch_us(p) AS DOUBLE)/1e6,0) AS gap
        FROM (SELECT *, lag(ts) OVER (PARTITION BY symbol ORDER BY ts) AS p FROM instruments))"""))
 def dq_violations(spark, sf):
     """All quality rules per symbol and hour; the receipt time is made from the row number."""

@@ -244,22 +244,43 @@ def ordered_index(
     )
 
 
+RANK_BLOCK = 1 << 16
+"""Rows ranked at once, at least."""
+
+
+def _count_below(rank: np.ndarray, low: np.ndarray, high: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """How many of rank[low:high] are below ``bound``, for all queries at once.
+
+    A wavelet matrix: the ranks are parted bit by bit from the top, and a query follows its bound's bits,
+    so each costs the number of bits whatever the width of its range.
+    """
+    found = np.zeros(len(low), np.int64)
+    low, high = low.astype(np.int64), high.astype(np.int64)
+    for bit in reversed(range(max(1, int(max(rank.max(initial=0), bound.max(initial=0))).bit_length()))):
+        ones = (rank >> bit) & 1
+        zeros = np.zeros(len(rank) + 1, np.int64)
+        np.cumsum(1 - ones, out=zeros[1:])
+        up = (bound >> bit) & 1 == 1
+        zl, zh = zeros[low], zeros[high]
+        found += np.where(up, zh - zl, 0)
+        low = np.where(up, zeros[-1] + low - zl, zl)
+        high = np.where(up, zeros[-1] + high - zh, zh)
+        rank = np.concatenate([rank[ones == 0], rank[ones == 1]])
+    return found
+
+
 def _ranks(values: np.ndarray, first: int, window: int, least: int, strict: bool, start: int):
     """Rolling rank of values[first:], each against its window; ``start`` is values[0]'s index."""
     n = len(values)
-    out = np.full(n - first, np.nan)
-    step = max(1, 4_000_000 // window)
-    for lo in range(first, n, step):
-        hi = min(n, lo + step)
-        head = max(0, lo - window + 1)
-        block = np.full(hi - lo + window - 1, np.nan)
-        block[window - 1 - (lo - head):] = values[head:hi]
-        view = np.lib.stride_tricks.sliding_window_view(block, window)
-        x = values[lo:hi, None]
-        below = (view < x if strict else view <= x).sum(axis=1)
-        seen = np.minimum(start + np.arange(lo, hi) + 1, window)
-        out[lo - first: hi - first] = np.where(seen >= least, below / seen, np.nan)
-    return out
+    known = ~np.isnan(values)
+    ordered = np.unique(values[known])
+    # A missing value is above all others, and nothing is below it.
+    rank = np.where(known, np.searchsorted(ordered, values), len(ordered))
+    at = np.arange(first, n)
+    bound = np.where(known[first:], rank[first:] + (not strict), 0)
+    below = _count_below(rank, np.maximum(0, at - window + 1), at + 1, bound)
+    seen = np.minimum(start + at + 1, window)
+    return np.where(seen >= least, below / seen, np.nan)
 
 
 def rolling_rank(
@@ -275,7 +296,7 @@ def rolling_rank(
     than ``block + window`` rows whatever the size of a key.
     """
     least = window if min_periods is None else min_periods
-    size = int(block or 4 * window)
+    size = int(block or max(4 * window, RANK_BLOCK))
     pos = df if index else ordered_index(df, order, keys, name="_idx")
     idx = index or "_idx"
     placed = pos.withColumn(

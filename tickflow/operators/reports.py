@@ -261,16 +261,21 @@ def feed_rates(rows: DataFrame, keys: Sequence[str] = ("feed",)) -> DataFrame:
 def second_gaps(rows: DataFrame, keys: Sequence[str], step: int) -> DataFrame:
     """(keys, bin, n, errors, max_gap): longest silence ending in each interval, in seconds.
 
-    Rows are first folded to one per second, so ordering works on at most 86,400 rows per key and
-    day.  Silences inside a second count as zero.
+    Rows are first folded to one per second with the longest silence inside it (of at most a million
+    different times), so ordering works on at most 86,400 rows per key and day.  Intervals begin at whole
+    seconds.
     """
     us = to_us("ts")
     per = rows.groupBy(*keys, floor_us(us, 1_000_000).alias("_sec")).agg(
         N(F.lit(1)).alias("n"), N(F.when(F.col("is_error"), 1)).alias("errors"),
-        F.min(us).alias("_lo"), F.max(us).alias("_hi"),
-    ).withColumn("_day", floor_us("_sec", 86_400_000_000))
+        F.sort_array(F.collect_set(us)).alias("_at"),
+    ).select(
+        *keys, "_sec", "n", "errors", floor_us("_sec", 86_400_000_000).alias("_day"),
+        F.col("_at")[0].alias("_lo"), F.element_at("_at", -1).alias("_hi"),
+        F.array_max(F.transform("_at", lambda t, i: F.when(i > 0, t - F.get("_at", i - 1)))).alias("_inner"),
+    )
     seen = with_previous_valid(per, "_hi", list(keys), ["_sec"], "_day", name="_before")
-    gap = F.coalesce((F.col("_lo") - F.col("_before")) / 1e6, F.lit(0.0))
+    gap = F.greatest(F.coalesce(F.col("_lo") - F.col("_before"), F.lit(0)), F.coalesce("_inner", F.lit(0))) / 1e6
     return seen.groupBy(*keys, floor_us("_sec", step).alias("bin")).agg(
         F.sum("n").alias("n"), F.sum("errors").alias("errors"), F.max(gap).alias("max_gap")
     )
