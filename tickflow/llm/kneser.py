@@ -36,6 +36,8 @@ from tickflow.llm.words import BY_SPACE, U, Words, chunks, contains, mix
 from tickflow.session import work_path
 
 ORDER = 2
+SHARD_BYTES = 16 << 20
+"""Bytes of text for each shard of the vocabulary."""
 MOD, HELD_OUT = 7, 2
 END = U(0x1F83D9ABFB41BD6B)
 """The hash that stands for the end token."""
@@ -405,7 +407,9 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
         raise ValueError("the order is 2 or more")
     spark: SparkSession = texts.sparkSession
     folder = work_path(spark, "model")
-    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # As many shards as the shuffle has partitions, and more where texts are many: a shard's words sit in one worker.
+    held = texts.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // SHARD_BYTES))
     source = texts.select(F.col("text").cast("string").alias("text"))
     tokens = source.mapInArrow(_count_tokens(shards), _PAYLOAD).groupBy("shard").applyInArrow(_merge_tokens(folder), _TOKENS)
     rows = {r["shard"]: r for r in stage(tokens, "tokens").collect()}  # one small row per shard
