@@ -220,3 +220,21 @@ def test_silences_inside_a_second(spark):
     )
     got = rp.second_gaps(rows, ["symbol"], 1_000_000).orderBy("bin").collect()
     assert [(r.bin // 1_000_000, r.n, r.errors, r.max_gap) for r in got] == [(0, 5, 1, 0.6), (1, 1, 0, 0.000001), (3, 2, 0, 2.5), (60, 2, 0, 56.4)]
+
+
+def test_first_arrivals_over_batches(spark, tmp_path):
+    """Copies within a batch, of earlier batches, beyond the horizon, without an id, and a batch that is repeated."""
+    from tickflow.streaming.feeds import first_arrivals
+
+    def batch(*rows):
+        return spark.createDataFrame(rows, "id string, seq long, us long").withColumn("ts", F.timestamp_micros("us"))
+
+    def run(df, number):
+        return sorted((r.id or "", r.seq) for r in first_arrivals(df, ["id"], str(tmp_path / "seen"), number, 100).collect())
+
+    assert run(batch(("a", 2, 10), ("a", 1, 12), ("b", 3, 20), (None, 4, 20), ("", 5, 20), ("", 5, 20)), 0) == [("", 4), ("", 5), ("", 5), ("a", 1), ("b", 3)]
+    again = batch(("a", 6, 100), ("c", 7, 110))
+    assert run(again, 1) == [("c", 7)]
+    assert run(again, 1) == [("c", 7)]
+    assert run(batch(("a", 8, 500), ("c", 9, 500)), 2) == [("a", 8), ("c", 9)]
+    assert run(batch(("a", 10, 501)), 3) == []

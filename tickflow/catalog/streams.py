@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickflow.catalog.common import book_ctes, feed, over_feeds, query, r6, rounded
@@ -14,7 +17,7 @@ FOREVER = "60 days"
 
 
 def _staged(df, path, by="seq", parts=3):
-    """Write whole rows in order of ``by`` as ``parts`` consecutive appends."""
+    """Write whole rows in order of ``by`` as ``parts`` consecutive appends, each of them one file for the stream's next batch."""
     top = (df.agg(F.max(by)).first()[0] or 0) + 1
     for i in range(parts):
         low, high = top * i // parts, top * (i + 1) // parts
@@ -36,14 +39,33 @@ def stream_ingest(spark, sf):
     raw = raw_messages(spark, sf).select(F.col("offset").cast("long").alias("offset"), "value", "received")
     _staged(raw, src, "offset")
     st.ingest(st.read_stream(spark, src, st.MESSAGES, 1), root, ck).awaitTermination()
+    return _read_back(spark, root)
+
+
+def _read_back(spark, root):
     parts = [
         spark.read.parquet(f"{root}/{n}").select(F.lit(n).alias("feed"), "timestamp", "seq", "symbol")
         for n in st.PROJECTIONS
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+# The first row of each key; rows without an id all pass.
+@query("stream_ingest_dedup", over_feeds(
+    """SELECT feed, CAST(t AS DOUBLE) AS timestamp, seq, symbol FROM keyed WHERE ident IS NULL
+       UNION ALL SELECT feed, CAST(t AS DOUBLE), seq, symbol FROM keyed WHERE ident IS NOT NULL
+       QUALIFY row_number() OVER (PARTITION BY feed, ident ORDER BY seq)=1""", MSG + """,
+keyed AS (SELECT *, CASE feed WHEN 'trades' THEN CASE WHEN event_id%59<>0 THEN concat('T',event_id-event_id%2) END
+    WHEN 'liquidations' THEN concat('L',event_id-event_id%3) WHEN 'orderbook' THEN concat(u,'/',t) ELSE concat(symbol,'/',t) END AS ident
+  FROM m WHERE NOT (feed='orderbook' AND u=0) AND px IS NOT NULL
+  UNION ALL SELECT *, NULL FROM (SELECT * REPLACE (seq+1000000000000000 AS seq) FROM m) WHERE feed='trades' AND event_id%59=0 AND px IS NOT NULL)"""))
+def stream_ingest_dedup(spark, sf):
+    """All messages twice through the ingest stream, the copies in later batches: a key is stored once."""
+    src, root, ck = (work_path(spark, n) for n in ("messages", "ingest", "ck"))
+    raw = raw_messages(spark, sf).select(F.col("offset").cast("long").alias("offset"), "value", "received")
+    _staged(raw.unionByName(raw.withColumn("offset", F.col("offset") + 1_000_000_000)), src, "offset", 2)
+    st.ingest(st.read_stream(spark, src, st.MESSAGES, 1), root, ck, dedup_us=60 * 86_400_000_000).awaitTermination()
+    return _read_back(spark, root)
 
 
 @query("stream_dedup", over_feeds('SELECT DISTINCT trdMatchID AS "trdMatchID" FROM trades'))

@@ -8,11 +8,13 @@ symbol is never one task's state.
 
 from __future__ import annotations
 
+import functools
 import json
 import logging
 import time
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,7 @@ from tickflow.operators import book as bk
 from tickflow.operators.dedup import throttle
 from tickflow.operators.typing import epoch_to_ts
 from tickflow.plans.features import signed_flow
+from tickflow.schemas import DEDUP_KEYS
 from tickflow.session import cut
 from tickflow.sources import messages as ms
 from tickflow.sources.parquet import write_batch
@@ -56,10 +59,14 @@ def _start(stream: DataFrame, fn: Hook, checkpoint: str, mode: str = "append", e
 def ingest(
     messages: DataFrame, root: str, checkpoint: str, feeds: Sequence[str] | None = None,
     symbols: Sequence[str] | None = None, hooks: Mapping[str, Sequence[Hook]] | None = None,
-    every: str | None = None,
+    every: str | None = None, dedup_us: int | None = None,
 ) -> StreamingQuery:
     """Raw messages to one partitioned Parquet folder per feed, bad rows to ``quarantine``.
 
+    With ``dedup_us`` rows that repeat an earlier row's keys (``DEDUP_KEYS``) are not stored: of one
+    batch the first passes, and keys of earlier batches are remembered for so many microseconds of
+    event time (``seen`` beside the feeds), also over restarts.
+
     Book rows carry the time of receipt, and the other feeds' times are held within 24 hours of
     it, where the messages tell it (``received``).  Rows whose numbers do not parse are not stored.
 
@@ -78,6 +85,8 @@ def ingest(
             for feed in wanted:
                 time = told if told is None or feed == "orderbook" else epoch_to_ts(told)
                 typed = PROJECTIONS[feed](rows, time).withColumn("ts", epoch_to_ts("timestamp"))
+                if dedup_us is not None:
+                    typed = first_arrivals(typed, DEDUP_KEYS[feed], f"{root}/seen/{feed}", number, dedup_us)
                 write_batch(typed, f"{root}/{feed}", number)
                 for hook in hooks.get(feed, ()):
                     run_hook(hook, typed, number)
@@ -89,6 +98,39 @@ def ingest(
     return _start(messages, flush, checkpoint, every=every)
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None before anything was written there."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def first_arrivals(batch: DataFrame, keys: Sequence[str], seen: str, number: int, horizon_us: int) -> DataFrame:
+    """The rows of a batch whose keys no row of the last ``horizon_us`` had; of equal keys the first by ``seq``.
+
+    Rows with a null or empty key are no copies of each other.  Keys that pass are written to ``seen``, a
+    folder for each batch: a batch that is repeated after a failure replaces its own and does not meet
+    itself.  Only keys within the horizon are read again, so what is joined does not grow with the history.
+    """
+    spark = batch.sparkSession
+    known = functools.reduce(lambda a, b: a & b, [F.coalesce(F.col(k).cast("string") != "", F.lit(False)) for k in keys])
+    rest = [c for c in batch.columns if c not in keys]
+    first = (
+        batch.where(known).groupBy(*keys).agg(F.min_by(F.struct(*rest), "seq").alias("_r"))
+        .select(*keys, "_r.*").select(*batch.columns)
+    )
+    before = _stored(spark, seen)
+    if before is not None:
+        low = batch.agg(F.min(to_us("ts"))).first()[0]
+        recent = before.where((F.col("batch") < number) & (F.col("us") >= F.lit((low or 0) - horizon_us)))
+        first = first.join(recent.select(*keys).distinct(), list(keys), "left_anti")
+    # Computed once: what is stored and what is remembered are the same rows.
+    first = cut(first)
+    _own_folder(first.select(*keys, to_us("ts").alias("us")), number, seen)
+    return first.unionByName(batch.where(~known))
+
+
 def run_hook(hook: Hook, batch: DataFrame, number: int) -> bool:
     """Call a user hook; a failure is logged, not raised."""
     try:
