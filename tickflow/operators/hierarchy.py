@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def _both_least(edges: DataFrame) -> DataFrame:
 
 def _settled(df: DataFrame, few: bool) -> DataFrame:
     """``df`` computed once: through the driver where it has at most ``REST`` rows, else written."""
-    return F.broadcast(df.sparkSession.createDataFrame(df.collect(), df.schema)) if few else cut(df)
+    return F.broadcast(df.sparkSession.createDataFrame(df.toArrow(), df.schema)) if few else cut(df)
 
 
 def _first_by_component(c, w, a, b, other) -> pd.DataFrame:
@@ -193,8 +194,9 @@ def _merged(best: DataFrame, few: bool) -> tuple[DataFrame, int | None]:
         a, b = find(r["c"]), find(r["other"])
         parent[max(a, b)] = min(a, b)
         fewer += a != b
-    rows = [(c, find(c)) for c in list(parent)]
-    return F.broadcast(best.sparkSession.createDataFrame(rows, "c long, root long")), fewer
+    nodes = list(parent)
+    table = pa.table({"c": pa.array(nodes, pa.int64()), "root": pa.array([find(c) for c in nodes], pa.int64())})
+    return F.broadcast(best.sparkSession.createDataFrame(table)), fewer
 
 
 def spanning_tree(points: DataFrame, near: DataFrame, min_samples: int, block: int = BLOCK) -> DataFrame:
@@ -233,7 +235,8 @@ def spanning_tree(points: DataFrame, near: DataFrame, min_samples: int, block: i
         found = _settled(space.search(labels, best, block, few), few)
         if not found.isEmpty():
             edges = edges.unionByName(found)
-            best = _settled(_least(edges), few)
+            again = best.unionByName(_least(found)).groupBy("c").agg(F.min(F.struct("w", "a", "b", "other")).alias("e"))
+            best = _settled(again.select("c", "e.*"), few)
         tree.append(best.select("a", "b", "w").distinct())
         joined, fewer = _merged(best, few)
         labels = labels.join(joined, "c", "left").select("id", F.coalesce("root", "c").alias("c"))
