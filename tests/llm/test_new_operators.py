@@ -317,3 +317,36 @@ def test_toxicity_of_messy_rows(spark, docs):
 
 def test_sizes_of_digests():
     assert trie.NONE_SHA == hashlib.sha256(b"").hexdigest()
+
+
+# The pipeline
+
+
+def test_pipeline_stages_on_messy_rows(spark, docs):
+    """Each stage on what the one before kept, against plain code; then every stage on a table without rows."""
+    import corpus_pipeline
+    from tickflow.llm.frames import stage, table
+
+    sf = "/root/testdata/sf0.001"
+    items = [(r.item_id, r.text) for r in table(spark, sf, "benchmark").collect()]
+    given = docs
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        out = stage(step(spark, given, sf), name)
+        assert out.columns == given.columns
+        before, after = ([(r.doc_id, r.text) for r in x.select("doc_id", "text").collect()] for x in (given, out))
+        assert not Counter(d for d, _ in after) - Counter(d for d, _ in before)
+        if name == "language":
+            assert after
+            assert all(any(c.isalpha() for c in t) for _, t in after)
+        if name == "near_duplicates":
+            keep = {r[0] for r in brute.near_duplicates(before, 5) if r[3]}
+            assert {d for d, _ in after if d is not None} == {d for d in keep if d is not None}
+        if name == "decontamination":
+            clean = Counter(r[0] for r in brute.decontamination(before, items) if not r[5])
+            assert Counter(d for d, _ in after) == clean
+        if name == "personal_data":
+            assert Counter(d for d, _ in after) == Counter(d for d, _ in before)
+        given = out
+    assert "epochs" in corpus_pipeline.STAGES[-1][1](spark, given, sf).columns
+    for _, step in corpus_pipeline.STAGES:
+        assert step(spark, docs.limit(0), sf).count() == 0
