@@ -244,7 +244,7 @@ def ordered_index(
     )
 
 
-RANK_BLOCK = 1 << 16
+RANK_BLOCK = 1 << 13
 """Rows ranked at once, at least."""
 
 
