@@ -7,20 +7,25 @@ The state of the book at any time is an aggregation: a level lives when its last
 newer than its last removal and not older than the last snapshot.  That gives the book at a time
 (``book_state``) and the live levels at the start of each chunk of the tick order
 (``checkpoints``) without replaying anything.  Only the per-tick top of book needs a replay, and
-each chunk replays on its own from its checkpoint, so one symbol spreads over many tasks.
+each chunk replays on its own from its checkpoint (``operators.replay``, array-wise), so one symbol
+spreads over many tasks.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type, to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 from tickflow.functions.clock import from_us, to_us
 from tickflow.functions.guards import clip
+from tickflow.operators import replay
 from tickflow.operators.ordered import carry_before, many_pieces, range_chunks, with_previous_valid
 from tickflow.schemas import DEPTH, RETURN_CLIP
 from tickflow.session import cut
@@ -233,83 +238,8 @@ def checkpoints(
     )
 
 
-class _Book:
-    """Levels of one key during a replay: level -> (price, size) and sorted prices per side."""
-
-    def __init__(self):
-        self.clear()
-
-    def clear(self):
-        self.levels: dict = {}
-        self.prices: dict = {"Buy": [], "Sell": []}
-        self.sizes: dict = {"Buy": {}, "Sell": {}}
-
-    def put(self, side, ident, price, size):
-        self.drop(side, ident)
-        self.levels[side, ident] = (price, size)
-        at = self.sizes[side]
-        if price in at:
-            at[price][ident] = size
-        else:
-            insort(self.prices[side], price)
-            at[price] = {ident: size}
-
-    def drop(self, side, ident):
-        old = self.levels.pop((side, ident), None)
-        if old is None:
-            return False
-        at = self.sizes[side]
-        del at[old[0]][ident]
-        if not at[old[0]]:
-            del at[old[0]]
-            prices = self.prices[side]
-            del prices[bisect_left(prices, old[0])]
-        return True
-
-    def resize(self, side, ident, size):
-        old = self.levels.get((side, ident))
-        if old is not None:
-            self.levels[side, ident] = (old[0], size)
-            self.sizes[side][old[0]][ident] = size
-
-    def apply(self, action, side, ident, price, size):
-        """One delta.  Returns True when it removed a level."""
-        if side not in self.prices:
-            return False
-        if action in ("insert", "partial"):
-            if price is not None and size is not None and price > 0 and size > 0:
-                self.put(side, ident, price, size)
-        elif action == "update":
-            if size is not None:
-                if size > 0:
-                    self.resize(side, ident, size)
-                else:
-                    return self.drop(side, ident)
-        elif action == "delete":
-            return self.drop(side, ident)
-        return False
-
-    def mid(self):
-        bids, asks = self.prices["Buy"], self.prices["Sell"]
-        return (bids[-1] + asks[0]) / 2 if bids and asks else None
-
-    def top(self, side, depth):
-        prices = self.prices[side]
-        best = prices[: -depth - 1: -1] if side == "Buy" else prices[:depth]
-        at = self.sizes[side]
-        return list(best), [float(sum(at[p].values())) for p in best]
-
-
-def _rows(pdf: pd.DataFrame) -> Iterator[tuple]:
-    """(us, seq, action, side, id, price, size) in order, None for missing numbers."""
-    pdf = pdf.sort_values(ORDER, kind="stable")
-    cols = [pdf[c].tolist() for c in ("us", "seq", "action", "side", "id")]
-    nums = [[None if v != v else v for v in pdf[c].astype("float64").tolist()] for c in ("price", "size")]
-    return zip(*cols, *nums)
-
-
 NONE = -(1 << 63)
-"""Stands for a missing integer between Spark and pandas: a column with nulls would turn to floats
+"""Stands for a missing integer between Spark and numpy: a column with nulls would turn to floats
 there, which do not hold every integer."""
 
 
@@ -317,8 +247,46 @@ def _filled(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(NONE)).alias(name.lstrip("_"))
 
 
-def _replay(chunked: DataFrame, keys, snapshot, fn, schema: str) -> DataFrame:
-    """cogroup(checkpoint, chunk) by chunk and run ``fn(book, rows, ...)`` per key in it."""
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    return column.to_numpy()
+
+
+def _equals(column: pa.ChunkedArray, value: str) -> np.ndarray:
+    return pc.fill_null(pc.equal(column, value), False).to_numpy()
+
+
+def _sides(column: pa.ChunkedArray) -> np.ndarray:
+    return pc.fill_null(pc.index_in(column, pa.array(replay.SIDES)), -1).to_numpy().astype(np.int64)
+
+
+def _deltas(rows: pa.Table) -> replay.Deltas:
+    action = rows["action"]
+    return replay.Deltas(
+        *(_numbers(rows[c]) for c in ORDER), _sides(rows["side"]), *(_numbers(rows[c]) for c in ("id", "price", "size")),
+        *(_equals(action, name) for name in ("insert", "update", "delete", "partial")),
+    )
+
+
+def _by_key(table: pa.Table, keys: Sequence[str]) -> dict[tuple, pa.Table]:
+    """Rows of each key in a table sorted by the keys; rows with a null key are left out."""
+    if not table.num_rows:
+        return {}
+    edge = np.zeros(table.num_rows, bool)
+    edge[0] = True
+    for k in keys:
+        codes = pc.fill_null(table[k].combine_chunks().dictionary_encode().indices, -1).to_numpy()
+        edge[1:] |= codes[1:] != codes[:-1]
+    at = np.flatnonzero(edge)
+    out = {}
+    for lo, hi in zip(at, np.r_[at[1:], table.num_rows]):
+        key = tuple(table[k][int(lo)].as_py() for k in keys)
+        if None not in key:
+            out[key] = table.slice(int(lo), int(hi - lo))
+    return out
+
+
+def _replay(chunked: DataFrame, keys, snapshot, fn, fields: dict[str, pa.DataType]) -> DataFrame:
+    """cogroup(checkpoint, chunk) by chunk and run ``fn(rows, lives, clears, next time)`` per key in it."""
     epochs = _chunk_epochs(chunked, keys, snapshot)
     # One marker row per (keys, chunk) tells the snapshot in force and the next chunk's first time;
     # it travels with the checkpoint, so the events themselves are shuffled only once.
@@ -332,42 +300,55 @@ def _replay(chunked: DataFrame, keys, snapshot, fn, schema: str) -> DataFrame:
         F.lit(False).alias("mark"), F.lit(NONE).alias("snap_us"), F.lit(NONE).alias("next_us"),
     )
     start = levels.unionByName(marks)
-    events = chunked.withColumn("id", _filled("id"))
-    names = [part.strip().split()[0] for part in schema.split(";")]
-    fields = {f.name: f.dataType.simpleString() for f in chunked.schema.fields}
+    events = chunked.withColumns(
+        {"id": _filled("id"), "price": F.col("price").cast("double"), "size": F.col("size").cast("double")}
+    )
     ids = [*keys, "chunk"]
-    ddl = ", ".join([f"`{k}` {fields[k]}" for k in ids] + [p.strip() for p in schema.split(";")])
+    given = {f.name: f.dataType for f in chunked.schema.fields}
+    types = {k: to_arrow_type(given[k]) for k in ids}
+    schema = pa.schema([*types.items(), *fields.items()])
+    ddl = StructType([StructField(k, given[k]) for k in ids] + [StructField(k, from_arrow_type(t)) for k, t in fields.items()])
 
-    def run(levels: pd.DataFrame, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(levels: pa.Table, rows: pa.Table) -> pa.Table:
         # A chunk is a contiguous piece of the (keys, time) order: usually one key, or the end of
         # one and the start of the next; with small keys, many whole ones.
-        live = dict(iter(levels.groupby(list(keys))))
-        parts = []
-        for key, rows in pdf.groupby(list(keys), sort=False):
-            book = _Book()
-            start = live[key]
-            mark = start["mark"].to_numpy(bool)
-            levels_now, marker = start[~mark], start[mark].iloc[0]
-            for side, ident, price, size in zip(
-                levels_now["side"], levels_now["id"], levels_now["price"], levels_now["size"]
-            ):
-                book.put(side, int(ident), float(price), float(size))
-            known, following = int(marker["snap_us"]), int(marker["next_us"])
-            out = fn(
-                book, _rows(rows), None if known == NONE else known, None if following == NONE else following
-            )
-            for i, k in enumerate(ids):
-                out.insert(i, k, rows[k].iloc[0])
-            parts.append(out)
-        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=[*ids, *names])
+        live = _by_key(levels.sort_by([(k, "ascending") for k in keys]), keys)
+        ordered = rows.sort_by([(k, "ascending") for k in [*keys, *ORDER]])
+        parts = [schema.empty_table()]
+        for key, piece in _by_key(ordered, keys).items():
+            now = live[key]
+            mark = _equals_true(now["mark"])
+            marker = now.filter(pa.array(mark)).slice(0, 1)
+            now = now.filter(pa.array(~mark))
+            known, following = (int(_numbers(marker[c])[0]) for c in ("snap_us", "next_us"))
+            d = _deltas(piece)
+            before = replay.Levels(_sides(now["side"]), *(_numbers(now[c]) for c in ("id", "price", "size")))
+            clears = replay.clearings(d, snapshot, None if known == NONE else known)
+            out = fn(d, replay.lives(d, before, clears), None if following == NONE else following)
+            size = len(next(iter(out.values())))
+            same = [pa.array([piece[k][0].as_py()] * size, types[k]) for k in ids]
+            parts.append(pa.Table.from_arrays([*same, *out.values()], schema=schema))
+        return pa.concat_tables(parts)
 
     # Both sides stem from the same chunks; fresh column names keep them apart.
     start, events = start.toDF(*start.columns), events.toDF(*events.columns)
-    return start.groupBy("chunk").cogroup(events.groupBy("chunk")).applyInPandas(run, ddl)
+    return start.groupBy("chunk").cogroup(events.groupBy("chunk")).applyInArrow(run, ddl)
+
+
+def _equals_true(column: pa.ChunkedArray) -> np.ndarray:
+    return pc.fill_null(column, False).to_numpy()
+
 
+def _nullable(values: np.ndarray) -> pa.Array:
+    return pa.array(values, pa.float64(), from_pandas=True)
 
-def _clears(snapshot, action, us, last_snap):
-    return action == "partial" and (snapshot == "row" or us != last_snap)
+
+def _lists(lengths: np.ndarray, given: np.ndarray, values: np.ndarray) -> pa.Array:
+    """Lists of ``lengths`` at the places ``given``, null elsewhere."""
+    size = np.zeros(len(given), np.int64)
+    size[given] = lengths
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.float64()), mask=pa.array(~given))
 
 
 def book_ticks(
@@ -381,62 +362,43 @@ def book_ticks(
     that an as-of-bin-start grid reads; other rows have null levels.  ``prev_row_mid`` is the
     valid mid before the last row of the time, for per-row returns.
     """
-    want_depth = depth > 0
-
-    def fn(book: _Book, rows, last_snap, following):
-        us_out, mids, prevs, sides = [], [], [], [[], [], [], []]
-        prev_mid = before = None
-        current = None
-
-        def flush(next_us):
-            us_out.append(current)
-            mids.append(book.mid())
-            prevs.append(before)
-            step = depth_every_us
-            full = want_depth and (
-                step is None or next_us is None or -(-current // step) != -(-next_us // step)
-            )
-            if full:
-                tops = [*book.top("Buy", depth), *book.top("Sell", depth)]
-                for dst, v in zip(sides, tops):
-                    dst.append(v)
-            else:
-                for dst in sides:
-                    dst.append(None)
-
-        for us, _seq, action, side, ident, price, size in rows:
-            mid = book.mid()
-            if current is not None and us != current:
-                flush(us)
-            if mid is not None:
-                prev_mid = mid
-            if _clears(snapshot, action, us, last_snap):
-                book.clear()
-                last_snap = us
-            current = us
-            before = prev_mid
-            book.apply(action, side, ident, price, size)
+
+    def fn(d: replay.Deltas, lives: replay.Lives, following):
+        n = len(d.us)
+        last = np.flatnonzero(np.r_[d.us[1:] != d.us[:-1], True])
         # A time cut by the chunk edge is reported by the chunk that holds its last row.
-        if current != following:
-            flush(None)
-        # The last valid mid of the chunk's rows, for a time that goes on in a later chunk.
-        us_out.append(current)
-        mids.append(prev_mid if book.mid() is None else book.mid())
-        prevs.append(None)
-        for dst in sides:
-            dst.append(None)
-        # Types are given, not inferred: a chunk in the middle of one time has no row to infer from.
-        listed = {c: pd.Series(v, dtype=object) for c, v in zip(("bid_px", "bid_sz", "ask_px", "ask_sz"), sides)}
-        return pd.DataFrame(
-            {"us": pd.Series(us_out, dtype="int64"), "mid": pd.array(mids, dtype="Float64"),
-             "prev_row_mid": pd.array(prevs, dtype="Float64"), **listed,
-             "leaving": [False] * (len(us_out) - 1) + [True]}
-        )
+        if d.us[-1] == following:
+            last = last[:-1]
+        us = d.us[last]
+        full = np.full(len(last), depth > 0)
+        if depth and depth_every_us:
+            ends = -(-us // depth_every_us)
+            after = np.r_[d.us, 0][np.minimum(last + 1, n)]
+            full = (last == n - 1) | (ends != -(-after // depth_every_us))
+        rows = np.arange(-1, n)
+        bids, asks = (replay.sweep(replay.changes(lives, s, n), rows, last[full], depth) for s in (0, 1))
+        # The state before the first row stands at 0, that after row i at i + 1.
+        mid = (bids.top + asks.top) / 2
+        valid = replay.last_valid(mid)
+        # One row more: the last valid mid of the chunk's rows, for a time that goes on in a later chunk.
+        given = np.r_[full, False]
+        return {
+            "us": pa.array(np.r_[us, d.us[-1]], pa.int64()),
+            "mid": _nullable(np.r_[mid[last + 1], valid[-1]]),
+            "prev_row_mid": _nullable(np.r_[valid[last], np.nan]),
+            **{
+                f"{name}_{field}": _lists(best.lengths, given, values)
+                for name, best in (("bid", bids), ("ask", asks))
+                for field, values in (("px", best.prices), ("sz", best.sizes))
+            },
+            "leaving": pa.array(np.r_[np.zeros(len(last), bool), True]),
+        }
 
+    numbers = pa.list_(pa.float64())
     ticks = _replay(
         chunked, keys, snapshot, fn,
-        "us long; mid double; prev_row_mid double; bid_px array<double>; bid_sz array<double>; "
-        "ask_px array<double>; ask_sz array<double>; leaving boolean",
+        {"us": pa.int64(), "mid": pa.float64(), "prev_row_mid": pa.float64(), "bid_px": numbers, "bid_sz": numbers,
+         "ask_px": numbers, "ask_sz": numbers, "leaving": pa.bool_()},
     )
     # Read twice: the ticks, and what each chunk hands on.
     ticks = cut(ticks)
@@ -464,17 +426,12 @@ def relabel_kills(
 ) -> DataFrame:
     """(keys, seq) of each ``update`` to size 0 that removed a live level, to be read as delete."""
 
-    def fn(book: _Book, rows, last_snap, following):
-        out = []
-        for us, seq, action, side, ident, price, size in rows:
-            if _clears(snapshot, action, us, last_snap):
-                book.clear()
-                last_snap = us
-            if book.apply(action, side, ident, price, size) and action == "update":
-                out.append((us, seq))
-        return pd.DataFrame(out, columns=["us", "seq"]).astype("int64")
-
-    return _replay(chunked, keys, snapshot, fn, "us long; seq long").drop("chunk")
+    def fn(d: replay.Deltas, lives: replay.Lives, following):
+        at = np.sort(lives.pos[lives.was_alive & ~lives.alive])
+        at = at[d.update[at]]
+        return {"us": pa.array(d.us[at], pa.int64()), "seq": pa.array(d.seq[at], pa.int64())}
+
+    return _replay(chunked, keys, snapshot, fn, {"us": pa.int64(), "seq": pa.int64()}).drop("chunk")
 
 
 def tick_returns(
