@@ -343,12 +343,16 @@ def _nullable(values: np.ndarray) -> pa.Array:
     return pa.array(values, pa.float64(), from_pandas=True)
 
 
-def _lists(lengths: np.ndarray, given: np.ndarray, values: np.ndarray) -> pa.Array:
-    """Lists of ``lengths`` at the places ``given``, null elsewhere."""
-    size = np.zeros(len(given), np.int64)
-    size[given] = lengths
-    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.float64()), mask=pa.array(~given))
+LEVELS = pa.list_(pa.struct({"price": pa.float64(), "size": pa.float64()}))
+
+
+def _levels(best: replay.Best, given: np.ndarray) -> pa.Array:
+    """The best levels as lists at the places ``given``, null elsewhere."""
+    lengths = np.zeros(len(given), np.int64)
+    lengths[given] = best.lengths
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    values = pa.StructArray.from_arrays([pa.array(best.prices), pa.array(best.sizes)], fields=list(LEVELS.value_type))
+    return pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array(~given))
 
 
 def book_ticks(
@@ -386,19 +390,15 @@ def book_ticks(
             "us": pa.array(np.r_[us, d.us[-1]], pa.int64()),
             "mid": _nullable(np.r_[mid[last + 1], valid[-1]]),
             "prev_row_mid": _nullable(np.r_[valid[last], np.nan]),
-            **{
-                f"{name}_{field}": _lists(best.lengths, given, values)
-                for name, best in (("bid", bids), ("ask", asks))
-                for field, values in (("px", best.prices), ("sz", best.sizes))
-            },
+            "bids": _levels(bids, given),
+            "asks": _levels(asks, given),
             "leaving": pa.array(np.r_[np.zeros(len(last), bool), True]),
         }
 
-    numbers = pa.list_(pa.float64())
     ticks = _replay(
         chunked, keys, snapshot, fn,
-        {"us": pa.int64(), "mid": pa.float64(), "prev_row_mid": pa.float64(), "bid_px": numbers, "bid_sz": numbers,
-         "ask_px": numbers, "ask_sz": numbers, "leaving": pa.bool_()},
+        {"us": pa.int64(), "mid": pa.float64(), "prev_row_mid": pa.float64(), "bids": LEVELS, "asks": LEVELS,
+         "leaving": pa.bool_()},
     )
     # Read twice: the ticks, and what each chunk hands on.
     ticks = cut(ticks)
@@ -410,14 +410,8 @@ def book_ticks(
         .withColumn("prev_row_mid", F.coalesce("prev_row_mid", "_before_mid"))
     )
 
-    def levels(px, sz):
-        return F.zip_with(
-            px, sz, lambda p, s: F.struct(p.alias("price"), s.alias("size"))
-        )
-
     return ticks.select(
-        *keys, "chunk", "us", from_us("us").alias("ts"), "mid", "prev_row_mid",
-        levels("bid_px", "bid_sz").alias("bids"), levels("ask_px", "ask_sz").alias("asks"),
+        *keys, "chunk", "us", from_us("us").alias("ts"), "mid", "prev_row_mid", "bids", "asks",
     )
 
 
