@@ -74,7 +74,9 @@ def _by_day(spark, sf):
     ),
 )
 def rolling_std(spark, sf):
-    df = o.rolling_std(_by_day(spark, sf), "price", ["symbol", "day"], ORDER, VOL)
+    df = o.in_blocks(
+        _by_day(spark, sf), ["symbol", "day"], ORDER, VOL - 1, lambda rows, keys: o.rolling_std(rows, "price", keys, ORDER, VOL)
+    )
     return rounded(df.drop("price", "day"), "rolling_std")
 
 
@@ -90,7 +92,9 @@ e AS (SELECT symbol, d, n, ts, seq, price AS y FROM t WHERE n=1
     ),
 )
 def ema(spark, sf):
-    df = o.ema(_by_day(spark, sf), "price", ["symbol", "day"], ORDER, SPAN, block=7)
+    df = o.in_blocks(
+        _by_day(spark, sf), ["symbol", "day"], ORDER, o.ema_reach(SPAN), lambda rows, keys: o.ema(rows, "price", keys, ORDER, SPAN)
+    )
     return rounded(df.drop("price", "day"), "ema")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tickflow.functions.clock import ceil_us, floor_us, from_us, to_us
 from tickflow.operators.joins import bounded_join
-from tickflow.operators.ordered import carry_after, ffill
+from tickflow.operators.ordered import carry_after, ffill, range_chunks
 
 DAY_US = 86_400_000_000
 BLOCK_BINS = 100_000
@@ -63,6 +63,12 @@ def densify(
     return out if keep is None else out.where(keep)
 
 
+def _fill_bins(dense: DataFrame, name: str, keys: Sequence[str], bin: str = "bin") -> DataFrame:
+    """Forward fill in windows of a day; one small row for each day carries values over."""
+    days = dense.withColumn("_day", F.floor(F.col(bin) / DAY_US))
+    return ffill(days, [name], keys, [bin], "_day").drop("_day")
+
+
 def bin_sum(
     df: DataFrame, value: str | Column, step: int, keys=("symbol",), ts="ts", name="total",
     grid_keys: Sequence[str] | None = None,
@@ -85,7 +91,7 @@ def bin_last(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias(name)
     )
     dense = densify(lasts, list(keys), step)
-    return ffill(dense, [name], list(keys), ["bin"]) if fill else dense
+    return _fill_bins(dense, name, list(keys)) if fill else dense
 
 
 def bin_asof(
@@ -103,26 +109,18 @@ def bin_asof(
         .withColumn("bin", ceil_us(us, step))
         .groupBy(*keys, "bin")
         .agg(F.max_by(value, F.struct(*order)).alias(name))
-        .withColumn("_real", F.lit(False))
     )
     span = (
         df.groupBy(*keys)
         .agg(F.min(floor_us(us, step)).alias("_lo"), F.max(floor_us(us, step)).alias("_hi"))
     )
-    edges = span.select(
-        *keys, F.explode(F.array("_lo", "_hi")).alias("bin")
-    ).distinct().withColumn("_real", F.lit(True))
+    edges = span.select(*keys, F.explode(F.array("_lo", "_hi")).alias("bin")).distinct()
+    # A value of the last, unfinished bin counts after the grid's end.
+    inside = seen.join(span.select(*keys, "_hi"), list(keys)).where(F.col("bin") <= F.col("_hi")).drop("_hi")
     both = (
-        seen.unionByName(edges, allowMissingColumns=True)
-        .groupBy(*keys, "bin")
-        .agg(F.max(name).alias(name), F.max("_real").alias("_real"))
-    )
-    w = Window.partitionBy(*keys)
-    ranged = both.withColumn("_end", F.max(F.when(F.col("_real"), F.col("bin"))).over(w)).where(
-        F.col("bin") <= F.col("_end")
+        inside.unionByName(edges, allowMissingColumns=True).groupBy(*keys, "bin").agg(F.max(name).alias(name))
     )
-    dense = densify(ranged.drop("_real", "_end"), list(keys), step)
-    return ffill(dense, [name], list(keys), ["bin"])
+    return _fill_bins(densify(both, list(keys), step), name, list(keys))
 
 
 def dense_grid(df: DataFrame, step: int, keys=("symbol",), ts="ts") -> DataFrame:
@@ -134,24 +132,30 @@ def dense_grid(df: DataFrame, step: int, keys=("symbol",), ts="ts") -> DataFrame
 
 def last_in_interval(
     df: DataFrame, intervals: DataFrame, value: str, keys=("symbol",), ts="ts",
-    order=("ts", "seq"), name="last", width: str | None = None,
+    order=("ts", "seq"), name="last", pieces: int | None = None,
 ) -> DataFrame:
-    """Last value in each [start_ts, end_ts) interval.
+    """Last non-null value in each [start_ts, end_ts) interval; null where all its rows have none, and
+    no row for an interval without rows.  Equal intervals give one row.
 
-    Rows and intervals meet on whole hours (or another ``width``, in microseconds), so the range
-    condition only filters within equal hours.
+    A sweep: rows and interval ends stand in one order, cut in even chunks, and an end reads the last
+    value before it.  The cost does not depend on how long intervals are or how many overlap.
     """
-    w = int(width or 3_600_000_000)
-    rows = df.withColumn("_h", floor_us(to_us(ts), w))
-    ends = to_us("end_ts") - 1
-    spans = intervals.withColumn(
-        "_h", F.explode(F.sequence(floor_us(to_us("start_ts"), w), floor_us(ends, w), F.lit(w)))
-    )
-    hit = rows.join(spans, [*keys, "_h"]).where(
-        (F.col(ts) >= F.col("start_ts")) & (F.col(ts) < F.col("end_ts"))
+    by = [f"_o{i}" for i in range(len(order))]
+    us = to_us(ts)
+    rows = df.where(F.col(ts).isNotNull()).select(
+        *keys, us.alias("_us"), F.lit(1).alias("_kind"), *[F.col(c).alias(b) for c, b in zip(order, by)], us.alias("_seen"),
+        F.when(F.col(value).isNotNull(), F.struct(us.alias("us"), F.col(value).alias("value"))).alias("_last"),
     )
-    return hit.groupBy(*keys, "start_ts", "end_ts").agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias(name)
+    # An end comes before the rows of its own time: intervals are open there.
+    ends = intervals.select(*keys, "start_ts", "end_ts").distinct().select(
+        *keys, to_us("end_ts").alias("_us"), F.lit(0).alias("_kind"), "start_ts", "end_ts"
+    ).where(F.col("start_ts").isNotNull() & F.col("end_ts").isNotNull())
+    line = ["_us", "_kind", *by, "start_ts"]
+    swept = range_chunks(rows.unionByName(ends, allowMissingColumns=True), list(keys), line, pieces, "_chunk")
+    at = ffill(swept, ["_seen", "_last"], list(keys), line, "_chunk").where(F.col("_kind") == 0)
+    start = to_us("start_ts")
+    return at.where(F.col("_seen") >= start).select(
+        *keys, "start_ts", "end_ts", F.when(F.col("_last.us") >= start, F.col("_last.value")).alias(name)
     )
 
 

@@ -11,7 +11,7 @@ Two situations, told apart by the ``chunk`` argument:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -155,7 +155,7 @@ def log_returns(
 def rolling_std(df, col, keys, order, window=VOL_WINDOW, name="rolling_std") -> DataFrame:
     """Population standard deviation over the last ``window`` rows, 0 before a full window.
 
-    Keys must be bounded (a symbol-day of grid rows).  Spark re-reads a sliding frame for every
+    Keys must be bounded (a symbol-day of grid rows); ``in_blocks`` serves others.  Spark re-reads a sliding frame for every
     row, so the window is put together from two growing ones: rows are cut in blocks of
     ``window``, and a window is the end of one block and the start of the next.  Means and squared
     deviations of both parts merge without cancellation.
@@ -191,6 +191,7 @@ def ema(df, col, keys, order, span=EMA_SPAN, name="ema", block: int | None = Non
     is a weighted running sum.  Across blocks the state decays by q^block per step, so the last
     few block ends, found by fixed row offsets, determine it to below double precision.  All
     windows work on the layout by ``keys``; nothing is shuffled again.  Inputs must not be null.
+    Keys must be bounded; ``in_blocks`` with ``ema_reach`` rows serves others.
     """
     alpha = 2.0 / (span + 1.0)
     q = 1.0 - alpha
@@ -233,17 +234,48 @@ def ordered_index(
     counts = chunked.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select(
-        *keys, "_chunk", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_base")
+        *[F.col(k).alias("_k" + k) for k in keys], F.col("_chunk").alias("_k"),
+        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_base"),
     )
+    # Rows with a null key form a group like any other.
+    same = F.col("_chunk") == F.col("_k")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col("_k" + k))
     local = F.row_number().over(_window(keys, order, "_chunk")) - 1
     return (
         chunked.withColumn("_r", local)
-        .join(base, [*keys, "_chunk"])
+        .join(base, same)
         .withColumn(name, (F.col("_r") + F.col("_base")).cast("long"))
         .select(*df.columns, name, *([F.col("_chunk").alias(chunk)] if chunk else []))
     )
 
 
+HALO_BLOCK = 1 << 16
+"""Rows of a block, at least, where blocks carry the rows before them."""
+
+
+def in_blocks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], halo: int,
+    fn: Callable[[DataFrame, list[str]], DataFrame], block: int | None = None,
+) -> DataFrame:
+    """``fn(rows, keys)`` over blocks of consecutive rows of a key, each with the ``halo`` rows before it.
+
+    For windows that look back over a fixed number of rows, where a key may be as large as the table:
+    no window holds more than ``block + halo`` rows.  ``fn`` may add columns, and keeps the rows.
+    """
+    size = int(block or max(4 * halo, HALO_BLOCK))
+    pos = ordered_index(df, order, keys, name="_idx")
+    touched = F.sequence(F.floor(F.col("_idx") / size), F.floor((F.col("_idx") + halo) / size))
+    placed = pos.withColumn("_block", F.explode(touched))
+    return fn(placed, [*keys, "_block"]).where(F.floor(F.col("_idx") / size) == F.col("_block")).drop("_idx", "_block")
+
+
+def ema_reach(span: int) -> int:
+    """Rows after which a state has decayed below double precision."""
+    q = 1.0 - 2.0 / (span + 1.0)
+    return 1 if q <= 0.0 else int(np.ceil(45.0 / -np.log(q)))
+
+
 RANK_BLOCK = 1 << 13
 """Rows ranked at once, at least."""
 

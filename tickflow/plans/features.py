@@ -18,7 +18,7 @@ from tickflow.functions.guards import finite, guarded_div, signed_log
 from tickflow.operators import book as bk
 from tickflow.operators.dedup import dedup_last
 from tickflow.operators.grid import densify
-from tickflow.operators.ordered import ema, ffill, rolling_std
+from tickflow.operators.ordered import ema, ema_reach, ffill, in_blocks, rolling_std, with_previous_valid
 from tickflow.schemas import (
     DEPTH, EMA_SPAN, RETURN_CLIP, STEP_MS, TICK_WEIGHTS, VOL_WINDOW,
 )
@@ -228,7 +228,6 @@ def base_features(
     grid: DataFrame, span: int = EMA_SPAN, vol_window: int = VOL_WINDOW, carry_days: bool = False,
 ) -> DataFrame:
     """Seven features from the aligned grid."""
-    keys = ["symbol"] if carry_days else KEYS
     both = (F.col("bid") + F.col("ask")) / 2
     now = grid.select(
         *KEYS, "bin", F.col("ret").alias("f1"),
@@ -237,8 +236,13 @@ def base_features(
         F.coalesce("wap", "mid").alias("f6"), F.coalesce("volume", F.lit(0.0)).alias("volume24h"),
         F.coalesce("mid_end", F.lit(0.0)).alias("mid_price"),
     )
-    vol = rolling_std(now, "f1", keys, ["bin"], vol_window, name="f5")
-    smooth = ema(vol, "f6", keys, ["bin"], span, name="_ema")
+    def windows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        vol = rolling_std(rows, "f1", keys, ["bin"], vol_window, name="f5")
+        return ema(vol, "f6", keys, ["bin"], span, name="_ema")
+
+    # A symbol-day is bounded by its bins; a symbol's whole history goes in blocks.
+    halo = max(vol_window - 1, ema_reach(span))
+    smooth = in_blocks(now, ["symbol"], ["bin"], halo, windows) if carry_days else windows(now, KEYS)
     out = smooth.withColumn("f0", F.when(F.col("_ema") > 0, F.col("f6") / F.col("_ema") - 1).otherwise(0.0))
     return out.select(
         "symbol", from_us("bin").alias("ts"),
@@ -268,15 +272,14 @@ def widen(
 
 def oi_log_return(instruments: DataFrame, step: int, keys=("symbol",)) -> DataFrame:
     """f7: open interest at each bin start, floored at 1, log difference, first 0."""
-    from tickflow.operators.grid import bin_asof
+    from tickflow.operators.grid import DAY_US, bin_asof
 
     keys = list(keys)
     grid = bin_asof(instruments, "openInterest", step, keys, name="oi")
     level = F.greatest(F.coalesce("oi", F.lit(0)).cast("double"), F.lit(1.0))
-    w = Window.partitionBy(*keys).orderBy("bin")
-    return grid.withColumn("_l", F.log(level)).withColumn(
-        "f7", F.coalesce(F.col("_l") - F.lag("_l").over(w), F.lit(0.0))
-    ).drop("_l", "oi")
+    days = grid.withColumns({"_l": F.log(level), "_day": F.floor(F.col("bin") / DAY_US)})
+    stepped = with_previous_valid(days, "_l", keys, ["bin"], "_day", name="_p")
+    return stepped.withColumn("f7", F.coalesce(F.col("_l") - F.col("_p"), F.lit(0.0))).drop("_l", "_p", "_day", "oi")
 
 
 def liquidation_volume(liquidations: DataFrame, step: int, keys=("symbol",)) -> DataFrame:
