@@ -82,8 +82,7 @@ def stream_dedup(spark, sf):
 def stream_book(spark, sf):
     """The live book after the stream equals the book rebuilt in batch (updates carry no price)."""
     path = work_path(spark, "book")
-    for q in st.book_stream(_stream(spark, sf, "orderbook"), path, work_path(spark, "ck")):
-        q.awaitTermination()
+    st.book_stream(_stream(spark, sf, "orderbook"), path, work_path(spark, "ck")).awaitTermination()
     return st.live_book(spark, path)
 
 

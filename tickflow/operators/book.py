@@ -116,21 +116,39 @@ def live_facts(events: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFram
     )
 
 
-def live_epochs(events: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Per key the start of its newest snapshot: greatest time, then smallest seq."""
+def epoch_marks(events: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Per key the ``mark`` of its newest snapshot: greatest time, then smallest seq.  Marks of several
+    sets of rows are merged by their maximum."""
     mark = F.struct(F.col("us").alias("us"), (-F.col("seq")).alias("neg"))
-    return _with_us(events).where(F.col("action") == "partial").groupBy(*keys).agg(
-        F.max(mark).alias("_e")
-    ).select(*keys, F.struct(F.col("_e.us").alias("us"), (-F.col("_e.neg")).alias("seq")).alias("epoch"))
+    return _with_us(events).where(F.col("action") == "partial").groupBy(*keys).agg(F.max(mark).alias("mark"))
 
 
-def live_levels(facts: DataFrame, epochs: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Live levels from their facts and the snapshot starts."""
-    return facts.join(epochs, list(keys), "left").where(_alive("epoch")).select(
+def epoch_of(mark: str) -> Column:
+    """Snapshot start of a mark."""
+    return F.when(F.col(mark).isNotNull(), F.struct(F.col(mark)["us"].alias("us"), (-F.col(mark)["neg"]).alias("seq")))
+
+
+def live_epochs(events: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Per key the start of its newest snapshot."""
+    return epoch_marks(events, keys).select(*keys, epoch_of("mark").alias("epoch"))
+
+
+def alive_levels(facts: DataFrame, epochs: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """The facts of live levels, given the snapshot starts."""
+    return facts.join(epochs, list(keys), "left").where(_alive("epoch"))
+
+
+def level_values(facts: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    return facts.select(
         *keys, "side", "id", F.col("priced.price").alias("price"), F.col("sized.size").alias("size")
     )
 
 
+def live_levels(facts: DataFrame, epochs: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """Live levels from their facts and the snapshot starts."""
+    return level_values(alive_levels(facts, epochs, keys), keys)
+
+
 def book_by_price(levels: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Size and number of levels per price."""
     return levels.groupBy(*keys, "side", "price").agg(

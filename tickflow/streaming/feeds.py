@@ -26,7 +26,7 @@ from tickflow.operators import book as bk
 from tickflow.operators.dedup import throttle
 from tickflow.operators.typing import epoch_to_ts
 from tickflow.plans.features import signed_flow
-from tickflow.schemas import DEDUP_KEYS
+from tickflow.schemas import DEDUP_KEYS, DEPTH
 from tickflow.session import cut
 from tickflow.sources import messages as ms
 from tickflow.sources.parquet import write_batch
@@ -60,12 +60,15 @@ def ingest(
     messages: DataFrame, root: str, checkpoint: str, feeds: Sequence[str] | None = None,
     symbols: Sequence[str] | None = None, hooks: Mapping[str, Sequence[Hook]] | None = None,
     every: str | None = None, dedup_us: int | None = None,
+    throttles: Mapping[str, tuple[Column, int]] | None = None, book: bool = False,
 ) -> StreamingQuery:
     """Raw messages to one partitioned Parquet folder per feed, bad rows to ``quarantine``.
 
     With ``dedup_us`` rows that repeat an earlier row's keys (``DEDUP_KEYS``) are not stored: of one
     batch the first passes, and keys of earlier batches are remembered for so many microseconds of
-    event time (``seen`` beside the feeds), also over restarts.
+    event time (``seen`` beside the feeds), also over restarts.  Then ``throttles`` (feed to (rows that
+    always pass, gap in microseconds)) thins feeds, and with ``book`` the live book is kept in ``live``
+    and kills of the order book are stored as deletes (``advance_book``).
 
     Book rows carry the time of receipt, and the other feeds' times are held within 24 hours of
     it, where the messages tell it (``received``).  Rows whose numbers do not parse are not stored.
@@ -87,6 +90,10 @@ def ingest(
                 typed = PROJECTIONS[feed](rows, time).withColumn("ts", epoch_to_ts("timestamp"))
                 if dedup_us is not None:
                     typed = first_arrivals(typed, DEDUP_KEYS[feed], f"{root}/seen/{feed}", number, dedup_us)
+                if feed in (throttles or {}):
+                    typed = advance_throttle(typed, f"{root}/throttle/{feed}", number, *throttles[feed])
+                if book and feed == "orderbook":
+                    typed = advance_book(typed, f"{root}/live", number)
                 write_batch(typed, f"{root}/{feed}", number)
                 for hook in hooks.get(feed, ()):
                     run_hook(hook, typed, number)
@@ -198,19 +205,117 @@ def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_r")).select(*keys, "_r.*")
 
 
-def book_stream(deltas: DataFrame, path: str, checkpoint: str) -> list[StreamingQuery]:
-    """Keep the live book: two streaming aggregations, one row per level and per symbol."""
-    return [
-        write_rows(bk.live_facts(deltas), f"{path}/levels", f"{checkpoint}/levels", "update"),
-        write_rows(bk.live_epochs(deltas), f"{path}/epochs", f"{checkpoint}/epochs", "update"),
-    ]
+def _slot(path: str, number: int) -> str:
+    """Where the state after batch ``number`` lies.
 
+    Two places take turns: a batch reads what the one before it left and overwrites the older one, so
+    state does not pile up, and a batch repeated after a failure still finds its start.
+    """
+    return f"{path}/slot={number % 2}"
 
-def live_book(spark: SparkSession, path: str) -> DataFrame:
-    """The book as the stream last left it."""
-    return bk.live_levels(
-        latest(spark, f"{path}/levels", ["symbol", "side", "id"]), latest(spark, f"{path}/epochs", ["symbol"])
+
+def _state(spark: SparkSession, path: str, number: int) -> DataFrame | None:
+    """The state before batch ``number``; None before the first."""
+    return spark.read.parquet(_slot(path, number - 1)) if number > 0 else None
+
+
+def _newest(table: DataFrame, start: DataFrame | None, keys: Sequence[str], facts: Sequence[str]) -> DataFrame:
+    """Both tables' facts by key, the greatest of each."""
+    both = table if start is None else table.unionByName(start, allowMissingColumns=True)
+    return both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in facts])
+
+
+LEVEL_KEYS = ["symbol", "side", "id"]
+
+
+def _as_rows(levels: DataFrame, epochs: DataFrame, like: DataFrame) -> DataFrame:
+    """Live levels as the delta rows that would build them."""
+    # Levels of the snapshot in force stay snapshot rows: more rows of its time are no new snapshot.
+    of_snapshot = F.coalesce(F.col("born.us") == F.col("epoch.us"), F.lit(False))
+    rows = levels.join(epochs, ["symbol"], "left").select(
+        *LEVEL_KEYS, F.when(of_snapshot, "partial").otherwise("insert").alias("action"), F.col("born.us").alias("us"),
+        F.col("born.seq").alias("seq"), F.col("priced.price").alias("price"), F.col("sized.size").alias("size"),
+    )
+    return rows.select(*[F.col(c).cast(like.schema[c].dataType) for c in like.columns])
+
+
+def advance_book(batch: DataFrame, root: str, number: int, depth: int = DEPTH) -> DataFrame:
+    """Bring the live book at ``root`` past a batch of deltas; the batch with kills relabelled.
+
+    The state holds a row for each live level and one for each symbol's snapshot, nothing else: removed
+    levels leave it and a snapshot clears it.  ``top`` takes the best ``depth`` prices of the symbols
+    whose best prices the batch changed.  An ``update`` to size 0 that removes a level of the live book
+    becomes a ``delete``.  Batches must arrive in time order for each symbol, as feed messages do.
+    """
+    spark = batch.sparkSession
+    level_path, epoch_path = f"{root}/levels", f"{root}/epochs"
+    levels, epochs = _state(spark, level_path, number), _state(spark, epoch_path, number)
+    rows = batch.withColumn("us", to_us("ts"))
+    need = [*LEVEL_KEYS, "action", "us", "seq", "price", "size"]
+    replayed = rows.select(*need)
+    if levels is not None:
+        replayed = replayed.unionByName(_as_rows(levels, epochs, replayed))
+    kills = bk.relabel_kills(bk.chunk_book(replayed)).distinct().withColumn("_kill", F.lit(True))
+    told = cut(
+        rows.join(kills, ["symbol", "us", "seq"], "left")
+        .withColumn("action", F.when(F.col("_kill") & (F.col("action") == "update"), "delete").otherwise(F.col("action")))
+        .select(*batch.columns)
     )
+    facts = ["born", "died", "sized", "priced"]
+    merged = _newest(bk.live_facts(batch), levels, LEVEL_KEYS, facts)
+    now_epochs = _newest(bk.epoch_marks(batch), epochs, ["symbol"], ["mark"])
+    now_epochs = now_epochs.withColumn("epoch", bk.epoch_of("mark"))
+    now_epochs.write.mode("overwrite").parquet(_slot(epoch_path, number))
+    now_epochs = spark.read.parquet(_slot(epoch_path, number))
+    alive = bk.alive_levels(merged, now_epochs).select(*LEVEL_KEYS, "born", "sized", "priced")
+    alive.write.mode("overwrite").parquet(_slot(level_path, number))
+
+    def best(state: DataFrame) -> DataFrame:
+        tops = bk.top_levels(bk.level_values(state), depth)
+        return tops.groupBy("symbol").agg(
+            F.array_sort(F.collect_list(F.struct("side", "level", "price", "size", "levels"))).alias("top")
+        )
+
+    new = best(spark.read.parquet(_slot(level_path, number)))
+    if levels is None:
+        changed = new
+    else:
+        # Only symbols of the batch can have changed; one that lost its last level has an empty top.
+        touched = rows.select("symbol").distinct()
+        old = best(levels.join(touched, ["symbol"], "left_semi")).withColumnRenamed("top", "before")
+        both = new.join(touched, ["symbol"], "left_semi").join(old, ["symbol"], "full")
+        changed = both.where(~F.col("top").eqNullSafe(F.col("before"))).select(
+            "symbol", F.coalesce("top", F.slice("before", 1, 0)).alias("top")
+        )
+    _own_folder(changed, number, f"{root}/top")
+    # Last: from here on readers take this batch's state.
+    spark.createDataFrame([(number,)], "number long").write.mode("overwrite").parquet(_slot(f"{root}/head", number))
+    return told
+
+
+def book_stream(deltas: DataFrame, path: str, checkpoint: str, depth: int = DEPTH) -> StreamingQuery:
+    """Keep the live book (``advance_book``) and store the deltas with kills relabelled in ``rows``."""
+
+    def flush(batch: DataFrame, number: int) -> None:
+        _own_folder(advance_book(batch, path, number, depth), number, f"{path}/rows")
+
+    return _start(deltas, flush, checkpoint)
+
+
+def live_book(spark: SparkSession, path: str) -> DataFrame:
+    """The book as the last whole batch left it."""
+    number = spark.read.parquet(f"{path}/head").agg(F.max("number")).first()[0]
+    return bk.level_values(spark.read.parquet(_slot(f"{path}/levels", number)))
+
+
+def advance_throttle(batch: DataFrame, state: str, number: int, always: Column, gap_us: int) -> DataFrame:
+    """The rows of a batch that pass the throttle after those of earlier batches; ``state`` keeps the last
+    accepted time of each symbol."""
+    start = _state(batch.sparkSession, state, number)
+    kept = cut(throttle(batch.withColumn("us", to_us("ts")), always, gap_us=gap_us, start=start))
+    last = _newest(kept.select("symbol", F.col("us").alias("last")), start, ["symbol"], ["last"])
+    last.write.mode("overwrite").parquet(_slot(state, number))
+    return kept.drop("us")
 
 
 def throttle_stream(
@@ -222,19 +327,7 @@ def throttle_stream(
     """
 
     def flush(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        start = None
-        if number > 0:
-            state = f"{path}/state/after={number - 1}"
-            start = spark.read.parquet(state)
-        kept = cut(throttle(batch.withColumn("us", to_us("ts")), always, gap_us=gap_us, start=start))
-        kept.drop("us").withColumn("batch", F.lit(number)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch").parquet(f"{path}/rows")
-        last = kept.groupBy("symbol").agg(F.max("us").alias("last"))
-        if start is not None:
-            last = last.unionByName(start).groupBy("symbol").agg(F.max("last").alias("last"))
-        last.write.mode("overwrite").parquet(f"{path}/state/after={number}")
+        _own_folder(advance_throttle(batch, f"{path}/state", number, always, gap_us), number, f"{path}/rows")
 
     return _start(rows, flush, checkpoint)
 
