@@ -6,7 +6,7 @@ import importlib
 
 from tickflow.catalog import registry
 
-MODULES = ["feeds", "gridded", "ordered", "features", "books", "reports", "cleaning", "regimes", "sinks", "streams"]
+MODULES = ["feeds", "gridded", "ordered", "features", "books", "reports", "cleaning", "regimes", "sinks", "streams", "days"]
 
 
 def load():

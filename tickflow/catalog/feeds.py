@@ -202,15 +202,12 @@ def norm_book(spark, sf):
     return ms.book_deltas(_rows(spark, sf), F.col("received"))
 
 
-@query(
-    "relabel_kills",
-    over_feeds(
-        """SELECT t.symbol, t.seq FROM ticks tk JOIN ob t ON t.seq=tk.seq
+KILLS_SQL = """SELECT t.symbol, t.seq FROM ticks tk JOIN ob t ON t.seq=tk.seq
            JOIN (SELECT o.seq, (SELECT max(p.seq) FROM ob p WHERE p.symbol=o.symbol AND p.seq<o.seq) AS pq FROM ob o WHERE action='update' AND size=0) b ON b.seq=t.seq
-           JOIN alive a ON a.tseq=b.pq AND a.side=t.side AND a.id=t.id""",
-        book_ctes(),
-    ),
-)
+           JOIN alive a ON a.tseq=b.pq AND a.side=t.side AND a.id=t.id"""
+
+
+@query("relabel_kills", over_feeds(KILLS_SQL, book_ctes()))
 def relabel_kills(spark, sf):
     """Updates to size 0 of a live level, which the feed normalisation re-labels as deletes."""
     return bk.relabel_kills(bk.chunk_book(feed(spark, sf, "orderbook"))).select("symbol", "seq")

@@ -24,7 +24,7 @@ def _staged(df, path, by="seq", parts=3):
         df.where((F.col(by) >= low) & (F.col(by) < high)).coalesce(1).write.mode("append").parquet(path)
 
 
-def _stream(spark, sf, name):
+def staged_stream(spark, sf, name):
     path = work_path(spark, f"in-{name}")
     df = feed(spark, sf, name)
     _staged(df, path)
@@ -70,7 +70,7 @@ def stream_ingest_dedup(spark, sf):
 
 @query("stream_dedup", over_feeds('SELECT DISTINCT trdMatchID AS "trdMatchID" FROM trades'))
 def stream_dedup(spark, sf):
-    rows = st.dedup_stream(_stream(spark, sf, "trades"), "trdMatchID", delay=FOREVER)
+    rows = st.dedup_stream(staged_stream(spark, sf, "trades"), "trdMatchID", delay=FOREVER)
     path = work_path(spark, "dedup")
     st.write_rows(rows.select("trdMatchID", "ts"), path, work_path(spark, "ck")).awaitTermination()
     return spark.read.parquet(path).select("trdMatchID")
@@ -82,13 +82,13 @@ def stream_dedup(spark, sf):
 def stream_book(spark, sf):
     """The live book after the stream equals the book rebuilt in batch (updates carry no price)."""
     path = work_path(spark, "book")
-    st.book_stream(_stream(spark, sf, "orderbook"), path, work_path(spark, "ck")).awaitTermination()
+    st.book_stream(staged_stream(spark, sf, "orderbook"), path, work_path(spark, "ck")).awaitTermination()
     return st.live_book(spark, path)
 
 
 @query("stream_throttle", SQL["throttle_instruments"])
 def stream_throttle(spark, sf):
-    rows = _stream(spark, sf, "instruments").select("symbol", "ts", "seq")
+    rows = staged_stream(spark, sf, "instruments").select("symbol", "ts", "seq")
     path = work_path(spark, "throttle")
     st.throttle_stream(rows, path, work_path(spark, "ck"), F.col("seq") % 5 == 0, GAP_US).awaitTermination()
     return spark.read.parquet(f"{path}/rows").select("symbol", "ts", "seq")
@@ -102,7 +102,7 @@ _FLOW = """sum(CASE side WHEN 'Buy' THEN abs(foreignNotional)*w WHEN 'Sell' THEN
         FROM (SELECT *, CASE tickDirection WHEN 'PlusTick' THEN 1.5 WHEN 'ZeroPlusTick' THEN 1.5 WHEN 'MinusTick' THEN -1.5 WHEN 'ZeroMinusTick' THEN -1.5 ELSE 1.0 END AS w FROM trades) GROUP BY 1,2)"""))
 def stream_taker_imbalance(spark, sf):
     path = work_path(spark, "taker")
-    bins = st.taker_imbalance_stream(_stream(spark, sf, "trades"), "1 hour", FOREVER)
+    bins = st.taker_imbalance_stream(staged_stream(spark, sf, "trades"), "1 hour", FOREVER)
     st.write_rows(bins, path, work_path(spark, "ck"), "update").awaitTermination()
     return rounded(st.latest(spark, path, ["symbol", "ts"]), "f4")
 
@@ -135,7 +135,7 @@ def stream_metrics(spark, sf):
     """The metrics table of a stream: every batch, not only the recent ones."""
     table = work_path(spark, "metrics")
     st.write_rows(
-        _stream(spark, sf, "instruments"), work_path(spark, "rows"), work_path(spark, "ck"),
+        staged_stream(spark, sf, "instruments"), work_path(spark, "rows"), work_path(spark, "ck"),
         metrics=(table, "instruments", F.col("markPrice").isNull()),
     ).awaitTermination()
     batches = spark.read.parquet(table)
