@@ -6,8 +6,10 @@ there, falling back to ever shorter ones, and counts with the mean over its posi
 language has the largest sum; the score is its posterior under equal priors.
 
 The model is fitted on a bounded sample of labelled rows (``per_language`` documents of each language
-on average, taken by a hash of the row, never by order), knows the ``languages`` most frequent labels
-and is bounded in size (``words``, ``grams``); prediction reads every text in whole.
+on average, taken by a hash of the row, never by order) and knows every label.  Its words and n-grams
+are bounded in number (``words``, ``grams``) and taken in turns by their rank within each language, so a
+rare language keeps as many as a frequent one.  Prediction reads every text in whole, and a text's score
+does not depend on the texts beside it.
 
 Defined results: a null text or one without letters is ``und`` with score 0.  A text of letters of
 which none is known gets the first language by name and the uniform score.  A row without an id has no
@@ -23,7 +25,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +34,6 @@ from tickflow.llm.words import U, contains, mix, powers
 
 MOD, HELD_OUT = 5, 0
 PER_LANGUAGE = 4000
-LANGUAGES = 200
 WORDS, GRAMS = 100_000, 30_000
 LONGEST = 5
 UNKNOWN = "und"
@@ -138,29 +139,30 @@ class Model:
     """By size: log frequencies, a column for each language."""
 
 
-def sample(labelled: DataFrame, per_language: int, languages: int) -> DataFrame:
-    """About ``per_language`` rows of each of the most frequent ``languages``, chosen by a hash of the row."""
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(languages)
-    known = labelled.sparkSession.createDataFrame(sizes.collect(), sizes.schema)  # at most ``languages`` rows
+def sample(labelled: DataFrame, per_language: int) -> DataFrame:
+    """About ``per_language`` rows of each language, chosen by a hash of the row."""
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.join(F.broadcast(known), "lang").where(share * F.col("rows") < per_language).select("lang", "text")
+    return labelled.join(sizes, "lang").where(share * F.col("rows") < per_language).select("lang", "text")
 
 
-def train(
-    labelled: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES, words: int = WORDS, grams: int = GRAMS
-) -> Model:
+def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, words: int = WORDS, grams: int = GRAMS) -> Model:
     """Fit on rows (doc_id, lang, text).  The model has at most ``words`` words, ``grams`` n-grams of a length."""
     usable = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
-    counts = stage(
-        sample(usable, per_language, languages).mapInArrow(_count, "size int, lang string, key long, n long")
+    counted = (
+        sample(usable, per_language).mapInArrow(_count, "size int, lang string, key long, n long")
         .groupBy("size", "key", "lang").agg(F.sum("n").alias("n"))
-        .groupBy("size", "key").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")),
+    )
+    rank = F.row_number().over(Window.partitionBy("size", "lang").orderBy(F.desc("n"), "key"))
+    counts = stage(
+        counted.withColumn("rank", rank).groupBy("size", "key")
+        .agg(F.min("rank").alias("rank"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")),
         "languages",
     )
     langs: set[str] = set()
     tables = {}
     for size in range(LONGEST + 1):
-        rows = counts.where(F.col("size") == size).orderBy(F.desc("all"), "key").limit(grams if size else words).collect()
+        rows = counts.where(F.col("size") == size).orderBy("rank", "key").limit(grams if size else words).collect()
         tables[size] = sorted((r["key"] % (1 << 64), r["by"]) for r in rows)
         langs |= {x for r in rows for x in r["by"]}
     model = Model(sorted(langs), {}, {})
@@ -194,9 +196,10 @@ def _classify(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
                 left = np.concatenate([left[~fits], tried[~hit]])
             begin = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             total[unseen] = np.add.reduceat(value, begin) / np.diff(np.r_[begin, len(at)])[:, None]
-        sums = np.zeros((len(text.first), len(model.langs)))
-        np.cumsum(np.r_[np.zeros((1, len(model.langs))), total], axis=0, out=(running := np.zeros((len(total) + 1, len(model.langs)))))
-        sums = running[text.first[1:]] - running[text.first[:-1]]
+        sums = np.zeros((len(text.first) - 1, len(model.langs)))
+        some = np.flatnonzero(np.diff(text.first))
+        if len(some):
+            sums[some] = np.add.reduceat(total, text.first[some])
         best = sums.argmax(axis=1)
         share = 1 / np.exp(sums - sums.max(axis=1, keepdims=True)).sum(axis=1)
         for empty, b, s in zip((np.diff(text.first) == 0).tolist(), best.tolist(), share.tolist(), strict=True):
