@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from tickflow.llm.frames import ROW, annotate, remainder, stage
 from tickflow.llm.words import U, contains, mix, powers
+from tickflow.operators.joins import bounded_join
 
 MOD, HELD_OUT = 5, 0
 PER_LANGUAGE = 4000
@@ -143,7 +144,7 @@ def sample(labelled: DataFrame, per_language: int) -> DataFrame:
     """About ``per_language`` rows of each language, chosen by a hash of the row."""
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.join(sizes, "lang").where(share * F.col("rows") < per_language).select("lang", "text")
+    return bounded_join(labelled, sizes, ["lang"]).where(share * F.col("rows") < per_language).select("lang", "text")
 
 
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, words: int = WORDS, grams: int = GRAMS) -> Model:
