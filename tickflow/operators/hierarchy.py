@@ -24,12 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.operators import neighbours as nb
 from tickflow.operators.neighbours import MAX_PIVOTS, _distances
 from tickflow.operators.ordered import ordered_index
 from tickflow.session import cut
 
-BLOCK = 2048
-"""Points on either side of a distance block."""
+BLOCK = 1 << 14
+"""Points that ask together."""
+ALIKE = 64
+"""Asking points of one component that are compared with the other components alone."""
 EDGES = 1 << 20
 """Tree edges one task merges."""
 REST = 100_000
@@ -84,7 +87,7 @@ class _Space:
                     cell = d.argmin(axis=1)
                     yield pdf.assign(cell=cell.astype("int32"), d=d[np.arange(len(d)), cell])
 
-        self.placed = cut(points.mapInPandas(place, "id long, x array<double>, core double, beyond double, cell int, d double"))
+        self.placed = nb.narrowed(cut(points.mapInPandas(place, "id long, x array<double>, core double, beyond double, cell int, d double")))
 
     def search(self, labels: DataFrame, best: DataFrame, block: int, few: bool) -> DataFrame:
         """The smallest outgoing edges of components with points whose list ends before the component's ``best``.
@@ -96,7 +99,7 @@ class _Space:
         held = self.placed.join(labels, "id")
         asks = held.where(F.col("beyond") < math.inf).join(best.select("c", "w"), "c", "left").where(
             F.col("w").isNull() | (F.col("beyond") <= F.col("w"))
-        ).select("id", "x", "core", "beyond", "c")
+        ).select("id", "x", "core", "beyond", "c", "cell", "d")
         pivot = F.col("id").isin([int(i) for i in ids])
         cells = {
             r["cell"]: r for r in held.groupBy("cell").agg(
@@ -122,54 +125,90 @@ class _Space:
         guess = _settled(_both_least(asks.mapInPandas(to_pivots, _EDGE)), few)
         bound = best.select("c", "w").unionByName(_least(guess).select("c", "w")).groupBy("c").agg(F.min("w").alias("bound"))
         bound = F.broadcast(bound) if few else bound
-        places = np.array(sorted(cells), np.int64)
-        radius, low, high = (np.array([cells[j][k] for j in places.tolist()]) for k in ("r", "low", "high"))
-
-        def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                if not len(pdf):
-                    continue
-                d = _distances(np.stack(pdf["x"].to_numpy()), at[places])
-                b, c = pdf["bound"].to_numpy()[:, None], pdf["c"].to_numpy(np.int64)[:, None]
-                slack = 1e-9 * (1.0 + b + d)
-                row, j = np.nonzero((d - b - slack <= radius) & ~((low == c) & (high == c)))
-                yield pdf.iloc[row][["id", "x", "core", "c"]].assign(cell=places[j].astype("int32"))
-
-        sent = cut(
-            asks.join(bound, "c").where(F.col("beyond") <= F.col("bound")).select("id", "x", "core", "c", "bound")
-            .mapInPandas(visits, "id long, x array<double>, core double, c long, cell int")
-        )
-        asked = {r["cell"]: r["count"] for r in sent.groupBy("cell").count().collect()}
-        if not asked:
-            return guess.select("a", "b", "w", "ca", "cb")
+        asked = cut(asks.join(bound, "c").where(F.col("beyond") <= F.col("bound")).select("id", "x", "core", "c", "bound", "cell", "d"))
         # One row for each pivot's cell.
-        sizes = spark.createDataFrame(
-            [(int(j), -(-n // block), -(-cells[j]["n"] // block)) for j, n in asked.items()], "cell int, nq int, nc int"
-        )
+        seen = {r["cell"]: r for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("r"), F.max("bound").alias("bound")).collect()}
+        if not seen:
+            return guess.select("a", "b", "w", "ca", "cb")
+        places, groups, shares = nb.deal({i: seen[i]["n"] for i in nb.chain(at) if i in seen}, block)
+        shares = min(shares, max(1, -(-sum(r["n"] for r in cells.values()) // nb.SHARE)))
+        apart = _distances(at, at)
+        visits = {
+            (j, g) for i, r in seen.items() for j, have in cells.items() for g in places[i]
+            if not (apart[i, j] - r["r"] - r["bound"]) * (1 - 1e-9) - 1e-9 * (apart[i, j] + r["bound"]) > have["r"]
+        }
+        table = spark.createDataFrame(list(visits), "cell int, target int")
+        cols = ["cell", "id", "x", "core", "c", "pid"]
+        ask = nb.grouped(places, shares, asked).select(*cols, "bound")
+        sent = held.join(F.broadcast(table), "cell").withColumn("pid", nb.share("target", shares)).select(*cols, F.lit(None).cast("double").alias("bound"))
+        found = nb.met(ask, sent, groups * shares).mapInArrow(_outgoing(at.mean(axis=0)), _EDGE)
+        return guess.unionByName(_both_least(found))
+
+
+class _Asking:
+    """Up to ``SUB`` points that look for the smallest edge out of their component."""
+
+    def __init__(self, rows: pa.Table, middle: np.ndarray) -> None:
+        one = {c: rows.column(c).combine_chunks() for c in ("id", "x", "core", "c", "bound")}
+        self.side = nb.Side(nb.matrix(one["x"]), middle)
+        self.id, self.core, self.c, self.bound = (one[c].to_numpy(zero_copy_only=False) for c in ("id", "core", "c", "bound"))
+        self.bound = self.bound.copy()
+        names, self.which, many = np.unique(self.c, return_inverse=True, return_counts=True)
+        self.alone = np.flatnonzero(many >= ALIKE)
+        self.names = names
+
+    def meet(self, ids: np.ndarray, core: np.ndarray, comp: np.ndarray, other: nb.Side) -> Iterator[pd.DataFrame]:
+        near = self.side.beside(other, self.bound)
+        near = near[self.core[near] <= self.bound[near]]
+        if not len(near):
+            return
+        mixed = near[~np.isin(self.which[near], self.alone)]
+        jobs = [(mixed, None)] if len(mixed) else []
+        for k in self.alone.tolist():
+            rows = near[self.which[near] == k]
+            cols = np.flatnonzero(comp != self.names[k])
+            if len(rows) and len(cols):
+                jobs.append((rows, cols if len(cols) < len(comp) else None))
+        for rows, cols in jobs:
+            d2, off = nb.squares(self.side, rows, other, cols)
+            r, c = nb.within(d2, self.bound[rows] ** 2 * (1 + 1e-9) + off)
+            r, c = rows[r], c if cols is None else cols[c]
+            out = self.c[r] != comp[c]
+            r, c = r[out], c[out]
+            w = np.maximum(np.maximum(nb.measured(self.side.x, r, other.x, c), core[c]), self.core[r])
+            ok = np.isfinite(w) & (w <= self.bound[r])
+            if ok.any():
+                r, c, w = r[ok], c[ok], w[ok]
+                best = np.full(len(self.names), np.inf)
+                np.minimum.at(best, self.which[r], w)
+                self.bound = np.minimum(self.bound, best[self.which])
+                yield _first_by_component(self.c[r], w, self.id[r], ids[c], comp[c])
+
+
+def _outgoing(middle: np.ndarray):
+    """For the points that ask, edges out of their component, the smallest ones among them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, asked, parts = None, [], []
+        for pid, asks, rows in nb.runs(batches):
+            if pid != now:
+                now, asked, parts = pid, [], []
+            if asks:
+                asked.append(rows)
+                continue
+            if asked:
+                table = pa.Table.from_batches(asked)
+                parts = [_Asking(table.slice(i, nb.SUB), middle) for i in range(0, table.num_rows, nb.SUB)]
+                asked = []
+            if not parts:
+                continue
+            ids, core, comp = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("id", "core", "c"))
+            other = nb.Side(nb.matrix(rows.column("x")), middle)
+            for p in parts:
+                for edges in p.meet(ids, core, comp, other):
+                    yield pa.RecordBatch.from_pandas(edges, preserve_index=False)
 
-        def salt(seed: int, count: str):
-            return F.pmod(F.xxhash64("id", F.lit(seed)), F.col(count)).cast("int")
-
-        def each(count: str):
-            return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-
-        cols = ["cell", "q", "k", "id", "x", "core", "c"]
-        ask = sent.join(F.broadcast(sizes), "cell").withColumn("q", salt(1, "nq")).withColumn("k", each("nc"))
-        have = held.join(F.broadcast(sizes), "cell").withColumn("k", salt(2, "nc")).withColumn("q", each("nq"))
-        both = ask.select(*cols, F.lit(True).alias("asks")).unionByName(have.select(*cols, F.lit(False).alias("asks")))
-
-        def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-            q, h = pdf[pdf["asks"]], pdf[~pdf["asks"]]
-            if not len(q) or not len(h):
-                return pd.DataFrame({"a": [], "b": [], "w": [], "ca": [], "cb": []})
-            c, other = q["c"].to_numpy(np.int64), h["c"].to_numpy(np.int64)
-            w = _distances(np.stack(q["x"].to_numpy()), np.stack(h["x"].to_numpy()))
-            w = np.maximum(np.maximum(w, h["core"].to_numpy()), q["core"].to_numpy()[:, None])
-            w = np.where(c[:, None] == other, np.inf, w)
-            row, col = np.nonzero((w == w.min(axis=1)[:, None]) & np.isfinite(w))
-            return _first_by_component(c[row], w[row, col], q["id"].to_numpy(np.int64)[row], h["id"].to_numpy(np.int64)[col], other[col])
-
-        return guess.unionByName(_both_least(both.groupBy("cell", "q", "k").applyInPandas(meet, _EDGE)))
+    return run
 
 
 def _merged(best: DataFrame, few: bool) -> tuple[DataFrame, int | None]:
