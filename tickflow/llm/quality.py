@@ -2,11 +2,11 @@
 
 Rules count words, symbols, repeated lines and repeated 8-word windows of each whole text.  The model
 compares two multinomials over ``BUCKETS`` hashed token n-grams (one and two tokens): the trusted target
-(documents labelled good and not toxic, a bounded sample) and the raw corpus (all documents).  A document's score is its
+(all documents labelled good and not toxic) and the raw corpus (all documents).  A document's score is its
 mean log ratio, so length does not matter; one threshold decides every document.
 
 The threshold is the score, on a grid of 1/1000, that best separates the labelled good from the labelled
-bad of the sample (balanced accuracy, the lowest of ties, midway to the next score below); without labels of both kinds it is 0: no less
+bad (balanced accuracy, the lowest of ties, midway to the next score below); without labels of both kinds it is 0: no less
 like the target than the corpus is.
 
 Defined results: a null or empty text has no words and fails the rules.  Repeated documents are judged row
@@ -20,9 +20,15 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.llm.frames import stage
+from tickflow.operators.joins import bounded_join
+from tickflow.session import cut
+
 BUCKETS = 1 << 14
 SAMPLE = 20_000
-"""Labelled documents of either kind that take part in fitting, at most."""
+"""Labelled documents of either kind where a sample is asked for; queries learn from all."""
+KNOWN = 1_000_000
+"""Trusted ids (some 30 MB) up to which the texts are not shuffled to meet them."""
 SMOOTHING = 1.0
 GRID = 1000
 WINDOW = 8
@@ -103,8 +109,8 @@ def buckets(text: Column) -> Column:
     return _bind(hashes, lambda h: F.transform(F.concat(h, _pairs(h, 1)), lambda x: F.pmod(x, F.lit(BUCKETS)).cast("int")))
 
 
-def _labelled(labels: DataFrame, good: bool, trusted: bool = False) -> DataFrame:
-    """``SAMPLE`` labelled ids of one kind, or all where there are fewer, of about twice as many below a share of the hashes.
+def _labelled(labels: DataFrame, good: bool, trusted: bool = False, most: int | None = SAMPLE) -> DataFrame:
+    """``most`` labelled ids of one kind, those of smallest hash; all with None.
 
     ``trusted`` leaves out ids that a row calls toxic.
     """
@@ -113,10 +119,19 @@ def _labelled(labels: DataFrame, good: bool, trusted: bool = False) -> DataFrame
     if trusted:
         kind = kind.where(F.coalesce("toxic", F.lit(0)) != 1)
     kind = kind.select("doc_id")
-    # The share of this kind's own ids, so that a rare kind is not thinned out.
-    share = min(1.0, 2 * SAMPLE / max(1, kind.count()))
-    kind = kind.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    return kind.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).withColumn("good", F.lit(good))
+    if most is not None:
+        # The share of this kind's own ids, so that a rare kind is not thinned out.
+        share = min(1.0, 2 * most / max(1, kind.count()))
+        kind = kind.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+        kind = kind.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return kind.withColumn("good", F.lit(good))
+
+
+def labelled(labels: DataFrame, most: int | None = None) -> DataFrame:
+    """(doc_id, good, trusted) of the labelled ids, of all unless ``most`` bounds each kind."""
+    trusted = _labelled(labels, True, True, most).select("doc_id", F.lit(True).alias("good"), F.lit(True).alias("trusted"))
+    judged = _labelled(labels, True, most=most).unionByName(_labelled(labels, False, most=most)).withColumn("trusted", F.lit(False))
+    return judged.unionByName(trusted).groupBy("doc_id").agg(F.min("good").alias("good"), F.max("trusted").alias("trusted"))
 
 
 def _score(weights: list[float], text: Column) -> Column:
@@ -130,13 +145,9 @@ def _score(weights: list[float], text: Column) -> Column:
     return _bind(buckets(text), use)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[float], float]:
-    """The log ratio of each bucket and the threshold."""
-    # Three id lists of a fixed bound: the only broadcast.
-    trusted = _labelled(labels, True, trusted=True).select("doc_id", F.lit(None).cast("boolean").alias("good"), F.lit(True).alias("trusted"))
-    judged = _labelled(labels, True).unionByName(_labelled(labels, False)).withColumn("trusted", F.lit(False))
-    known = judged.unionByName(trusted).groupBy("doc_id").agg(F.min("good").alias("good"), F.max("trusted").alias("trusted"))
-    marked = docs.select("doc_id", _text().alias("text")).join(F.broadcast(known), "doc_id", "left")
+def _weights(docs: DataFrame, known: DataFrame) -> list[float]:
+    """The log ratio of each bucket; ``known`` are the labelled ids."""
+    marked = bounded_join(docs.select("doc_id", _text().alias("text")), known.where("trusted").select("doc_id", "trusted"), "doc_id", "left", rows=KNOWN)
     counts = (
         marked.select(F.explode(buckets(F.col("text"))).alias("bucket"), F.coalesce("trusted", F.lit(False)).cast("long").alias("trusted"))
         .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target")).collect()  # at most BUCKETS rows
@@ -145,35 +156,53 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[float], float]:
     for r in counts:
         raw[r["bucket"]] += r["raw"]
         target[r["bucket"]] += r["target"]
-    weights = [0.0] * BUCKETS
-    if sum(target) > SMOOTHING * BUCKETS:
-        shift = math.log(sum(raw) / sum(target))
-        weights = [math.log(t / r) + shift for t, r in zip(target, raw, strict=True)]
-    step = F.floor(_score(weights, F.col("text")) * GRID).alias("step")
-    found = docs.select("doc_id", _text().alias("text")).join(F.broadcast(known.where("good IS NOT NULL")), "doc_id")
-    steps = found.select(step, "good").groupBy("step").agg(
+    if sum(target) == SMOOTHING * BUCKETS:
+        return [0.0] * BUCKETS
+    shift = math.log(sum(raw) / sum(target))
+    return [math.log(t / r) + shift for t, r in zip(target, raw, strict=True)]
+
+
+def cutoff(scored: DataFrame, known: DataFrame) -> float:
+    """The threshold, from the scores (doc_id, llr) of all labelled documents."""
+    step = F.floor(F.col("llr") * GRID).alias("step")
+    steps = scored.join(known, "doc_id").select(step, "good").groupBy("step").agg(
         F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("bad")
     ).orderBy("step").collect()  # at most one row for each step of the grid
     good, bad = sum(r["good"] for r in steps), sum(r["bad"] for r in steps)
     if not good or not bad:
-        return weights, 0.0
+        return 0.0
     best, threshold, lost, caught, before = -1.0, 0.0, 0, 0, steps[0]["step"]
     for r in steps:
         gain = (good - lost) / good + caught / bad
         if gain > best:
             best, threshold = gain, (before + r["step"]) / 2 / GRID
         lost, caught, before = lost + r["good"], caught + r["bad"], r["step"]
-    return weights, threshold
+    return threshold
 
 
-def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``_row`` (the columns of ``docs``), the rules' counts, ``llr`` and ``kept``."""
-    weights, threshold = fit(docs, labels)
+def fit(docs: DataFrame, labels: DataFrame, most: int | None = None) -> tuple[list[float], float]:
+    """The log ratio of each bucket and the threshold."""
+    known = cut(labelled(labels, most))
+    weights = _weights(docs, known)
+    return weights, cutoff(docs.select("doc_id", _score(weights, _text()).alias("llr")), known)
+
+
+def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, most: int | None = None) -> DataFrame:
+    """``_row`` (the columns of ``docs``, or those of ``keep``), the rules' counts, ``llr`` and ``kept``.
+
+    Texts are scored once: the rows are written with their scores before the threshold is found.
+    """
+    known = cut(labelled(labels, most))
+    weights = _weights(docs, known)
     scored = rules(docs).withColumn("llr", _score(weights, F.col("text"))).drop("text")
+    if keep is not None:
+        scored = scored.withColumn("_row", F.struct(*[F.col("_row")[c].alias(c) for c in keep]))
+    scored = stage(scored, "scored")
+    threshold = cutoff(scored.select("_row.doc_id", "llr"), known)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return judge(docs.select("doc_id", "text"), labels).select(
+    return judge(docs.select("doc_id", "text"), labels, keep=["doc_id"]).select(
         "_row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )

@@ -14,12 +14,12 @@ from tickflow.session import cut
 BROADCAST_ROWS = 100_000
 
 
-def bounded_join(df: DataFrame, small: DataFrame, on, how: str = "inner", written: bool = False) -> DataFrame:
+def bounded_join(df: DataFrame, small: DataFrame, on, how: str = "inner", written: bool = False, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join a summary table (a row per key).  It is computed once and counted: up to
-    ``BROADCAST_ROWS`` rows it is broadcast, so the big side is not shuffled by a possibly hot
+    ``rows`` rows it is broadcast, so the big side is not shuffled by a possibly hot
     key; beyond, it is an ordinary shuffle join."""
     small = small if written else cut(small)
-    few = small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    few = small.limit(rows + 1).count() <= rows
     return df.join(F.broadcast(small) if few else small, on, how)
 
 
