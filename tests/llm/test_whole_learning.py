@@ -1,10 +1,10 @@
-"""Learning from all labels."""
+"""Learning from all labels; the first entries of a model without a merge in the driver."""
 
 from __future__ import annotations
 
 import pyspark.sql.functions as F
 
-from tickflow.llm import quality
+from tickflow.llm import langid, quality
 
 
 def test_quality_learns_from_every_label(spark, monkeypatch):
@@ -22,3 +22,13 @@ def test_quality_takes_all_of_many_labels(spark):
     )
     got = quality.labelled(labels).groupBy("good", "trusted").count().collect()
     assert {(r.good, r.trusted): r["count"] for r in got} == {(False, False): 22_500, (True, False): 4_500, (True, True): 18_000}
+
+
+def test_first_entries_by_rank_then_key(spark):
+    rows = [(i % 9 + 1, (i * 7919) % 1000 - 500, [("a", i)]) for i in range(100)]
+    counts = spark.createDataFrame(rows, "rank int, key long, by array<struct<lang string, n long>>")
+    want = sorted((r, k) for r, k, _ in rows)
+    for most in (1, 11, 12, 30, 100, 500):
+        got = langid._first(counts, most)
+        assert list(zip(got["rank"].to_pylist(), got["key"].to_pylist(), strict=True)) == want[:most]
+    assert langid._first(counts.limit(0), 5).num_rows == 0

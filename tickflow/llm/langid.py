@@ -25,6 +25,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,6 +148,16 @@ def sample(labelled: DataFrame, per_language: int) -> DataFrame:
     return bounded_join(labelled, sizes, ["lang"]).where(share * F.col("rows") < per_language).select("lang", "text")
 
 
+def _first(counts: DataFrame, most: int) -> pa.Table:
+    """The first ``most`` rows by rank, then key.  What reaches the driver is a number for each rank and these rows, as arrays."""
+    ranks = counts.where(F.col("rank") <= most).groupBy("rank").agg(F.count(F.lit(1)).alias("n")).orderBy("rank").toArrow()
+    if ranks.num_rows:
+        enough = np.searchsorted(np.cumsum(ranks["n"].to_numpy()), most)
+        counts = counts.where(F.col("rank") <= int(ranks["rank"][min(int(enough), ranks.num_rows - 1)].as_py()))
+    rows = counts.select("key", "rank", "by").toArrow()
+    return rows.take(np.lexsort((rows["key"].to_numpy(), rows["rank"].to_numpy()))[:most])
+
+
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, words: int = WORDS, grams: int = GRAMS) -> Model:
     """Fit on rows (doc_id, lang, text).  The model has at most ``words`` words, ``grams`` n-grams of a length."""
     usable = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
@@ -157,23 +168,21 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, words: int = WO
     rank = F.row_number().over(Window.partitionBy("size", "lang").orderBy(F.desc("n"), "key"))
     counts = stage(
         counted.withColumn("rank", rank).groupBy("size", "key")
-        .agg(F.min("rank").alias("rank"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")),
+        .agg(F.min("rank").alias("rank"), F.collect_list(F.struct("lang", "n")).alias("by")),
         "languages",
     )
-    langs: set[str] = set()
-    tables = {}
-    for size in range(LONGEST + 1):
-        rows = counts.where(F.col("size") == size).orderBy("rank", "key").limit(grams if size else words).collect()
-        tables[size] = sorted((r["key"] % (1 << 64), r["by"]) for r in rows)
-        langs |= {x for r in rows for x in r["by"]}
-    model = Model(sorted(langs), {}, {})
-    column = {x: i for i, x in enumerate(model.langs)}
-    for size, rows in tables.items():
-        n = np.zeros((len(rows), len(column)))
-        for i, (_, by) in enumerate(rows):
-            for lang, c in by.items():
-                n[i, column[lang]] = c
-        model.keys[size] = np.array([k for k, _ in rows], U)
+    found = {size: _first(counts.where(F.col("size") == size), grams if size else words) for size in range(LONGEST + 1)}
+    by = {size: pc.list_flatten(rows["by"]) for size, rows in found.items()}
+    names = {size: pc.struct_field(x, "lang").combine_chunks() for size, x in by.items()}
+    model = Model(sorted(set().union(*[pc.unique(x).to_pylist() for x in names.values()])), {}, {})
+    for size, rows in found.items():
+        n = np.zeros((len(rows), len(model.langs)))
+        row = np.repeat(np.arange(len(rows)), pc.list_value_length(rows["by"]).to_numpy())
+        n[row, pc.index_in(names[size], pa.array(model.langs, pa.string())).to_numpy(zero_copy_only=False)] = pc.struct_field(by[size], "n").to_numpy()
+        keys = rows["key"].to_numpy().view(U)
+        order = np.argsort(keys)
+        n = n[order]
+        model.keys[size] = keys[order]
         model.scores[size] = np.log((n + 0.5) / (n.sum(axis=0) + 0.5 * (len(rows) + 1)) if len(rows) else n).astype(np.float32)
     return model
 
