@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickflow.catalog.common import BIN, DEPTH, SPAN, SYMBOLS, VOL, book_ctes, feed, over_feeds, query, rounded
 from tickflow.catalog.features import FEATURE_CTES, WIDE_SQL
 from tickflow.catalog.feeds import KILLS_SQL
-from tickflow.catalog.streams import staged_stream
+from tickflow.catalog.streams import replayed_feed
 from tickflow.operators import reports as rp
 from tickflow.plans import days
 from tickflow.plans.features import FEATURE_COLS
@@ -82,5 +82,6 @@ def nonzero_funding_by_file(spark, sf):
 def stream_relabel(spark, sf):
     """Deltas as the book stream stores them: an update to size 0 of a level of the live book is a delete."""
     path = work_path(spark, "relabel")
-    st.book_stream(staged_stream(spark, sf, "orderbook"), path, work_path(spark, "ck")).awaitTermination()
+    ck = work_path(spark, "ck")
+    replayed_feed(spark, sf, "orderbook", lambda rows: st.book_stream(rows, path, ck))
     return spark.read.parquet(f"{path}/rows").select("symbol", "seq", "action")

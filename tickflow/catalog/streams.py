@@ -10,25 +10,31 @@ from pyspark.sql import functions as F
 from tickflow.catalog.common import book_ctes, feed, over_feeds, query, r6, rounded
 from tickflow.catalog.feeds import GAP_US, MSG, raw_messages
 from tickflow.catalog.registry import SQL
-from tickflow.session import work_path
+from tickflow.session import cut, work_path
 from tickflow.streaming import feeds as st
 
 FOREVER = "60 days"
 
 
-def _staged(df, path, by="seq", parts=3):
-    """Write whole rows in order of ``by`` as ``parts`` consecutive appends, each of them one file for the stream's next batch."""
+def _replayed(df, path, run, by="seq", parts=3):
+    """Hand whole rows in order of ``by`` to a stream as ``parts`` batches.
+
+    Each part is appended to ``path`` in as many files as it has tasks; ``run`` starts the stream over the folder, which
+    takes all that is new as one batch, goes on from its checkpoint and stops.
+    """
     top = (df.agg(F.max(by)).first()[0] or 0) + 1
     for i in range(parts):
         low, high = top * i // parts, top * (i + 1) // parts
-        df.where((F.col(by) >= low) & (F.col(by) < high)).coalesce(1).write.mode("append").parquet(path)
+        df.where((F.col(by) >= low) & (F.col(by) < high)).write.mode("append").parquet(path)
+        run(st.read_stream(df.sparkSession, path, df.schema)).awaitTermination()
+
+
+def replayed_feed(spark, sf, name, run):
+    _replayed(feed(spark, sf, name), work_path(spark, f"in-{name}"), run)
 
 
-def staged_stream(spark, sf, name):
-    path = work_path(spark, f"in-{name}")
-    df = feed(spark, sf, name)
-    _staged(df, path)
-    return st.read_stream(spark, path, df.schema, 1)
+def _messages(spark, sf):
+    return cut(raw_messages(spark, sf).select(F.col("offset").cast("long").alias("offset"), "value", "received"))
 
 
 @query("stream_ingest", over_feeds(
@@ -36,9 +42,7 @@ def staged_stream(spark, sf, name):
 def stream_ingest(spark, sf):
     """Raw messages through the ingest stream; every row of the four feeds read back."""
     src, root, ck = (work_path(spark, n) for n in ("messages", "ingest", "ck"))
-    raw = raw_messages(spark, sf).select(F.col("offset").cast("long").alias("offset"), "value", "received")
-    _staged(raw, src, "offset")
-    st.ingest(st.read_stream(spark, src, st.MESSAGES, 1), root, ck).awaitTermination()
+    _replayed(_messages(spark, sf), src, lambda rows: st.ingest(rows, root, ck), "offset")
     return _read_back(spark, root)
 
 
@@ -62,17 +66,21 @@ keyed AS (SELECT *, CASE feed WHEN 'trades' THEN CASE WHEN event_id%59<>0 THEN c
 def stream_ingest_dedup(spark, sf):
     """All messages twice through the ingest stream, the copies in later batches: a key is stored once."""
     src, root, ck = (work_path(spark, n) for n in ("messages", "ingest", "ck"))
-    raw = raw_messages(spark, sf).select(F.col("offset").cast("long").alias("offset"), "value", "received")
-    _staged(raw.unionByName(raw.withColumn("offset", F.col("offset") + 1_000_000_000)), src, "offset", 2)
-    st.ingest(st.read_stream(spark, src, st.MESSAGES, 1), root, ck, dedup_us=60 * 86_400_000_000).awaitTermination()
+    raw = _messages(spark, sf)
+    twice = raw.unionByName(raw.withColumn("offset", F.col("offset") + 1_000_000_000))
+    _replayed(twice, src, lambda rows: st.ingest(rows, root, ck, dedup_us=60 * 86_400_000_000), "offset", 2)
     return _read_back(spark, root)
 
 
 @query("stream_dedup", over_feeds('SELECT DISTINCT trdMatchID AS "trdMatchID" FROM trades'))
 def stream_dedup(spark, sf):
-    rows = st.dedup_stream(staged_stream(spark, sf, "trades"), "trdMatchID", delay=FOREVER)
-    path = work_path(spark, "dedup")
-    st.write_rows(rows.select("trdMatchID", "ts"), path, work_path(spark, "ck")).awaitTermination()
+    path, ck = work_path(spark, "dedup"), work_path(spark, "ck")
+
+    def run(trades):
+        rows = st.dedup_stream(trades, "trdMatchID", delay=FOREVER)
+        return st.write_rows(rows.select("trdMatchID", "ts"), path, ck)
+
+    replayed_feed(spark, sf, "trades", run)
     return spark.read.parquet(path).select("trdMatchID")
 
 
@@ -81,16 +89,19 @@ def stream_dedup(spark, sf):
     book_ctes() + ", last AS (SELECT symbol, max(seq) AS q FROM ob GROUP BY symbol)"))
 def stream_book(spark, sf):
     """The live book after the stream equals the book rebuilt in batch (updates carry no price)."""
-    path = work_path(spark, "book")
-    st.book_stream(staged_stream(spark, sf, "orderbook"), path, work_path(spark, "ck")).awaitTermination()
+    path, ck = work_path(spark, "book"), work_path(spark, "ck")
+    replayed_feed(spark, sf, "orderbook", lambda rows: st.book_stream(rows, path, ck))
     return st.live_book(spark, path)
 
 
 @query("stream_throttle", SQL["throttle_instruments"])
 def stream_throttle(spark, sf):
-    rows = staged_stream(spark, sf, "instruments").select("symbol", "ts", "seq")
-    path = work_path(spark, "throttle")
-    st.throttle_stream(rows, path, work_path(spark, "ck"), F.col("seq") % 5 == 0, GAP_US).awaitTermination()
+    path, ck = work_path(spark, "throttle"), work_path(spark, "ck")
+
+    def run(rows):
+        return st.throttle_stream(rows.select("symbol", "ts", "seq"), path, ck, F.col("seq") % 5 == 0, GAP_US)
+
+    replayed_feed(spark, sf, "instruments", run)
     return spark.read.parquet(f"{path}/rows").select("symbol", "ts", "seq")
 
 
@@ -101,9 +112,12 @@ _FLOW = """sum(CASE side WHEN 'Buy' THEN abs(foreignNotional)*w WHEN 'Sell' THEN
     f"""SELECT symbol, h AS ts, {r6('CASE WHEN x>0 THEN ln(1+x) WHEN x<0 THEN -ln(1-x) ELSE 0 END')} AS f4 FROM (SELECT symbol, date_trunc('hour',ts) AS h, {_FLOW} AS x
         FROM (SELECT *, CASE tickDirection WHEN 'PlusTick' THEN 1.5 WHEN 'ZeroPlusTick' THEN 1.5 WHEN 'MinusTick' THEN -1.5 WHEN 'ZeroMinusTick' THEN -1.5 ELSE 1.0 END AS w FROM trades) GROUP BY 1,2)"""))
 def stream_taker_imbalance(spark, sf):
-    path = work_path(spark, "taker")
-    bins = st.taker_imbalance_stream(staged_stream(spark, sf, "trades"), "1 hour", FOREVER)
-    st.write_rows(bins, path, work_path(spark, "ck"), "update").awaitTermination()
+    path, ck = work_path(spark, "taker"), work_path(spark, "ck")
+
+    def run(rows):
+        return st.write_rows(st.taker_imbalance_stream(rows, "1 hour", FOREVER), path, ck, "update")
+
+    replayed_feed(spark, sf, "trades", run)
     return rounded(st.latest(spark, path, ["symbol", "ts"]), "f4")
 
 
@@ -111,8 +125,6 @@ def stream_taker_imbalance(spark, sf):
 def stream_hooks(spark, sf):
     """A hook that stores large trades and one that always fails."""
     src, root, found, ck = (work_path(spark, n) for n in ("messages", "hooks", "whales", "ck"))
-    _staged(raw_messages(spark, sf).select(F.col("offset").cast("long").alias("offset"), "value", "received"), src, "offset")
-
     def whales(batch, number):
         hit = batch.where(F.abs("foreignNotional") > 1000).select("seq", "symbol").withColumn("batch", F.lit(number))
         hit.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(found)
@@ -122,9 +134,10 @@ def stream_hooks(spark, sf):
 
     st.log.disabled = True
     try:
-        st.ingest(
-            st.read_stream(spark, src, st.MESSAGES, 1), root, ck, feeds=["trades"], hooks={"trades": [broken, whales]}
-        ).awaitTermination()
+        _replayed(
+            _messages(spark, sf), src,
+            lambda rows: st.ingest(rows, root, ck, feeds=["trades"], hooks={"trades": [broken, whales]}), "offset",
+        )
     finally:
         st.log.disabled = False
     return spark.read.parquet(found).select("seq", "symbol")
@@ -133,10 +146,11 @@ def stream_hooks(spark, sf):
 @query("stream_metrics", over_feeds("SELECT 'instruments' AS feed, count(*) AS rows, count(*) FILTER (markPrice IS NULL) AS errors FROM instruments"))
 def stream_metrics(spark, sf):
     """The metrics table of a stream: every batch, not only the recent ones."""
-    table = work_path(spark, "metrics")
-    st.write_rows(
-        staged_stream(spark, sf, "instruments"), work_path(spark, "rows"), work_path(spark, "ck"),
-        metrics=(table, "instruments", F.col("markPrice").isNull()),
-    ).awaitTermination()
+    table, path, ck = (work_path(spark, n) for n in ("metrics", "rows", "ck"))
+
+    def run(rows):
+        return st.write_rows(rows, path, ck, metrics=(table, "instruments", F.col("markPrice").isNull()))
+
+    replayed_feed(spark, sf, "instruments", run)
     batches = spark.read.parquet(table)
     return batches.groupBy(F.col("name").alias("feed")).agg(F.sum("rows").alias("rows"), F.sum("errors").alias("errors"))
