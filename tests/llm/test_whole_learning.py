@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import brute
 import pyspark.sql.functions as F
 
 from tickflow.llm import langid, quality
@@ -24,6 +28,30 @@ def test_quality_takes_all_of_many_labels(spark):
     assert {(r.good, r.trusted): r["count"] for r in got} == {(False, False): 22_500, (True, False): 4_500, (True, True): 18_000}
 
 
+def test_quality_counts_ngrams_in_compiled_code(spark):
+    """One compiled stage makes rows of n-grams and counts them; texts are cut once."""
+    docs = spark.createDataFrame([(1, "a b a b"), (2, "b a"), (3, ""), (4, None), (2, "b a")], "doc_id long, text string")
+    known = spark.createDataFrame([(2, True, True), (1, False, False)], "doc_id long, good boolean, trusted boolean")
+    counted = quality.counts(docs, known)
+    got = {r.bucket: (r["raw"], r["target"]) for r in counted.collect()}
+    cut = docs.select("doc_id", quality.buckets(F.coalesce("text", F.lit(""))).alias("b")).collect()
+    raw, target = (Counter(b for r in cut if r.doc_id in ids for b in r.b) for ids in ({1, 2, 3, 4}, {2}))
+    assert got == {b: (n, target[b]) for b, n in raw.items()} and sum(target.values()) == 6
+    plan = counted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert re.search(r"\*\(\d+\) Generate explode\(grams", plan), plan
+    assert plan.count("regexp_extract_all") == 1
+
+
+def test_quality_rules_on_odd_characters(spark):
+    """White space of other kinds, symbols in a row, lines of spaces, supplementary letters, windows that overlap."""
+    some = " ".join(f"w{i}" for i in range(9))
+    texts = [None, "", " ", "\t\n\x0b\f\r ", "a\u00a0b\u2028c\u3000d\x1ce\x85f", "##*$%&|<>\n \t\n\x0b\n#", "\U0001d400a \U0001f600\n\U0001d400a \U0001f600\n\u00a0\n\u00a0"]
+    texts += ["x " * n for n in (7, 8, 9, 16, 40)] + [f"{some} {some}", f"{some}\n{some}\ty {some}", f"{some} {some[3:]}", " ".join(some.split()[:7] * 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in quality.rules(docs, ["doc_id"]).select("_row.*", "*").drop("_row", "text").collect()}
+    assert got == {i: tuple(brute.rules(x)) for i, x in enumerate(texts)}
+
+
 def test_first_entries_by_rank_then_key(spark):
     rows = [(i % 9 + 1, (i * 7919) % 1000 - 500, [("a", i)]) for i in range(100)]
     counts = spark.createDataFrame(rows, "rank int, key long, by array<struct<lang string, n long>>")

@@ -35,8 +35,8 @@ WINDOW = 8
 
 # White space and symbols of the rules.
 _SPACE = r"[ \t\n\x0B\f\r]+"
-_SYMBOLS = "#*$%&|<>"
-_TOKEN = r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]+"
+_SYMBOL = "[#*$%&|<>]"
+_TOKEN = r"[\p{L}\p{M}\p{N}_]++|[^\p{L}\p{M}\p{N}_\s]++"
 
 
 def _text() -> Column:
@@ -48,20 +48,19 @@ def _bind(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _pairs(hashes: Column, gap: int) -> Column:
-    """The hash of each element with the one ``gap`` places on; ``gap`` elements fewer."""
-
-    def use(h: Column) -> Column:
-        n = F.size(h) - gap
-        return F.when(n > 0, F.zip_with(F.slice(h, F.lit(1), n), F.slice(h, F.lit(1 + gap), n), lambda a, b: F.xxhash64(a, b))).otherwise(
-            F.array().cast("array<bigint>")
-        )
-
-    return _bind(hashes, use)
+def _grams(hashes: Column, n: int) -> Column:
+    """The hash of every ``n`` consecutive elements; none where there are fewer."""
+    return _bind(
+        hashes,
+        lambda h: F.transform(
+            F.slice(h, F.lit(1), F.greatest(F.size(h) - (n - 1), F.lit(0))),
+            lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, n)]),
+        ),
+    )
 
 
-def _repeat_words(hashes: Column) -> Column:
-    """How many words lie in windows of eight that occur twice or more, from the words' hashes."""
+def _repeat_words(windows: Column) -> Column:
+    """How many words lie in windows of eight that occur twice or more, from the windows' hashes."""
 
     def covered(windows: Column) -> Column:
         order = F.array_sort(F.transform(windows, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -78,35 +77,53 @@ def _repeat_words(hashes: Column) -> Column:
             places, start, lambda a, x: F.struct((a["n"] + F.least(F.lit(WINDOW), x - a["last"])).cast("long").alias("n"), x.alias("last")), lambda a: a["n"]
         )
 
-    def use(w: Column) -> Column:
-        return F.when(F.size(F.array_distinct(w)) < F.size(w), covered(w)).otherwise(F.lit(0).cast("long"))
+    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), covered(windows)).otherwise(F.lit(0).cast("long"))
 
-    return _bind(_pairs(_pairs(_pairs(hashes, 1), 2), 4), use)
 
+def _without(text: Column, characters: str) -> Column:
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
 
-def rules(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` in ``_row``, and the rules' counts."""
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), _text().alias("text"))
-    hashes = F.transform(F.filter(F.split("text", _SPACE), lambda w: w != ""), lambda w: F.xxhash64(w))
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, " \t\x0b\f\r", "")) > 0)
-    counted = row.select(
-        "_row",
-        _bind(hashes, lambda h: F.struct(F.size(h).cast("long").alias("n_words"), _repeat_words(h).alias("n_repeat_words"))).alias("w"),
-        F.char_length(F.translate("text", " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
-        (F.char_length("text") - F.char_length(F.translate("text", _SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        _bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        "text",
-    )
-    failed = (F.col("w.n_words") < 20) | (100 * F.col("w.n_repeat_words") > 30 * F.col("w.n_words"))
-    return counted.select(
-        "_row", "w.n_words", "word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words", failed.alias("base_failed"), "text"
+
+def rules(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The columns of ``docs`` (or those of ``keep``) in ``_row``, and the rules' counts.
+
+    Words and windows are a column of their own, computed once, so that what reads them is compiled and not a lambda.
+    """
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("_row"), _text().alias("text"))
+    words = F.transform(F.filter(F.split("text", _SPACE), lambda w: w != ""), lambda w: F.xxhash64(w))
+    lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\x0b\f\r")) != "")
+    spaces = F.octet_length("text") - F.octet_length(_without(F.col("text"), " \n\t\r\x0b\f"))
+    counted = (
+        row.select("*", _bind(words, lambda h: F.struct(F.size(h).cast("long").alias("n_words"), _grams(h, WINDOW).alias("windows"))).alias("w"))
+        .select(
+            "_row",
+            "w.n_words",
+            (F.char_length("text") - spaces).cast("long").alias("word_chars"),
+            F.regexp_count("text", F.lit(_SYMBOL)).cast("long").alias("n_symbols"),
+            _bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            _repeat_words(F.col("w.windows")).alias("n_repeat_words"),
+            "text",
+        )
     )
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return counted.select("_row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "text")
+
+
+def grams(text: Column) -> Column:
+    """The hash of every token and of every two neighbouring tokens."""
+    hashes = F.transform(F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
+    return _bind(hashes, lambda h: F.concat(h, _grams(h, 2)))
+
+
+def _bucket(gram: Column) -> Column:
+    return F.pmod(gram, F.lit(BUCKETS)).cast("int")
 
 
 def buckets(text: Column) -> Column:
     """The bucket of every token and of every two neighbouring tokens."""
-    hashes = F.transform(F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0)), lambda t: F.xxhash64(t))
-    return _bind(hashes, lambda h: F.transform(F.concat(h, _pairs(h, 1)), lambda x: F.pmod(x, F.lit(BUCKETS)).cast("int")))
+    return F.transform(grams(text), _bucket)
 
 
 def _labelled(labels: DataFrame, good: bool, trusted: bool = False, most: int | None = SAMPLE) -> DataFrame:
@@ -138,22 +155,29 @@ def _score(weights: list[float], text: Column) -> Column:
     """The mean weight of a text's n-grams; 0 without any."""
     table = F.split(F.lit(",".join(f"{w:.6f}" for w in weights)), ",").cast("array<double>")
 
-    def use(b: Column) -> Column:
-        total = F.aggregate(b, F.lit(0.0), lambda s, x: s + F.get(table, x))
-        return F.when(F.size(b) > 0, total / F.size(b)).otherwise(F.lit(0.0))
+    def use(g: Column) -> Column:
+        total = F.aggregate(g, F.lit(0.0), lambda s, x: s + F.get(table, _bucket(x)))
+        return F.when(F.size(g) > 0, total / F.size(g)).otherwise(F.lit(0.0))
 
-    return _bind(buckets(text), use)
+    return _bind(grams(text), use)
 
 
-def _weights(docs: DataFrame, known: DataFrame) -> list[float]:
-    """The log ratio of each bucket; ``known`` are the labelled ids."""
+def counts(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """How often each bucket occurs in all documents (raw) and in the trusted ones (target); ``known`` are the labelled ids."""
     marked = bounded_join(docs.select("doc_id", _text().alias("text")), known.where("trusted").select("doc_id", "trusted"), "doc_id", "left", rows=KNOWN)
-    counts = (
-        marked.select(F.explode(buckets(F.col("text"))).alias("bucket"), F.coalesce("trusted", F.lit(False)).cast("long").alias("trusted"))
-        .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target")).collect()  # at most BUCKETS rows
+    # The n-grams are a column before they become rows: rows made from a lambda are not compiled.  Without "outer", Spark
+    # filters by the size of that column first, and computes it twice.
+    listed = marked.select(grams(F.col("text")).alias("grams"), F.coalesce("trusted", F.lit(False)).cast("long").alias("trusted"))
+    return (
+        listed.select(F.explode_outer("grams").alias("gram"), "trusted").where(F.col("gram").isNotNull())
+        .groupBy(_bucket(F.col("gram")).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.sum("trusted").alias("target"))
     )
+
+
+def _weights(docs: DataFrame, known: DataFrame) -> list[float]:
+    """The log ratio of each bucket."""
     raw, target = [SMOOTHING] * BUCKETS, [SMOOTHING] * BUCKETS
-    for r in counts:
+    for r in counts(docs, known).collect():  # at most BUCKETS rows
         raw[r["bucket"]] += r["raw"]
         target[r["bucket"]] += r["target"]
     if sum(target) == SMOOTHING * BUCKETS:
@@ -194,10 +218,7 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, mos
     """
     known = cut(labelled(labels, most))
     weights = _weights(docs, known)
-    scored = rules(docs).withColumn("llr", _score(weights, F.col("text"))).drop("text")
-    if keep is not None:
-        scored = scored.withColumn("_row", F.struct(*[F.col("_row")[c].alias(c) for c in keep]))
-    scored = stage(scored, "scored")
+    scored = stage(rules(docs, keep).withColumn("llr", _score(weights, F.col("text"))).drop("text"), "scored")
     threshold = cutoff(scored.select("_row.doc_id", "llr"), known)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
 
