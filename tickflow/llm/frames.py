@@ -120,3 +120,38 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
         last = tuple(c[-1] for c in cols)
     if held:
         yield pa.Table.from_batches(held)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """The rows of a sorted partition in tables of whole groups of equal ``keys``, about a batch at a time, and
+    where the groups begin (and the last one ends)."""
+
+    def changes(rows: pa.RecordBatch | pa.Table) -> np.ndarray:
+        new = np.zeros(rows.num_rows, bool)
+        for k in keys:
+            c = rows.column(k).to_numpy(zero_copy_only=False) if isinstance(rows, pa.RecordBatch) else rows.column(k).to_numpy()
+            new[1:] |= c[1:] != c[:-1]
+        return np.flatnonzero(new)
+
+    def out(held: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        return rows, np.r_[0, changes(rows), rows.num_rows]
+
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cuts = changes(batch)
+        fresh = last is not None and last != tuple(batch.column(k)[0].as_py() for k in keys)
+        if len(cuts) or fresh:
+            at = int(cuts[-1]) if len(cuts) else 0
+            whole = [*held, batch.slice(0, at)] if at else held
+            if whole:
+                yield out(whole)
+            held = []
+            batch = batch.slice(at)
+        held.append(batch)
+        last = tuple(batch.column(k)[batch.num_rows - 1].as_py() for k in keys)
+    if held:
+        yield out(held)

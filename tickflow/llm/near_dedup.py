@@ -13,6 +13,9 @@ left out: all pairs within the distance share a key.  At a similarity of 0.8 a p
   necessary condition that keeps families of loosely related texts from meeting pairwise: similar
   sets share one of their rarest shingles (as many as the similarity lets a set lose, and one).  Rare is
   told by counts over a fixed table of hashed shingles; any common order keeps the condition exact.
+* The place of a shared shingle in that order bounds what two sets can still share, and parity bits of
+  the sets bound it again.  Both bounds are exact, so only pairs that cannot be similar go unread: the
+  members of a large family that have too much of their own cost no reading of sets.
 * Pairs within the distance are confirmed on the full shingle sets: those of the stars from the joined
   texts, those across components inside the comparing tasks, which memory-map the sets of the few
   classes concerned from the shared folder and send on links, never candidates.
@@ -32,9 +35,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickflow.llm.components import components
-from tickflow.llm.frames import ROW, annotate, groups, pieces, stage
+from tickflow.llm.frames import ROW, annotate, pieces, stage, whole_groups
 from tickflow.llm.shards import mapped, save
-from tickflow.llm.words import BY_SPACE, U, Words, chunks, mix
+from tickflow.llm.words import BY_SPACE, U, Words, chunks, mix, spread
 from tickflow.session import work_path
 
 PARTS, WIDTH = 11, 4
@@ -46,6 +49,12 @@ KEPT = 1 << 20
 """Shingles in a file of sets."""
 REMEMBERED = 1 << 20
 """Failed pairs a task remembers, so as not to compare them again."""
+PARITIES = 512
+"""Bits a set is told by before it is read."""
+MEETING = 1 << 18
+"""Pairs of rows a task holds at once."""
+STEP = 1 << 10
+"""Pairs a task looks at before it drops those joined meanwhile."""
 
 _RANDOM = np.random.default_rng(20240229)
 _A = (_RANDOM.integers(0, 1 << 31, SYMBOLS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -159,9 +168,24 @@ def _bucket(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> U(64 - RARITY_BITS)).astype(np.int64)
 
 
+def _parities(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of ``PARITIES`` bits for each set: whether it has an odd number of the shingles of each remainder.
+
+    Two sets differ in at least as many shingles as their rows in bits.
+    """
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    at = row * PARITIES + (np.concatenate(sets) % U(PARITIES)).astype(np.int64)
+    odd = np.bincount(at, minlength=len(sets) * PARITIES).reshape(-1, PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1)
+
+
 def _rarest(n: int, percent: int, counts, folder: str):
-    """(token, node, root, n, file, begin): the shingles of a set of which a similar set must have one,
-    and where the whole set is kept in the shared folder."""
+    """(token, node, root, n, room, bits, file, begin): the shingles of a set of which a similar set must have one,
+    and where the whole set is kept in the shared folder.
+
+    The first shingle in this order that two sets share leaves each of them the shingles from there on to
+    share: sets are similar only if ``percent`` times the size of either is within the other's ``room``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counts.value
@@ -169,23 +193,27 @@ def _rarest(n: int, percent: int, counts, folder: str):
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            file = save(folder, "sets", np.concatenate([s for _, _, s, _ in held])).rpartition("/")[2]
-            length = np.array([len(s) for _, _, s, _ in held], np.int64)
-            each = [len(t) for _, _, _, t in held]
+            file = save(folder, "sets", np.concatenate([h[2] for h in held])).rpartition("/")[2]
+            length = np.array([len(h[2]) for h in held], np.int64)
+            each = np.array([len(h[3]) for h in held], np.int64)
             rows = [np.array(x, np.int64) for x in ([h[0] for h in held], [h[1] for h in held], length, np.cumsum(length) - length)]
             node, root, whole, begin = (np.repeat(x, each) for x in rows)
-            token = np.concatenate([t for _, _, _, t in held]).view(np.int64)
-            columns = [pa.array(x) for x in (token, node, root, whole)] + [pa.array([file] * len(token), pa.string()), pa.array(begin)]
-            yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "root", "n", "file", "begin"])
+            token = np.concatenate([h[3] for h in held]).view(np.int64)
+            before = np.arange(len(token)) - np.repeat(np.cumsum(each) - each, each)
+            room = (100 + percent) * (whole - before) - percent * whole
+            bits = pa.array([h[4] for h in held], pa.binary()).take(pa.array(np.repeat(np.arange(len(held)), each)))
+            columns = [pa.array(x) for x in (token, node, root, whole, room)] + [bits, pa.array([file] * len(token), pa.string()), pa.array(begin)]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "root", "n", "room", "bits", "file", "begin"])
 
         for batch in batches:
             node, root = batch.column("node").to_pylist(), batch.column("root").to_pylist()
             texts = batch.column("text").fill_null("").cast(pa.large_string())
             for a, _, words in chunks(texts, BY_SPACE, lower=True):
-                for r, s in enumerate(shingle_sets(words, n)):
+                sets = shingle_sets(words, n)
+                for r, (s, bits) in enumerate(zip(sets, _parities(sets), strict=True)):
                     # As many as a similar set may lack, and one.
                     k = len(s) + (-percent * len(s) // 100) + 1
-                    held.append((node[a + r], root[a + r], s, s[np.lexsort((s, table[_bucket(s)]))[:k]]))
+                    held.append((node[a + r], root[a + r], s, s[np.lexsort((s, table[_bucket(s)]))[:k]], bits.tobytes()))
                     size += len(s)
                 if size >= KEPT:
                     yield from flush()
@@ -203,6 +231,24 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
+def _meeting(rows: pa.Table, cuts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows (left, right) that their groups bring together, in runs of about ``MEETING``."""
+    side = rows.column("side").to_numpy()
+    same = (rows.column("part").to_numpy() == 1) & (rows.column("i").to_numpy() == rows.column("j").to_numpy())
+    size = np.diff(cuts)
+    end = np.repeat(cuts[1:], size)
+    row = np.arange(len(end))
+    # The rows of the right side are the last of their group.
+    first = np.where(same, row + 1, np.where(side, end, end - np.repeat(np.add.reduceat(side.astype(np.int64), cuts[:-1]), size)))
+    ends = np.cumsum(end - first)
+    a = 0
+    while a < len(row):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + MEETING, "right")))
+        right, left = spread(first[a:b], end[a:b] - 1)
+        yield left + a, right
+        a = b
+
+
 def _across(percent: int, folder: str):
     """Links across components of block pairs: within the distance, then confirmed on the full sets.
 
@@ -220,37 +266,45 @@ def _across(percent: int, folder: str):
                 x = y
             return x
 
-        for rows in groups(batches, ["token", "part", "i", "j"]):
-            node, root, block, n, begin = (rows.column(c).to_numpy() for c in ("node", "root", "block", "n", "begin"))
-            inside = rows.column("inside").to_numpy()
-            part, i, j = (rows.column(c)[0].as_py() for c in ("part", "i", "j"))
-            left = np.flatnonzero(~inside if part == 0 else block == i)
-            right = np.flatnonzero(inside if part == 0 else block == j)
-            if not len(left) or not len(right):
-                continue
-            symbols, file = _matrix(rows.column("signature")), rows.column("file").to_pylist()
-            whole = lambda x: mapped(f"{folder}/{file[x]}")[begin[x] : begin[x] + n[x]]  # noqa: B023, E731
+        for rows, cuts in whole_groups(batches, ["token", "part", "i", "j"]):
+            node, root, n, room, begin = (rows.column(c).to_numpy() for c in ("node", "root", "n", "room", "begin"))
+            symbols, file = _matrix(rows.column("signature")), rows.column("file")
+            bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), U).reshape(-1, PARITIES // 64)
+            whole = lambda x: mapped(f"{folder}/{file[x].as_py()}")[begin[x] : begin[x] + n[x]]  # noqa: B023, E731
+            roots, of = np.unique(root, return_inverse=True)
             found: list[tuple[int, int]] = []
-            for a in left.tolist():
-                b = right[root[right] != root[a]]
-                b = b[node[b] > node[a]] if part == 1 and i == j else b
-                b = b[100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])]
-                apart = (symbols[b] != symbols[a]).sum(axis=1)
-                near = apart <= DISTANCE
+            for left, right in _meeting(rows, cuts):
+                fits = (root[left] != root[right]) & (percent * n[right] <= room[left]) & (percent * n[left] <= room[right])
+                left, right = left[fits], right[fits]
+                fits = 100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right])
+                left, right = left[fits], right[fits]
+                # Shingles in which two sets differ are not common ones.
+                size = n[left] + n[right]
+                differ = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64)
+                fits = (100 + percent) * (size - differ) >= 2 * percent * size
+                left, right = left[fits], right[fits]
+                apart = (symbols[left] != symbols[right]).sum(axis=1)
                 # The nearest first: they join components soonest.
-                for x in b[near][np.argsort(apart[near], kind="stable")].tolist():
-                    one, two = top(int(root[a])), top(int(root[x]))
-                    pair = (int(min(node[a], node[x])), int(max(node[a], node[x])))
-                    if one == two or pair in failed:
-                        continue
-                    both = _common(whole(a), whole(x))
-                    if 100 * both >= percent * int(n[a] + n[x] - both):
-                        joined[one] = two
-                        found.append(pair)
-                    else:
-                        if len(failed) >= REMEMBERED:
-                            failed.clear()
-                        failed.add(pair)
+                order = np.argsort(apart, kind="stable")[: int((apart <= DISTANCE).sum())]
+                left, right = left[order], right[order]
+                while len(left):
+                    tops = np.array([top(x) for x in roots.tolist()])[of]
+                    open_ = tops[left] != tops[right]
+                    left, right = left[open_], right[open_]
+                    for a, b in zip(left[:STEP].tolist(), right[:STEP].tolist(), strict=True):
+                        one, two = top(int(root[a])), top(int(root[b]))
+                        pair = (int(min(node[a], node[b])), int(max(node[a], node[b])))
+                        if one == two or pair in failed:
+                            continue
+                        both = _common(whole(a), whole(b))
+                        if 100 * both >= percent * int(n[a] + n[b] - both):
+                            joined[one] = two
+                            found.append(pair)
+                        else:
+                            if len(failed) >= REMEMBERED:
+                                failed.clear()
+                            failed.add(pair)
+                    left, right = left[STEP:], right[STEP:]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], schema=_ARROW_PAIR)
 
@@ -316,13 +370,15 @@ def _between(docs: DataFrame, live: DataFrame, classes: DataFrame, roots: DataFr
     folder = work_path(docs.sparkSession, "sets")
     tokens = stage(
         texts.mapInArrow(
-            _rarest(n, percent, sc.broadcast(rarity), folder), "token long, node long, root long, n long, file string, begin long"
+            _rarest(n, percent, sc.broadcast(rarity), folder), "token long, node long, root long, n long, room long, bits binary, file string, begin long"
         ),
         "tokens",
     )
     heads = stage(
-        tokens.groupBy("token", "root").agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("token").agg(F.max(F.struct("rows", "root")).alias("head"), F.sum("rows").alias("all")).where("all > head.rows"),
+        tokens.groupBy("token", "root").agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("low"), F.max("room").alias("high"))
+        .groupBy("token").agg(
+            F.max(F.struct("rows", "root")).alias("head"), F.sum("rows").alias("all"), F.min("low").alias("low"), F.max("high").alias("high")
+        ).where("all > head.rows"),
         "heads",
     )
     parts = [F.ceil(x / BLOCK).cast("int") for x in (F.col("head.rows"), F.col("all") - F.col("head.rows"))]
@@ -335,13 +391,16 @@ def _between(docs: DataFrame, live: DataFrame, classes: DataFrame, roots: DataFr
     )
     members = (
         tokens.join(heads, "token")
+        .where(f"{percent} * low <= room and {percent} * n <= high")
         .withColumn("inside", inside)
         .withColumn("block", F.pmod(F.xxhash64("node"), F.when(inside, parts[0]).otherwise(parts[1])).cast("int"))
         .withColumn("place", F.explode(places))
-        .select("token", "node", "root", "n", "inside", "file", "begin", "block", "place.*")
+        .select("token", "node", "root", "n", "room", "bits", "inside", "file", "begin", "block", "place.*")
+        .withColumn("side", F.when(F.col("part") == 0, F.col("inside")).otherwise((F.col("i") < F.col("j")) & (block == F.col("j"))))
+        .drop("inside", "block")
         .join(classes.select("node", "signature"), "node")
     )
-    grouped = members.repartition("token", "part", "i", "j").sortWithinPartitions("token", "part", "i", "j")
+    grouped = members.repartition("token", "part", "i", "j").sortWithinPartitions("token", "part", "i", "j", "side")
     return grouped.mapInArrow(_across(percent, folder), _PAIR)
 
 
