@@ -226,9 +226,10 @@ def _rarest(n: int, percent: int, counts, folder: str):
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     """The size of the intersection of two sorted sets."""
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    return int((b[at] == a).sum())
+    both = np.concatenate([a, b])
+    # This sort merges sorted runs.
+    both.sort(kind="stable")
+    return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
 def _meeting(rows: pa.Table, cuts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
